@@ -310,7 +310,7 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (
     Rows that repeat a doc_id and text are one document; documents without id can't be named, and stay.
     """
     parts = materialise(ngram_components(docs, words, similarity), "parts")
-    gone = parts.where(F.col("doc_id") <> F.col("component_id")).select("doc_id").distinct()
+    gone = parts.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
