@@ -218,7 +218,7 @@ def _shingles(words: int):
                 w = split_words(text or "")
                 keys.append(hashlib.md5(b" ".join(w)).digest() if w else None)
                 sets.append(shingle_set(w, words).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(1), pa.array(sets, pa.binary())], ["key", "want", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *batch.columns[1:], pa.array(sets, pa.binary())], ["key", *batch.schema.names[1:], "shingles"])
 
     return run
 
@@ -258,26 +258,21 @@ def ngram_components(docs: DataFrame, words: int = 5, similarity: tuple[int, int
     dealt = profile.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node").repartition("sig").sortWithinPartitions("sig", "node")
     rough = materialise(connected_components(dealt.mapInArrow(_runs_to_edges, "u long, v long").distinct()), "rough")
 
-    # the texts of one document for each set of words in a rough component
-    small_batches(spark)
-    wanted = profile.select("doc_id", "key", "node").join(rough, "node").groupBy("key", "component").agg(F.min("doc_id").alias("doc_id"))
-    wanted = materialise(wanted.select("doc_id", F.col("key").alias("want"), F.col("component").alias("rough")), "wanted")
-    n_wanted = wanted.count()
-    small = lambda df: F.broadcast(df) if n_wanted <= BROADCAST_ROWS else df
-    texts = given.join(small(wanted.select("doc_id", "want").withColumnRenamed("doc_id", "id")), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "want")
-    sets = texts.mapInArrow(_shingles(words), "key binary, want binary, shingles binary").where("key = want").select("key", "shingles")
+    # one document for each set of words in a rough component, and the tile where it is searched
+    wanted = profile.select("doc_id", "key", "node").join(rough, "node").groupBy("key", "component").agg(F.min("doc_id").alias("id"))
+    wanted = materialise(wanted.select("id", F.col("key").alias("want"), F.col("component").alias("rough")), "wanted")
     count = wanted.groupBy("rough").agg(F.count("*").alias("members"))
-    members = wanted.join(count, "rough").select(F.col("want").alias("key"), "rough", F.ceil(F.col("members") / tile).cast("int").alias("tiles"), (F.pmod(F.xxhash64("want", F.lit(1)), "members") < CENTRES).alias("centre"))
-    members = members.withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
-    members = materialise(members.join(sets, "key"), "members")
+    placed = wanted.join(count, "rough").select("id", "want", "rough", F.ceil(F.col("members") / tile).cast("int").alias("tiles"), (F.pmod(F.xxhash64("want", F.lit(1)), "members") < CENTRES).alias("centre"))
+    placed = materialise(placed.withColumn("tile", F.pmod(F.xxhash64("want"), "tiles").cast("int")), "placed")
     release(wanted)
 
-    placed = members.select("key", "rough", "shingles", F.explode(F.when(F.col("centre") & (F.col("tiles") > 1), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))).alias("tile"))
-    near = placed.repartition("rough", "tile").sortWithinPartitions("rough", "tile", "key").mapInArrow(_search_groups(["rough", "tile"], t, False), "u binary, v binary")
-    links = materialise(near, "links")
+    all_tiles = F.sequence(F.lit(0), F.col("tiles") - 1)
+    near = _sets(given, placed, words).select("key", "rough", "shingles", F.explode(F.when(F.col("centre") & (F.col("tiles") > 1), all_tiles).otherwise(F.array("tile"))).alias("tile"))
+    links = materialise(near.repartition("rough", "tile").sortWithinPartitions("rough", "tile", "key").mapInArrow(_search_groups(["rough", "tile"], t, False), "u binary, v binary"), "links")
     fine = connected_components(links)
-    large = members.where("tiles > 1")
+    large = placed.where("tiles > 1")
     if not large.isEmpty():
+        large = materialise(_sets(given, large, words), "large")
         links = links.unionByName(materialise(_rest(large, fine, t, tile), "links"))
         fine = connected_components(links)
 
@@ -291,6 +286,14 @@ def ngram_components(docs: DataFrame, words: int = 5, similarity: tuple[int, int
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _sets(given: DataFrame, placed: DataFrame, words: int) -> DataFrame:
+    """placed, with the shingles of its documents' texts, read from the documents again; ids that repeat with other words fall out."""
+    small_batches(given.sparkSession)
+    places = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
+    texts = given.join(places, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "want", "rough", "tiles", "centre", "tile")
+    return texts.mapInArrow(_shingles(words), "key binary, want binary, rough long, tiles int, centre boolean, tile int, shingles binary").where("key = want").drop("want")
+
+
 def _rest(large: DataFrame, fine: DataFrame, t: Fraction, tile: int) -> DataFrame:
     """Links between what the tiles left apart: every set outside its rough component's largest part meets all tiles."""
     at = large.join(fine.withColumnRenamed("node", "key"), "key", "left").withColumn("fine", F.coalesce("component", "key")).drop("component")
