@@ -253,7 +253,7 @@ SQL = {
         SELECT event_id, CASE WHEN t = 'error' AND a > 5 THEN 'stop' WHEN t = 'error' AND event_id % 2 = 0 THEN 'requeue' WHEN t = 'error' THEN 'retry' WHEN t = 'view' AND a <= 1 THEN 'reprime' WHEN t = 'click' AND a <= 2 THEN 'retry' ELSE 'stop' END AS action,
                (CASE WHEN t = 'error' AND a <= 5 THEN coalesce(r, b) WHEN t = 'click' AND a <= 2 THEN b ELSE 0 END)::BIGINT AS delay_ms FROM e""",
     "backoff_schedule": "SELECT event_id, 250.0::DOUBLE AS fixed, (100 + 50 * (event_id % 9))::DOUBLE AS linear, least(1000 * pow(2, event_id % 9), 60000)::DOUBLE AS exponential FROM events",
-    "rate_gate_schedule": "WITH e AS (SELECT user_id, event_id, epoch_ms(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) SELECT event_id, (max(t - 500 * i) OVER (PARTITION BY user_id ORDER BY event_id) + 500 * i)::BIGINT AS granted FROM e",
+    "rate_gate_schedule": "WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) SELECT event_id, (max(t - 500 * i) OVER (PARTITION BY user_id ORDER BY event_id) + 500 * i)::BIGINT AS granted FROM e",
     "dry_run_forecast": f"WITH s AS (SELECT greatest(1, least(date_diff('day', min({ORDER_DAY}), max({ORDER_DAY})) + 1, 31)) AS days FROM orders), i AS (SELECT days, least(200, days * 30) AS items FROM s) SELECT days, items, least(10, items) AS documents, days + items + least(10, items) AS requests, ((days + items + least(10, items)) * 0.5)::DOUBLE AS seconds FROM i",
     "label_code": "SELECT p_partkey, p_name AS label, p_size::VARCHAR AS code FROM part",
     "outcome_classification": "SELECT page_id, CASE WHEN contains(html, 'session expired') THEN 'sessionExpired' WHEN contains(html, 'unprimed') THEN 'unprimedSession' WHEN contains(html, 'track(1') OR contains(url, 'utm_') THEN 'hostDefect' WHEN length(html) < 1500 THEN 'invalidTokenShell' WHEN contains(html, '<article>') THEN 'validData' ELSE 'unclassified' END AS validity FROM pages",
