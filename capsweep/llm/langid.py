@@ -146,7 +146,7 @@ class LanguageModel:
                 theta = (seen + SMOOTHING) / (seen.sum() + SMOOTHING * len(seen))
             theta[pieces.unknown] = UNKNOWN
             logs.append(np.log(theta))
-        return cls(path, langs, np.array(logs).reshape(len(langs), -1))
+        return cls(path, langs, np.array(logs).reshape(len(langs), pieces.unknown + 1))
 
     def score_words(self, words: list[str]) -> np.ndarray:
         """Log-probabilities, a row for each word and a column for each language."""

@@ -7,9 +7,9 @@ extra columns are ignored. Texts of any length are encoded whole.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,15 @@ from . import simple8b
 from .common import materialise, small_batches
 
 FILE_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, ends array<long>, words binary, escapes binary"
-#: A space after white space is no boundary if white space or the end follows it; such texts are encoded in one piece.
-ODD_SPACE = re.compile(r"\s |[^\S\n ]|\s\n|\n\s|^\s|\s$")
-#: Distinct words that a worker remembers; more are encoded again when met.
-REMEMBERED = 400_000
+#: Texts with any of these, or white space at an end, are encoded in one piece: a boundary may not hold there.
+ODD_PAIRS = ("  ", "\n\n", " \n", "\n ")
+ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+#: Words that a worker remembers; when there are more, it begins anew.
+REMEMBERED = 1_000_000
+
+
+def is_plain(text: str) -> bool:
+    return not (text[0].isspace() or text[-1].isspace() or any(x in text for x in ODD_PAIRS) or any(c in text for c in ODD_SPACES))
 
 
 class WordEncoder:
@@ -47,49 +52,52 @@ class WordEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _joined(self, words: list[str]) -> list[np.ndarray]:
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, how many each word has)."""
         ids = self.whole("\n".join(words))
         cut = np.flatnonzero(ids == self.line)
         if len(cut) != len(words) - 1:  # a word's own ids hold a line break
-            return [self.whole(w) for w in words]
-        return [x[1:] if k else x for k, x in enumerate(np.split(ids, cut))]
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known, self.flat, self.begin = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        inner, first = [p for p in pieces if p[0] != "\n"], [p for p in pieces if p[0] == "\n"]
-        got: list[np.ndarray] = []
-        for k in range(0, len(inner), 2000):
-            got += self._joined([" " + w for w in inner[k : k + 2000]])
-        for k in range(0, len(first), 2000):
-            got += [np.concatenate((np.array([self.line], np.uint32), x)) for x in self._joined([w[1:] for w in first[k : k + 2000]])]
+            each = [self.whole(w) for w in words]
+            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+        return np.delete(ids, cut), np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
+
+    def _learn(self, pieces: list[str]) -> None:
+        inner, first = [p for p in pieces if p[:1] != "\n"], [p for p in pieces if p[:1] == "\n"]
+        flat, sizes = [self.flat], []
+        for words, lead in ((inner, False), (first, True)):
+            for k in range(0, len(words), 2000):
+                ids, n = self._joined([w[1:] if lead else " " + w for w in words[k : k + 2000]])
+                if lead:
+                    ids, n = np.insert(ids, np.cumsum(n) - n, self.line), n + 1
+                flat.append(ids)
+                sizes.append(n)
         at = len(self.known)
         self.known.update((w, at + k) for k, w in enumerate(inner + first))
-        self.flat = np.concatenate([self.flat, *got])
-        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(x) for x in got])))
+        self.flat = np.concatenate(flat)
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.line is None:
             return [self.whole(t) for t in texts]
-        split = [None if not t or ODD_SPACE.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        new = set().union(*(p[1:] for p in split if p)).difference(self.known)
-        out: list[np.ndarray | None] = []
-        if new:
-            self._learn(new)
-            missing = set().union(*(p[1:] for p in split if p)).difference(self.known) if len(new) > REMEMBERED // 2 else ()
-            if missing or len(self.known) == len(new):  # the memory was emptied: old words of this batch went too
-                self._learn(set().union(*(p[1:] for p in split if p)).difference(self.known) or {"a"})
-        get = self.known.__getitem__
-        for text, pieces in zip(texts, split, strict=True):
-            if pieces is None:
+        if len(self.known) > REMEMBERED:
+            self.known, self.flat, self.begin = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        split = [t.replace("\n", " \n").split(" ") if t and is_plain(t) else None for t in texts]
+        number = lambda p: np.fromiter(map(self.known.get, p[1:], repeat(-1)), np.int64, len(p) - 1)
+        places = [None if p is None else number(p) for p in split]
+        unknown = [i for i, k in enumerate(places) if k is not None and (k < 0).any()]
+        if unknown:
+            self._learn(list(dict.fromkeys(split[i][j + 1] for i in unknown for j in np.flatnonzero(places[i] < 0).tolist())))
+            for i in unknown:
+                places[i] = number(split[i])
+        out = []
+        for text, pieces, k in zip(texts, split, places, strict=True):
+            if k is None:
                 out.append(self.whole(text) if text else np.zeros(0, np.uint32))
                 continue
-            head = self.whole(pieces[0])
-            k = np.fromiter(map(get, pieces[1:]), np.int64, len(pieces) - 1)
             n = self.begin[k + 1] - self.begin[k]
             end = np.cumsum(n)
-            total = int(end[-1]) if len(end) else 0
-            out.append(np.concatenate((head, self.flat[np.repeat(self.begin[k] - (end - n), n) + np.arange(total)])))
+            rest = self.flat[np.repeat(self.begin[k] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+            out.append(np.concatenate((self.whole(pieces[0]), rest)))
         return out
 
 

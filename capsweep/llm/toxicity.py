@@ -144,9 +144,9 @@ def forward_backward(emission: np.ndarray, move: np.ndarray, ends: np.ndarray, c
 
 
 def family(words: list[str]) -> int:
-    """Nearly equal for near copies: the least hash of a document's pairs of words."""
-    h = np.fromiter((zlib.crc32(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:], strict=False)), np.int64)
-    return int(h.min()) if len(h) else zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass"))
+    """Nearly equal for near copies: the least hash of a document's runs of four words."""
+    runs = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    return min(zlib.crc32(r.encode("utf-8", "surrogatepass")) for r in runs)
 
 
 def token_labels(docs: list[list[str]], toxic: list[bool]) -> list[np.ndarray]:

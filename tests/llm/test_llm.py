@@ -1,0 +1,344 @@
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from capsweep.llm import chat_format, decontaminate, langid, mixing, ngram_join, queries, secrets, simple8b, token_output, topk, toxicity, url_filter
+from capsweep.llm.graph import connected_components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, rough long, size long"
+ODD = [None, "", "   ", "one", "a b", "a  b\n\nc \n", "x" * 3000, "word " * 3000, "the cat sat on the mat today again", "the cat sat on the mat today again", "¡ñandú! 日本 語", "\ttab nbsp end "]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, [None, "en", "fr"][i % 3], [None, "s0", "s1"][i % 3], None, "clash", 1, 2) for i, t in enumerate(ODD)]
+    return spark.createDataFrame([*rows, rows[8], (None, "no id here", None, None, None, None, None, None)], DOCS)
+
+
+def empty(docs):
+    return docs.where("false")
+
+
+def same(df, want):
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
+# --- simple-8b and tokens
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60000), st.integers(0, 2**32 - 1)), max_size=300))
+def test_simple8b_round_trip(ids):
+    words, escapes = simple8b.encode(np.array(ids, np.uint32))
+    assert simple8b.decode(words, escapes, len(ids)).tolist() == ids
+
+
+def test_word_encoder_is_the_library():
+    e = token_output.WordEncoder(token_output.vocabulary_path())
+    texts = [t or "" for t in ODD] + ["Hello, wörld.\nNew line it's 12,5\n", "a\n b", "a \nb", "<|endoftext|> x", "ends ", " starts", "x\n\n\ny", "a\tb", "one\ntwo three\nfour"]
+    for _ in range(2):
+        assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_word_encoder_forgets_and_stays_right(monkeypatch):
+    monkeypatch.setattr(token_output, "REMEMBERED", 5)
+    e = token_output.WordEncoder(token_output.vocabulary_path())
+    for texts in (["a b c d e f g"], ["a b x"], ["q\nr a z", "k l m n o p"]):
+        assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_tokens(spark, docs):
+    t = token_output.WordEncoder(token_output.vocabulary_path()).tokenizer
+    want, at = [], 0
+    for r in sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = np.array([*t.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4")
+        want.append((r[0], at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    same(token_output.read_tokens(token_output.write_tokens(docs)), want)
+    assert token_output.read_tokens(token_output.write_tokens(empty(docs))).count() == 0
+
+
+# --- n-gram join
+
+
+def brute_components(rows, k, num, den):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return [(d, len(sets[i]), least.get(root(i), d)) for i, (d, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("tile", [3, 1000])
+def test_ngram_components(spark, docs, tile):
+    rng = np.random.default_rng(1)
+    rows = [(r[0], r[1]) for r in docs.select("doc_id", "text").collect()]
+    base = [f"w{x}" for x in rng.integers(0, 400, 120)]
+    for i in range(40):
+        w = list(base)
+        for p in rng.integers(0, len(w), int(rng.integers(0, 6))):
+            w[p] = f"n{rng.integers(0, 9)}"
+        rows.append((100 + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(ngram_join.ngram_components(df, 4, (85, 100), tile), brute_components(rows, 4, 85, 100))
+
+
+def test_one_of_each(spark, docs):
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r[0] for r in kept.select("doc_id").collect() if r[0] is not None)
+    assert ids == [0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 11] and ngram_join.one_of_each(empty(docs)).count() == 0
+
+
+def test_components(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (100, 101), (7, 7), (None, 3)], "u long, v long")
+    got = {r[0]: r[1] for r in connected_components(df).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+# --- decontamination
+
+
+def brute_hits(text, items, window=10):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    hit, found = set(), set()
+    for k, t in items:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        v = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        n = min(window, len(v))
+        for a in range(len(v) - n + 1 if v else 0):
+            for b in range(len(w) - n + 1):
+                if w[b : b + n] == v[a : a + n]:
+                    hit.update(range(b, b + n))
+                    found.add(k)
+    return len(w), len(hit), sorted(map(str, found - {None}))
+
+
+def test_find_items(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 12)
+    items = [(1, "the cat sat on the mat"), (2, "A b"), (3, None), (4, "word " * 12), (5, " ".join(f"q{i}" for i in range(14))), (None, "語 x"), (1, "日本")]
+    rows = [(r[0], r[1]) for r in docs.select("doc_id", "text").collect()] + [(50, "z " + " ".join(f"q{i}" for i in range(3, 13)) + ", tail"), (51, " ".join(f"q{i}" for i in range(3, 12)))]
+    got = decontaminate.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    same(got, [(d, *brute_hits(t, items)) for d, t in rows])
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("abc ", max_size=14), max_size=5), st.text("abc ", max_size=40), st.integers(1, 4))
+def test_automaton(items, text, window):
+    items = list(enumerate(items))
+    a = decontaminate.SuffixAutomaton([(k, decontaminate.normalised(t).split()) for k, t in items], window)
+    spans, found = a.scan(decontaminate.normalised(text).split())
+    assert (sum(y - x for x, y in spans), sorted(map(str, found))) == brute_hits(text, items, window)[1:]
+
+
+def test_remove_items(spark, docs):
+    items = spark.createDataFrame([(5, " ".join(f"q{i}" for i in range(12)))], "item_id long, text string")
+    rows = [(1, "Keep this much text, all of it and then some more words: " + " ".join(f"Q{i}" for i in range(12)) + "; the end.", None, None, 5, None, None, None), (2, " ".join(f"q{i}" for i in range(12)), None, None, 5, None, None, None)]
+    out = decontaminate.remove_items(docs.unionByName(spark.createDataFrame(rows, DOCS)), items)
+    assert out.columns == docs.columns and out.count() == docs.count() + 1
+    r = out.where("n_chars is not null").first()
+    assert r.text == "Keep this much text, all of it and then some more words: ; the end." and r.n_chars == len(r.text)
+
+
+# --- mixing
+
+
+def test_reshared():
+    assert mixing.reshared([100, 100, 100], [5.0, 2.0, 1.0], 450, 2) == pytest.approx([200, 500 / 3, 250 / 3])
+    assert mixing.reshared([0, 10], [5.0, 2.0], 15, 2) == [0, 15]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 5), min_size=1, max_size=8), st.integers(0, 400))
+def test_fit_is_the_best_sum(counts, budget):
+    lengths = np.array(sorted(counts))
+    n = np.array([counts[x] for x in sorted(counts)])
+    take = mixing.fit(lengths, n, budget)
+    assert (take >= 0).all() and (take <= n).all() and (take * lengths).sum() <= max(budget, 0)
+    assert mixing._knapsack(lengths, n, budget) @ lengths == max(s for s in _sums(lengths, n) if s <= budget)
+
+
+def _sums(lengths, n):
+    out = {0}
+    for x, c in zip(lengths.tolist(), n.tolist(), strict=True):
+        out = {s + k * x for s in out for k in range(c + 1)}
+    return out
+
+
+def test_mix(spark, docs):
+    rows = [r.asDict() for r in mixing.mix(docs).collect()]
+    again = [r.asDict() for r in mixing.mix(docs).collect()]
+    key = lambda r: repr(sorted(r.items(), key=lambda kv: kv[0]))
+    assert sorted(map(key, rows)) == sorted(map(key, again)) and len(rows) == docs.count()
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs.collect()}
+    assert all(r["size"] == size[r["doc_id"]] and r["taken"] <= 2 * r["size"] for r in rows)
+    for s in {r["source"] for r in rows}:
+        own = [r for r in rows if r["source"] == s]
+        assert sum(r["taken"] for r in own) <= own[0]["target"] + 0.5
+    assert mixing.mix(empty(docs)).count() == 0 and mixing.take(docs).columns == docs.columns
+
+
+# --- secrets
+
+
+def test_base_spans():
+    t = "x password='abcdefg' API_KEY: short token=abc AKIA" + "A" * 16 + " " + "0123456789abcdef" * 2 + " passwd:token:secret99"
+    kinds = [k for _, k, _ in secrets.base_spans(t)]
+    assert kinds == [0, 1, 2] and secrets.base_spans("ſecret=abcdefg") == []
+
+
+def test_novelty(spark, docs):
+    t = "const authHeader = x; session key auth: qX7f9Kz2LmP0vTr8YwB3 end. session " + "example_name_example_name1"
+    base, every = secrets.scan(t)
+    assert not base and [secrets.KINDS[k] for _, k, _ in every] == ["novel"] and t[every[0][0] : every[0][2]] == "qX7f9Kz2LmP0vTr8YwB3"
+    got = secrets.find_secrets(docs).collect()
+    assert len(got) == docs.count() and all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got)
+
+
+# --- top-k
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(0)
+    v = rng.integers(-140, 140, (150, 6))
+    v[20:60] = v[20]
+    rows = [(int(i), x.tolist()) for i, x in enumerate(v)] + [(0, v[0].tolist()), (500, None), (501, [1, 2]), (502, []), (None, [0] * 6), (500, [-1] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    want = []
+    ids = [i for i in range(150)] + [500]
+    m = np.concatenate((v, [[-1] * 6]))
+    for q in (0, 50, 100):
+        s = m @ v[q]
+        for r, k in enumerate(sorted((k for k in range(len(ids)) if ids[k] != q), key=lambda k: (-s[k], ids[k]))[:5], 1):
+            want.append((q, r, ids[k], int(s[k])))
+    same(topk.top_k(df, df.where("vec_id % 50 = 0 and vec_id < 150"), 5, 40, 2), want)
+    assert topk.top_k(df.where("false"), df.where("false")).count() == 0
+
+
+def test_unusable_vectors(spark):
+    df = spark.createDataFrame([([1.0, None],), ([1.0, float("nan")],), ([float("inf")],), (None,), ([],), ([-0.5, 0.25],)], "e array<float>")
+    assert [r[0] for r in df.where(topk.usable(F.col("e"))).select(topk.quantised(F.col("e"))).collect()] == [[-128, 64]]
+
+
+# --- toxicity, language
+
+
+def test_forward_backward_is_exact():
+    rng = np.random.default_rng(0)
+    e, move, ends = rng.normal(0, 2, 9), rng.normal(0, 1, (2, 2)), np.array([4, 5, 9])
+    got, moves = toxicity.forward_backward(e, move, ends, True)
+    at, total = 0, np.zeros((2, 2))
+    for end in ends:
+        n, p, z, pair = end - at, np.zeros(end - at), 0.0, np.zeros((2, 2))
+        for code in range(2**n):
+            y = [(code >> i) & 1 for i in range(n)]
+            w = np.exp(sum(e[at + i] * y[i] for i in range(n)) + sum(move[a, b] for a, b in zip(y, y[1:])))
+            z += w
+            p += w * np.array(y)
+            for a, b in zip(y, y[1:]):
+                pair[a, b] += w
+        assert got[at:end] == pytest.approx(p / z)
+        total += pair / z
+        at = end
+    assert moves == pytest.approx(total)
+
+
+def test_toxicity(spark, docs):
+    words = ["alpha", "beta", "gamma", "delta", "epsilon"]
+    rng = np.random.default_rng(0)
+    rows = [(i, " ".join(rng.choice(words, 20)) + (" vile%d scum." % (i % 9) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(300)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    chain = toxicity.learn(d, labels)
+    got = {r.doc_id: r for r in toxicity.score(d, chain, spans=True).collect()}
+    held = [i for i, _, _ in rows if got[i].held_out]
+    assert held and all(got[i].predicted == rows[i][2] for i in held)
+    assert got[900].predicted == 0 and 0 <= got[900].score <= 1
+    t = rows[0][1]
+    assert any("scum" in t[a:b] for a, b in got[0].spans)
+    assert toxicity.score(docs, toxicity.learn(empty(docs), labels)).count() == docs.count()
+    assert toxicity.drop_toxic(d, labels).count() == 301 - 75
+
+
+def test_language_forward_sums_all_segmentations():
+    path = langid.vocabulary_path()
+    m = langid.LanguageModel.fit(path, {"a": langid.Counter({"the": 5, "cat": 2}), "b": langid.Counter({"der": 5, "katze": 2})})
+    for word in ("the", "katzen", "x" * 200):
+        for j, log in enumerate(m.logs):
+            best = [1.0]
+            if len(word) < 50:
+                for end in range(1, len(word) + 2):
+                    best.append(sum(best[b] * np.exp(log[p]) for b, e, p in m.pieces.edges(word) if e == end))
+                assert m.score_words([word])[0, j] == pytest.approx(np.log(best[-1]))
+    assert m._long("katze", m.logs[1]) == pytest.approx(m.score_words(["katze"])[0, 1])
+    assert [x[0] for x in m.score(["the cat", "der katze", "", "12 _ 34"])] == ["a", "b", "und", "und"]
+
+
+def test_language(spark, docs):
+    got = langid.identify(docs, langid.learn(docs)).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+    assert all(r.lang_pred == "und" for r in langid.identify(docs, langid.learn(empty(docs))).collect())
+
+
+# --- urls, chats
+
+
+def test_urls(spark):
+    link = '<link href="https://a.net/de/1" rel="canonical">'
+    rows = [
+        (1, "https://A.example.COM/en/71?x#y", ""), (2, "http://b.com/en/5", ""), (3, "http://other.xyz/1", "<link rel=canonical href='http://b.com/en/5'>"),
+        (4, "http://far.xyz/", '<meta http-equiv="refresh" content="0; url=http://other.xyz/1">'), (5, "http://mixed.xyz/", link), (6, "http://mixed.xyz/", '<link rel="canonical" href="http://b.com/en/5">'),
+        (7, None, None), (8, "no scheme", link), (9, "http://com/en/", None), (10, "http://xcom/en/", None), (3, "http://other.xyz/1", None),
+    ]
+    got = [tuple(r)[0:1] + tuple(r)[3:] for r in url_filter.filter_urls(spark.createDataFrame(rows[:4] + rows[6:], "page_id long, url string, html string")).collect()]
+    want = [(1, "example.com/en/7", "allow", "rule"), (2, "com/en/", "block", "rule"), (3, None, "block", "alias"), (4, None, "block", "alias"), (7, None, "allow", "default"), (8, None, "allow", "default"), (9, "com/en/", "block", "rule"), (10, None, "allow", "default"), (3, None, "block", "alias")]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    mixed = {r.page_id: r.verdict for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert mixed[5] == "allow" and mixed[3] == "allow" and mixed[2] == "block"
+
+
+def test_chats(spark):
+    rows = [(1, 1, "assistant", "a & <|done|>\n &lt; [INST]"), (1, 0, "user", None), (1, None, None, "late"), (2, 0, "user", "x"), (None, 0, "user", "y"), (2, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("parts", chat_format.text_parts(F.col("text")))
+    got = {r.conv_id: r for r in chat_format.format_chats(df).select("*", chat_format.read_turns(F.col("formatted")).alias("t"), chat_format.read_loss(F.col("formatted"), F.col("mask")).alias("loss")).collect()}
+    assert [tuple(x) for x in got[1].t] == [("user", ""), ("assistant", rows[0][3]), ("", "late")] and got[1].loss == [rows[0][3]]
+    assert len(got[2].t) == 2 and len(got) == 3 and chat_format.format_chats(df.where("false")).count() == 0
+
+
+def test_chat_attachments(spark):
+    part = lambda k, t=None, r=None, n=None: (k, t, r, n)
+    df = spark.createDataFrame([(1, 0, "user", [part("text", "see "), part("image", None, "a.png"), part("text", ":#|>"), part("audio", None, "b.wav", 7)]), (1, 1, "assistant", [part("document", None, "c.pdf"), part("text", "ok")]), (1, 2, "user", None)], f"conv_id long, turn long, role string, parts {chat_format.PARTS}")
+    r = chat_format.format_chats(df).first()
+    assert "see <|image:0|>:#|><|audio:1|>" in r.formatted and "<|document:2|>ok" in r.formatted
+    assert [tuple(a) for a in r.attachments] == [(0, "image", "a.png", 576), (1, "audio", "b.wav", 7), (2, "document", "c.pdf", 256)] and r.n_attachment_tokens == 839
+    m = r["mask"][1]
+    assert r.formatted[m.start : m.end] == "<|document:2|>ok"
+
+
+def test_contract_columns(spark):
+    want = {"op2": {"page_id", "host", "path", "rule", "verdict"}, "op8": {"conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"}, "op10": {"doc_id", "size", "source_size", "target", "taken"}}
+    for name, columns in want.items():
+        q = next(f for n, f in queries.QUERIES.items() if n.startswith(name + "_"))
+        assert columns <= set(q(spark, "/root/testdata/sf0.001").columns)
