@@ -36,42 +36,50 @@ from .words import mix, shingle_set, split_words
 TILE = 1000
 CENTRES = 8
 LEAF = 16
+#: Groups for each that differences can reach.
+SPARE = 1.2
 #: Rows of a table that is sent to all executors; beyond it, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 _MEMORY_KEYS = 200_000
 
 
-def levels(t: Fraction, most: int) -> list[tuple[int, int, int]]:
-    """(upper size, groups, differences) of each size class; sets that link are of the same class or of neighbours.
+def levels(t: Fraction, most: int) -> list[tuple[int, int]]:
+    """(upper size, groups) of each size class; sets that link are of the same class or of neighbours.
 
-    A pair of level l has its smaller set in class l. Its sets of sizes s and at most s / t differ in at most
-    (1 - t) / t * s shingles. More groups than that are cut, so that the ones of two shingles and more suffice.
+    A pair of level l has its smaller set in class l; its sets, of sizes s and at most s / t, differ in at most
+    (1 - t) / t * s shingles. More groups than that are cut, so that the small ones needn't count.
     """
     out, low = [], 1
     while low <= most:
         high = math.floor(low / t)
         apart = math.floor((1 - t) / t * high)
-        out.append((high, math.ceil((apart + 1) * 1.06) + 4 if apart else 1, apart))
+        out.append((high, math.ceil((apart + 1) * SPARE) + 4 if apart else 1))
         low = high + 1
     return out
 
 
 def signatures(sets: list[np.ndarray], t: Fraction) -> list[np.ndarray]:
-    """For each set, 64-bit signatures; sets that link share one."""
+    """For each set, 64-bit signatures; sets that link share one.
+
+    A set that differs in at most k shingles from any it links with has more than k groups of m shingles and more,
+    for the largest such m, and gives those. Of two sets that link, the one with the larger m keeps one of its groups whole,
+    which the other has too, and gives.
+    """
     table = levels(t, max((len(s) for s in sets), default=0) or 1)
     upper = np.array([x[0] for x in table])
     out: list[list[np.ndarray]] = [[] for _ in sets]
     size = np.array([len(s) for s in sets], np.int64)
     own = np.searchsorted(upper, size)
+    p, q = t.numerator, t.denominator
     for back in (0, 1):
         use = np.flatnonzero((size > 0) & (own - back >= 0))
         if not len(use):
             continue
-        level = own[use] - back
+        level, n = own[use] - back, size[use]
         groups = np.array([table[k][1] for k in level], np.int64)
-        apart = np.array([table[k][2] for k in level], np.int64)
+        # most differences: as the smaller of a pair, or as the larger beside one of the class below
+        apart = (q - p) * n // p if not back else (q - p) * (n + np.minimum(n, upper[level])) // (q + p)
         begin = np.concatenate(([0], np.cumsum(groups)))
-        n = size[use]
         h = np.concatenate([sets[i] for i in use])
         cell = np.repeat(begin[:-1], n) + (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.repeat(groups.astype(np.uint64), n)).astype(np.int64)
         total = np.zeros(begin[-1], np.uint64)
@@ -79,12 +87,12 @@ def signatures(sets: list[np.ndarray], t: Fraction) -> list[np.ndarray]:
         count = np.bincount(cell, minlength=begin[-1])
         number = np.arange(begin[-1]) - np.repeat(begin[:-1], groups)
         sig = mix(total ^ mix((np.repeat(level, groups).astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)))
-        heavy = count >= 2
-        full = np.add.reduceat(heavy, begin[:-1])
-        keep = heavy | np.repeat(full <= apart, groups)  # too few large groups to be sure of a common one: all groups count
         for j, i in enumerate(use.tolist()):
             a, b = begin[j], begin[j + 1]
-            out[i].append(sig[a:b][keep[a:b]])
+            mine = count[a:b]
+            k = min(int(apart[j]), b - a - 1)
+            least = np.partition(mine, b - a - 1 - k)[b - a - 1 - k]
+            out[i].append(sig[a:b][mine >= least])
     return [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out]
 
 
