@@ -66,6 +66,24 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def run_summary(counts: dict, broken: list[dict]) -> list[str]:
+    """Lines on a run: its cells by state, and where parts fall short of their whole."""
+    lines = ["Run summary (measured, not certified):", *(f"  {k}: {counts[v]}" for k, v in (("complete", "complete"), ("truncated", "truncated"), ("failed", "failed"), ("unresolved items", "unresolved")))]
+    if broken:
+        lines += ["", "Parts with fewer items than their whole; these windows are incomplete, whatever their cells' states:"]
+        for b in broken:
+            scope = b["window_key"] if b["facet_value"] is None else f"{b['window_key']} | {b['facet_value']}"
+            lines.append(f"  {scope}: whole {b['parent_count']}, parts {b['child_sum']}, missing {b['parent_count'] - b['child_sum']}")
+    return lines
+
+
+def frontier_summary(seeds_processed: int, new_items: int) -> list[str]:
+    return [
+        "Frontier run summary:", f"  seeds processed: {seeds_processed}", f"  new items found: {new_items}", "",
+        "What this run adds to coverage is not measured: seeds come from items already found, so it leads to what is connected with them and can't tell what it never saw.",
+    ]
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     if a.command == "scrape":

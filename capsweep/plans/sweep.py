@@ -34,14 +34,15 @@ def day_cells(spark: SparkSession, date_from: str, date_to: str) -> DataFrame:
     return spark.range(1).select(day).select(key.alias("unit_key"), key.alias("window_key"), none.alias("facet_value"), none.alias("probe"), F.col("d").alias("date_from"), F.col("d").alias("date_to"), F.lit(0).alias("depth"))
 
 
-def bisected(cells: DataFrame) -> DataFrame:
-    """Two halves of each span of days."""
+def bisected(cells: DataFrame, others: list[str] | None = None) -> DataFrame:
+    """Two halves of each span of days. others: further columns that they inherit."""
+    others = others or []
     days = F.datediff("date_to", "date_from")
     middle = F.date_add("date_from", F.floor(days / 2).cast("int"))
     halves = F.explode(F.array(F.struct(F.col("date_from").alias("a"), middle.alias("b")), F.struct(F.date_add(middle, 1).alias("a"), F.col("date_to").alias("b")))).alias("h")
     key = F.concat_ws("..", "h.a", "h.b")
-    return cells.where(days > 0).select("facet_value", "probe", (F.col("depth") + 1).alias("depth"), halves).select(
-        F.concat_ws("|", key, "facet_value").alias("unit_key"), key.alias("window_key"), "facet_value", "probe", F.col("h.a").alias("date_from"), F.col("h.b").alias("date_to"), "depth"
+    return cells.where(days > 0).select(*others, "facet_value", "probe", (F.col("depth") + 1).alias("depth"), halves).select(
+        F.concat_ws("|", key, "facet_value").alias("unit_key"), key.alias("window_key"), "facet_value", "probe", F.col("h.a").alias("date_from"), F.col("h.b").alias("date_to"), "depth", *others
     )
 
 
@@ -80,9 +81,12 @@ def observe(cells: DataFrame, hits: DataFrame, cap: int | None) -> DataFrame:
 def sweep(source: CappedSource, traversal: Traversal, seeds: DataFrame, max_depth: int = 20, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(coverage, items): a row for each cell asked, `subdivided` where it was split; and each item once.
 
-    done: checkpoints of an earlier run; its cells aren't asked again.
+    done: checkpoints of an earlier run; its cells aren't asked again. Where it has the cells' own columns, the
+    children of those it split are asked too, as far as it hasn't done them.
     """
     level, coverage, found = seeds, [], []
+    if done is not None and set(seeds.columns) <= set(done.columns):
+        level = cut(level.unionByName(traversal.split(done.where("state = 'subdivided'").select(*seeds.columns))).dropDuplicates(["unit_key"]))
     while True:
         if done is not None:
             level = pending(level, done)

@@ -11,7 +11,9 @@ from . import cli
 from .functions import codecs
 from .functions import scalars as S
 from .operators import coverage, queues
-from .plans.sweep import Traversal, day_cells, observe, sweep
+from .plans.frontier import crawl
+from .plans.retry import retry_failed
+from .plans.sweep import Traversal, day_cells, sweep
 from .sources import html
 from .sources.capped import TableSource, capped
 
@@ -199,10 +201,30 @@ def latin1_form(spark, sf_dir):
     return d.select("doc_id", F.length(codecs.encode_latin1(F.col("text"))).cast("long").alias("encoded_chars"))
 
 
+def frontier_crawl(spark, sf_dir):
+    """Part names as seeds, over lines behind a cap of 30; the budget of 60 requests is the run's own."""
+    source = ship_source(spark, sf_dir, 30)
+    low, high = source.rows.agg(F.min("day"), F.max("day")).first()
+    seeds = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), F.lit("name").alias("kind"), F.col("p_name").alias("value"), F.when(F.col("p_size") > 25, "truncated").otherwise("complete").alias("cell_state"))
+    none = F.lit(None).cast("string")
+    cell = lambda s: s.select(F.col("value").alias("unit_key"), F.lit(f"{low}..{high}").alias("window_key"), none.alias("facet_value"), F.col("value").alias("probe"), F.lit(low).alias("date_from"), F.lit(high).alias("date_to"), F.lit(0).alias("depth"), "seed_no")
+    return crawl(source, seeds, ["name"], cell, max_requests=60).items
+
+
+def retry_outcomes(spark, sf_dir):
+    """Failed documents, asked for again: those of an even number answer."""
+    e = table(spark, sf_dir, "events").where("event_type in ('error', 'purchase')")
+    ledger = e.select(F.col("user_id").alias("item_id"), (F.col("event_id") % 7).alias("document_id"), F.col("ts").alias("observed_at"), (F.col("event_type") == "purchase").alias("resolved"), F.lit("{}").alias("item"), F.lit("{}").alias("doc"))
+    fetch = lambda d: d.withColumns({"file_name": F.lit(None).cast("string"), "body": F.lit(None).cast("binary"), "reason": F.when(F.col("document_id") % 2 == 1, "gone")})
+    good, bad = retry_failed(ledger, fetch)
+    return good.select("item_id", "document_id", "resolved").unionByName(bad.select("item_id", "document_id", "resolved"))
+
+
 QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
     bigram_frequency, probe_queue, substring_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
+    frontier_crawl, retry_outcomes,
 )} | {"sweep_cells": sweep_cells}
 
 _HASH = "'sha1:' || sha1(coalesce(string_agg(item_id, chr(10) ORDER BY item_id), ''))"
@@ -241,6 +263,7 @@ SQL = {
         SELECT a.w AS window_key, a.n AS parent_count, b.s AS child_sum, b.s >= a.n AS holds FROM a JOIN b ON a.w = b.w""",
     "pending_anti_join": "SELECT o_orderkey AS unit_key FROM orders WHERE NOT (o_orderpriority <> '1-URGENT' AND o_orderstatus <> 'F')",
     "unresolved_failures": "SELECT user_id AS item_id, event_id % 7 AS document_id, event_id FROM events e WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events f WHERE f.event_type = 'purchase' AND f.user_id = e.user_id AND f.event_id % 7 = e.event_id % 7)",
+    "retry_outcomes": "SELECT DISTINCT user_id AS item_id, event_id % 7 AS document_id, event_id % 7 % 2 = 0 AS resolved FROM events e WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events f WHERE f.event_type = 'purchase' AND f.user_id = e.user_id AND f.event_id % 7 = e.event_id % 7)",
     "bigram_frequency": "WITH t AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part) SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n, min(p_partkey) AS first_seen FROM (SELECT p_partkey, w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1",
     "probe_queue": "WITH t AS (SELECT string_split(p_name, ' ') AS w FROM part), f AS (SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1) SELECT probe, 0 AS source_rank, n FROM f UNION ALL SELECT probe, 1, 0 FROM (VALUES ('DA SILVA'), ('DOS SANTOS')) d(probe) WHERE probe NOT IN (SELECT probe FROM f)",
     "substring_probe_hits": "WITH p AS (SELECT DISTINCT lower(substr(p_name, 1, 4)) AS probe FROM part WHERE p_partkey <= 20) SELECT probe, count(*) AS hits FROM p JOIN part ON contains(lower(p_name), probe) GROUP BY probe",
