@@ -3,8 +3,8 @@
 Tokens of labelled documents are labelled first: in a toxic document, a word is toxic if it, or a start of it of at
 least four letters, stands in many more toxic than clean learnt documents; all others are clean. A two-state chain
 is fitted to these sequences by gradient ascent on its likelihood. A text's forward-backward marginals give the
-probability of each word being toxic; a logistic model of their largest and their sum, fitted on learnt documents that
-the chain hasn't seen, makes the document's score. The words whose marginal reaches one half are the offending spans.
+probability of each word being toxic; a logistic model of their sum and their share of the text, fitted on learnt
+documents that the chain hasn't seen, makes the document's score. The words whose marginal reaches one half are the offending spans.
 
 Learnt from at most TRAIN_DOCS labelled documents outside the held-out fold, chosen by a hash of their ids; scored
 over whole texts. Defined results: null and empty texts have the score of a text without words; if there is nothing
@@ -31,9 +31,11 @@ TRAIN_DOCS = 3000
 THRESHOLD = 0.7
 #: A word's start marks it as toxic in a toxic document if this share of the toxic documents have it (and at least and at
 #: most so many are asked for), so many times as often as clean ones.
-MARK_SHARE, MARK_LEAST, MARK_MOST, MARK_RATIO = 0.02, 3, 10, 20.0
+MARK_SHARE, MARK_LEAST, MARK_MOST, MARK_RATIO = 0.02, 3, 10, 6.0
 ROUNDS, RATE, DECAY = 30, 0.3, 1e-4
 LEAST_DOCS = 3
+#: Words that a text counts as having besides its own when its toxic words are set against them.
+EXTRA_WORDS = 30
 REMEMBERED = 400_000
 _WORDS = re.compile(r"\w+")
 
@@ -41,7 +43,7 @@ _WORDS = re.compile(r"\w+")
 def features(word: str) -> list[str]:
     """A word's features: itself, its starts and its end."""
     w = word.lower()
-    return ["=" + w, *["<" + w[:k] for k in (3, 4, 5, 6) if len(w) > k], *[">" + w[-3:]][: len(w) > 3]]
+    return ["=" + w, *["<" + w[:k] for k in (3, 4, 5, 6, 7, 8) if len(w) > k], *[">" + w[-3:]][: len(w) > 3]]
 
 
 def _marks(word: str) -> list[str]:
@@ -79,13 +81,14 @@ class Chain:
 
     def score(self, p: np.ndarray) -> float:
         a, b, c = self.calibration
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, a + b * _top(p) + c * math.log1p(float(p.sum()))))))
+        _, amount, share = _evidence(p)
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, a + b * amount + c * share))))
 
 
-def _top(p: np.ndarray) -> float:
-    """Log-odds of the largest marginal, within bounds that keep the fit sane."""
-    x = float(p.max()) if len(p) else 0.0
-    return max(-8.0, min(8.0, math.log((x + 1e-12) / (1 - x + 1e-12))))
+def _evidence(p: np.ndarray) -> list[float]:
+    """1, how many words are toxic, and how many of a thousand: a long clean text meets a few by chance."""
+    toxic = float(p.sum())
+    return [1.0, math.log1p(toxic), math.log1p(1000 * toxic / (len(p) + EXTRA_WORDS))]
 
 
 def forward_backward(emission: np.ndarray, move: np.ndarray, ends: np.ndarray, counts: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +213,7 @@ def fit(docs: list[list[str]], toxic: list[bool]) -> Chain:
     chain = Chain({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-3}, bias, move, (0.0, 1.0, 0.0))
     rest = [k for k in range(len(docs)) if k % 3 == 0]
     p = chain.marginals([docs[k] for k in rest])
-    x = np.array([[1.0, _top(q), math.log1p(float(q.sum()))] for q in p]).reshape(-1, 3)
+    x = np.array([_evidence(q) for q in p]).reshape(-1, 3)
     t = np.array([toxic[k] for k in rest], float)
     c = np.zeros(3)
     for _ in range(50):  # Newton's steps of a lightly damped logistic regression
