@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ CHUNK = 4000
 ROUNDS = 4
 SMOOTHING = 0.05
 UNKNOWN = 1e-7
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 LONG = 150
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -45,6 +46,7 @@ class Pieces:
     """The vocabulary: piece -> number, with and without the mark of a word's start."""
 
     MARK = "▁"
+    GAP = "\0"
 
     def __init__(self, path: str):
         import sentencepiece
@@ -54,19 +56,32 @@ class Pieces:
         self.number = {p: k for k, p in enumerate(dict.fromkeys(p.lower() for p in keep))}
         self.longest = max(map(len, self.number))
         self.unknown = len(self.number)
-
-    def edges(self, word: str) -> list[tuple[int, int, int]]:
-        """(begin, end, piece) of every piece in the marked word; characters that are no piece are unknown ones."""
-        w, get, longest, out = self.MARK + word, self.number.get, self.longest, []
-        n = len(w)
-        for i in range(n):
-            one = get(w[i])
-            out.append((i, i + 1, self.unknown if one is None else one))
-            for j in range(i + 2, min(n, i + longest) + 1):
-                k = get(w[i:j])
-                if k is not None:
-                    out.append((i, j, k))
-        return out
+        self.finder = ahocorasick.Automaton()
+        for p, k in self.number.items():
+            self.finder.add_word(p, k * self.longest + len(p) - 1)
+        self.finder.make_automaton()
+
+    def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end, word, begin, piece) of every piece in the marked words, by end; characters that are no piece are unknown ones.
+
+        All words are walked at once, with a character between them that no word and no piece has.
+        """
+        text = self.GAP.join([self.MARK + w for w in words])
+        found = np.fromiter(chain.from_iterable(self.finder.iter(text)), np.int64).reshape(-1, 2)
+        end, size, piece = found[:, 0] + 1, found[:, 1] % self.longest + 1, found[:, 1] // self.longest
+        lengths = np.array([len(w) + 1 for w in words], np.int64)
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        single = np.ones(len(text), bool)
+        single[end[size == 1] - 1] = False
+        single[starts[1:] - 1] = False
+        rest = np.flatnonzero(single)
+        end = np.concatenate((end, rest + 1))
+        begin = end - np.concatenate((size, np.ones(len(rest), np.int64)))
+        piece = np.concatenate((piece, np.full(len(rest), self.unknown)))
+        word = np.repeat(np.arange(len(words)), lengths + 1)[begin]
+        begin, end = begin - starts[word], end - starts[word]
+        order = np.argsort(end, kind="stable")
+        return end[order], word[order], begin[order], piece[order]
 
 
 class Lattice:
@@ -74,13 +89,7 @@ class Lattice:
 
     def __init__(self, pieces: Pieces, words: list[str]):
         self.length = np.array([len(w) + 1 for w in words], np.int64)
-        flat = array("i")
-        for k, w in enumerate(words):
-            for b, e, p in pieces.edges(w):
-                flat.extend((e, k, b, p))
-        a = np.array(flat, np.int32).reshape(-1, 4)
-        a = a[np.argsort(a[:, 0], kind="stable")]
-        self.end, self.word, self.begin, self.piece = a.T
+        self.end, self.word, self.begin, self.piece = pieces.edges(words)
         self.most = int(self.length.max()) if len(words) else 0
         self.cut = np.searchsorted(self.end, np.arange(self.most + 2))
 
@@ -130,6 +139,7 @@ class LanguageModel:
             self._pieces = Pieces(self.path)
             self.known: dict[str, int] = {}
             self.table = np.zeros((0, len(self.langs)))
+            self.thetas = np.exp(self.logs)
         return self._pieces
 
     @classmethod
@@ -155,8 +165,8 @@ class LanguageModel:
         if short:
             lattice = Lattice(self.pieces, [words[k] for k in short])
             size = np.exp(SCALE * (lattice.end - lattice.begin))
-            for j, log in enumerate(self.logs):
-                alpha = lattice.forward(np.exp(log)[lattice.piece] * size)
+            for j, theta in enumerate(self.thetas):
+                alpha = lattice.forward(theta[lattice.piece] * size)
                 out[short, j] = np.log(np.maximum(alpha[np.arange(len(short)), lattice.length], 1e-300)) - SCALE * lattice.length
         for k, w in enumerate(words):
             if len(w) >= LONG:
@@ -167,7 +177,8 @@ class LanguageModel:
         """The same sum in logarithms, for words whose probability no float holds."""
         best = [0.0]
         edges: dict[int, list[tuple[int, int]]] = {}
-        for b, e, p in self.pieces.edges(word):
+        end, _, begin, piece = (x.tolist() for x in self.pieces.edges([word]))
+        for e, b, p in zip(end, begin, piece, strict=True):
             edges.setdefault(e, []).append((b, p))
         for j in range(1, len(word) + 2):
             terms = [best[b] + log[p] for b, p in edges[j]]

@@ -290,10 +290,13 @@ def test_language_forward_sums_all_segmentations():
             best = [1.0]
             if len(word) < 50:
                 for end in range(1, len(word) + 2):
-                    best.append(sum(best[b] * np.exp(log[p]) for b, e, p in m.pieces.edges(word) if e == end))
+                    parts = {b: m.pieces.number.get(("▁" + word)[b:end], m.pieces.unknown if end - b == 1 else None) for b in range(end)}
+                    best.append(sum(best[b] * np.exp(log[p]) for b, p in parts.items() if p is not None))
                 assert m.score_words([word])[0, j] == pytest.approx(np.log(best[-1]))
     assert m._long("katze", m.logs[1]) == pytest.approx(m.score_words(["katze"])[0, 1])
     assert [x[0] for x in m.score(["the cat", "der katze", "", "12 _ 34"])] == ["a", "b", "und", "und"]
+    several = ["the", "日本語", "katzen", "œuvre", "a"]
+    assert m.score_words(several) == pytest.approx(np.concatenate([m.score_words([w]) for w in several]))
 
 
 def test_language(spark, docs):
