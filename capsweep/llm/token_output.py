@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,8 @@ class WordEncoder:
         self.line = line[0] if len(line) == 1 else None
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        """The ids of a text, without the offsets that encode() would keep."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, how many each word has)."""
@@ -86,9 +87,11 @@ class WordEncoder:
         places = [None if p is None else number(p) for p in split]
         unknown = [i for i, k in enumerate(places) if k is not None and (k < 0).any()]
         if unknown:
-            self._learn(list(dict.fromkeys(split[i][j + 1] for i in unknown for j in np.flatnonzero(places[i] < 0).tolist())))
-            for i in unknown:
-                places[i] = number(split[i])
+            gaps = [np.flatnonzero(places[i] < 0) for i in unknown]
+            new = [[split[i][j + 1] for j in gap.tolist()] for i, gap in zip(unknown, gaps, strict=True)]
+            self._learn(list(dict.fromkeys(chain.from_iterable(new))))
+            for i, gap, words in zip(unknown, gaps, new, strict=True):
+                places[i][gap] = [self.known[w] for w in words]
         out = []
         for text, pieces, k in zip(texts, split, places, strict=True):
             if k is None:
