@@ -42,10 +42,11 @@ def _runs(need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             begin = good[: len(good) - count + 1]
             begin = begin[good[count - 1 :] - begin == count - 1]
             chosen[begin[begin < n]] = s
-    starts, i, step = [], 0, _COUNT[chosen].tolist()
+    starts, i, after = [], 0, (np.arange(n) + _COUNT[chosen]).tolist()
+    add = starts.append
     while i < n:
-        starts.append(i)
-        i += step[i]
+        add(i)
+        i = after[i]
     starts = np.array(starts, np.int64)
     return starts, chosen[starts]
 

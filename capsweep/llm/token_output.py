@@ -25,7 +25,9 @@ FILE_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, ends array
 ODD_PAIRS = ("  ", "\n\n", " \n", "\n ")
 ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: Words that a worker remembers; when there are more, it begins anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
+#: Words that go to the library in one call; longer texts cost it more for each word.
+AT_ONCE = 100
 
 
 def is_plain(text: str) -> bool:
@@ -66,8 +68,8 @@ class WordEncoder:
         inner, first = [p for p in pieces if p[:1] != "\n"], [p for p in pieces if p[:1] == "\n"]
         flat, sizes = [self.flat], []
         for words, lead in ((inner, False), (first, True)):
-            for k in range(0, len(words), 2000):
-                ids, n = self._joined([w[1:] if lead else " " + w for w in words[k : k + 2000]])
+            for k in range(0, len(words), AT_ONCE):
+                ids, n = self._joined([w[1:] if lead else " " + w for w in words[k : k + AT_ONCE]])
                 if lead:
                     ids, n = np.insert(ids, np.cumsum(n) - n, self.line), n + 1
                 flat.append(ids)
