@@ -25,7 +25,7 @@ FILE_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, ends array
 ODD_PAIRS = ("  ", "\n\n", " \n", "\n ")
 ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: Words that a worker remembers; when there are more, it begins anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 #: Words that go to the library in one call; longer texts cost it more for each word.
 AT_ONCE = 100
 

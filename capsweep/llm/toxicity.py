@@ -36,7 +36,7 @@ ROUNDS, RATE, DECAY = 30, 0.3, 1e-4
 LEAST_DOCS = 3
 #: Words that a text counts as having besides its own when its toxic words are set against them.
 EXTRA_WORDS = 30
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _WORDS = re.compile(r"\w+")
 
 
@@ -232,7 +232,9 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Chain:
     chosen = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in rows], "doc_id long, toxic int")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
     found = sorted(found, key=lambda r: (r["doc_id"], r["text"] or ""))
-    return fit([_WORDS.findall(r["text"] or "") for r in found], [bool(r["toxic"]) for r in found])
+    same: dict[str, str] = {}  # a word's copies share one string
+    words = [[same.setdefault(w, w) for w in _WORDS.findall(r["text"] or "")] for r in found]
+    return fit(words, [bool(r["toxic"]) for r in found])
 
 
 def score(docs: DataFrame, chain: Chain, spans: bool = False) -> DataFrame:
