@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from capsweep import cli, runlog
+from capsweep import cli, queries, runlog
 from capsweep.plans.frontier import crawl, harvest_seeds
 from capsweep.plans.retry import document_outcomes, retry_failed
 from capsweep.plans.sweep import Traversal, day_cells, sweep
@@ -71,6 +71,15 @@ def test_frontier_budget_is_a_ceiling(spark):
     assert got.requests == 5 and got.new_items == got.items.count() > 0
 
 
+def test_frontier_query_asks_every_seed(spark, tmp_path):
+    n, days = 8, 16  # 15 lines of each name on each day: 31 requests for a seed
+    spark.createDataFrame([(p, f"name{p}", 30) for p in range(n)], "p_partkey long, p_name string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    lines = [(d * 15 + k, p, p, "A", dt.datetime(2024, 1, 1) + dt.timedelta(days=d)) for d in range(days) for k in range(15) for p in range(n)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.item_id: r.seed_no for r in queries.frontier_crawl(spark, str(tmp_path)).collect()}
+    assert got == {f"{o}-{k:02d}": p + 1 for o, k, p, _, _ in lines}
+
+
 def test_frontier_failures_go_to_the_ledger(spark):
     class Failing:
         cap = 3
