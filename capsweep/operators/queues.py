@@ -14,6 +14,13 @@ def bigram_frequency(names: DataFrame, name: str, ordinal: str) -> DataFrame:
     return pairs.groupBy("probe").agg(F.count("*").alias("n"), F.min(F.struct("o", "p")).alias("first_seen"))
 
 
+def name_probe_hits(names: DataFrame, name: str) -> DataFrame:
+    """(probe, hits): each distinct whole name as a probe, and the rows whose name contains it; names match once, with their counts."""
+    counted = names.select(F.lower(name).alias("_name")).where("_name is not null").groupBy("_name").agg(F.count("*").alias("_n"))
+    probes = counted.select(F.col("_name").alias("probe"))
+    return counted.join(F.broadcast(probes), F.contains("_name", "probe")).groupBy("probe").agg(F.sum("_n").alias("hits"))
+
+
 def probe_queue(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(probe, source_rank, n, first_seen, position): harvested ones by frequency, then the dictionary's others in order."""
     mine = frequencies.select("probe", F.lit(0).alias("source_rank"), "n", F.col("first_seen"), F.lit(None).cast("int").alias("position"))

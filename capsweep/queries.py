@@ -110,6 +110,11 @@ def substring_probe_hits(spark, sf_dir):
     return p.join(F.broadcast(probes), F.contains(F.lower("p_name"), F.col("probe"))).groupBy("probe").agg(F.count("*").alias("hits"))
 
 
+def name_probe_hits(spark, sf_dir):
+    """Every whole part name as a probe; substring_probe_hits asks only what its SQL asks."""
+    return queues.name_probe_hits(table(spark, sf_dir, "part"), "p_name")
+
+
 def capped_pages(spark, sf_dir):
     hits = event_cells(spark, sf_dir).select("unit_key", F.col("event_id").alias("item_id"))
     return capped(hits, F.col("item_id"), 30).groupBy("unit_key").agg(F.count("*").alias("n"), F.sum("item_id").alias("ids"))
@@ -223,7 +228,7 @@ def retry_outcomes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
-    bigram_frequency, probe_queue, substring_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
+    bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
     frontier_crawl, retry_outcomes,
 )} | {"sweep_cells": sweep_cells}

@@ -140,3 +140,10 @@ def test_seam():
         assert not any("llm" in n for n in names), p
         if p.parent.name in ("operators", "plans"):
             assert not any(n.endswith("html") for n in names), p
+
+
+def test_every_name_is_a_probe(spark):
+    names = ["Ana", "ana bob", "ANA BOB", "bob", None, *(f"n{k:02d} x" for k in range(30))]  # far more than 20 rows, prefixes alike
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(names)], "k long, name string")
+    low = [v.lower() for v in names if v is not None]
+    assert {r.probe: r.hits for r in queues.name_probe_hits(rows, "name").collect()} == {p: sum(p in v for v in low) for p in low}
