@@ -1,9 +1,10 @@
 """Mixing sources to target weights: whole documents are taken so that each source's tokens fit its budget.
 
 A source's documents are counted by exact length. The lengths' counts give the copies that all documents get, then a
-share of every length, then single documents in a seeded order of lengths, until what is left of the budget is at
-most DP_BUDGET; a bounded-knapsack dynamic programme over the counts that remain fits that. Which documents of a length
-are taken follows a seeded hash of their ids. Defined results: null texts have size 0 and take no part in a budget (taken
+share of every length, then single documents in a seeded order of lengths, while what is left of the budget is over
+DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that; a bounded-knapsack
+dynamic programme over the counts that remain fits all that is left, unless no document fits it. Which documents of a
+length are taken follows a seeded hash of their ids. Defined results: null texts have size 0 and take no part in a budget (taken
 0); a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
 may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Tokens that the dynamic programme fits at the end.
+#: Tokens to which single documents go; the dynamic programme fits at most twice as many at the end.
 DP_BUDGET = 1 << 16
 #: Slots of the seeded hash: a length's documents are ranked only in the slot where its count runs out.
 SLOTS = 4096
@@ -67,9 +68,16 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED)
         if lengths[i] <= left and take[i] < counts[i]:
             take[i] += 1
             left -= int(lengths[i])
-    top = min(left, 2 * DP_BUDGET)
-    rest = _knapsack(lengths[order], (counts - take)[order], top)
-    take[order] += rest
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        if left <= 2 * DP_BUDGET:
+            break
+        if lengths[i] > 0:
+            # no more than bring what is left down to the dynamic programme's size
+            n = min(int(counts[i] - take[i]), left // int(lengths[i]), -(-(left - 2 * DP_BUDGET) // int(lengths[i])))
+            take[i] += n
+            left -= n * int(lengths[i])
+    if left <= 2 * DP_BUDGET:
+        take[order] += _knapsack(lengths[order], (counts - take)[order], left)
     return take
 
 

@@ -200,6 +200,17 @@ def test_mix(spark, docs):
     assert mixing.mix(empty(docs)).count() == 0 and mixing.take(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("lengths,n,budget,want", [
+    ([100, 1_000_000], [10_000, 1], 1_000_000, 1_000_000),
+    ([0, 7, 300_000, 2_000_000], [5, 300_000, 1, 1], 1_900_000, 1_899_997),  # 300,000 and 228,571 sevens
+    ([400_000, 900_000], [1, 1], 700_000, 400_000),  # what is left after them fits nothing
+])
+def test_fit_fills_what_long_documents_leave(lengths, n, budget, want):
+    lengths, n = np.array(lengths), np.array(n)
+    take = mixing.fit(lengths, n, budget)
+    assert take @ lengths == want and (take >= 0).all() and (take <= n).all()
+
+
 # --- secrets
 
 
