@@ -1,6 +1,7 @@
 """Secret scans: known forms by pattern, unknown ones by how badly a primed zstandard compresses them.
 
-A candidate is a run of key-like characters near a word such as "key" or "auth". The compressor is primed with a
+A candidate is a run of key-like characters with a word such as "key" or "auth" in it or within CONTEXT characters on
+either side, be it part of an identifier. The compressor is primed with a
 dictionary of common identifiers and code; its marginal bytes for the candidate, after the text around it, are compared
 with the candidate's length. Words, identifiers and repeats of the surroundings cost little, random strings cost what
 they hold. Defined results: a null text is an empty one and has no spans; offsets are code points, ends exclusive;
@@ -29,10 +30,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: What must stand in a lower-cased text for ASSIGN to match.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|private_?key|access_?key|auth|bearer|credential|signature|client_?id|session)\b", re.IGNORECASE | re.ASCII)
+#: Cues, also as parts of identifiers (SECRET_KEY, authHeader, credentials).
+SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?|pwd|secret|token|key|auth|bearer|credential|signature|client_?id|session", re.IGNORECASE | re.ASCII)
 SENSITIVE_PARTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "signature", "client", "session")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
-CONTEXT, NEAR = 256, 48
+LEAST = 16
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: What an "=" parts in a run, as in name=value; base64's padding stays.
+PIECE = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?")
+CONTEXT = 256
 #: Marginal compressed bytes for each character at and over which a string counts as incompressible.
 NOVELTY = 0.62
 #: The identifier dictionary: words of code and configuration, as zstandard's raw content.
@@ -71,23 +76,33 @@ class Novelty:
         return len(self.compressor.compress(a + b)) - len(self.compressor.compress(a))
 
     def spans(self, text: str, taken: list[tuple[int, int, int]], lowered: str | None = None) -> list[tuple[int, int, int]]:
-        """Candidates in a sensitive context that overlap no known form and don't compress."""
+        """Candidates with a cue in or around them that overlap no known form and don't compress."""
         low = text.lower() if lowered is None else lowered
         if not any(w in low for w in SENSITIVE_PARTS):
             return []
-        out, after = [], 0
-        for m in SENSITIVE.finditer(text):
-            for c in CANDIDATE.finditer(text, max(m.end(), after), min(len(text), m.end() + NEAR)):
-                start = c.start()
-                end = CANDIDATE.match(text, start)
-                end = end.end() if end else c.end()  # the whole run, however far it goes
-                after = end
-                found = text[start:end]
-                if any(a < end and start < b for a, _, b in taken) or not any(x.isdigit() for x in found):
-                    continue
-                around = text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT] + "\n"
-                if self.marginal(around, found) >= NOVELTY * len(found):
-                    out.append((start, 3, end))
+        cues = [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
+        out, i, j = [], 0, 0
+
+        def novel(start: int, end: int) -> bool:
+            around = text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT] + "\n"
+            return self.marginal(around, text[start:end]) >= NOVELTY * (end - start)
+
+        for c in CANDIDATE.finditer(text):
+            start, end = c.span()
+            while i < len(cues) and cues[i][0] < start - CONTEXT:
+                i += 1
+            if i == len(cues):
+                break
+            if cues[i][1] > end + CONTEXT:
+                continue
+            while j < len(taken) and taken[j][2] <= start:
+                j += 1
+            known = [(a, b) for a, _, b in taken[j:] if a < end]
+            pieces = [p.span() for p in PIECE.finditer(text, start, end)] if "=" in c.group().rstrip("=") else []
+            found = [(a, 3, b) for a, b in pieces if not any(x < b and a < y for x, y in known) and novel(a, b)]
+            if not found and not known and novel(start, end):
+                found = [(start, 3, end)]
+            out += found
         return out
 
 

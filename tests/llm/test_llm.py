@@ -228,6 +228,19 @@ def test_novelty(spark, docs):
     assert len(got) == docs.count() and all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got)
 
 
+@pytest.mark.parametrize("form", [
+    "SECRET_KEY = '{}'", 'secretKey: "{}"', "auth_token_prod={}", "credentials: {}", "encryption_key={}", "bearer {}", "{} is the session", "auth" + " lorem ipsum" * 15 + " {}",
+])
+@pytest.mark.parametrize("secret", ["qX7f9Kz2LmP0vTr8", "qXbfTKzwLmPovTrJYwBe"])
+def test_cues_on_both_sides_and_in_identifiers(form, secret):
+    t = form.format(secret)
+    assert [(secrets.KINDS[k], t[a:b]) for a, k, b in secrets.scan(t)[1]] == [("novel", secret)]
+
+
+def test_no_cue_no_candidate():
+    assert secrets.scan("value qX7f9Kz2LmP0vTr8 end")[1] == [] and secrets.scan("auth" + " " * 300 + "qX7f9Kz2LmP0vTr8")[1] == []
+
+
 # --- top-k
 
 
