@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise, release, small_batches, sorted_groups
 from .graph import connected_components
@@ -257,6 +258,11 @@ def ngram_components(docs: DataFrame, words: int = 5, similarity: tuple[int, int
     Documents link whose sets of word shingles have at least `similarity` (numerator, denominator) as their Jaccard
     index. A-Z count as a-z; words are runs without ASCII white space.
     """
+    return _components(docs, words, similarity, tile).drop("key")
+
+
+def _components(docs: DataFrame, words: int, similarity: tuple[int, int], tile: int = TILE) -> DataFrame:
+    """ngram_components, with the key of each row's words."""
     spark, t = docs.sparkSession, Fraction(*similarity)
     small_batches(spark)
     given = docs.select("doc_id", "text")
@@ -291,7 +297,7 @@ def ngram_components(docs: DataFrame, words: int = 5, similarity: tuple[int, int
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.select("key", "component").join(ids, "component").select("key", "component_id")
     out = profile.select("doc_id", "key", "n_shingles").join(named, "key", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "key")
 
 
 def _sets(given: DataFrame, placed: DataFrame, words: int) -> DataFrame:
@@ -315,17 +321,32 @@ def _rest(large: DataFrame, fine: DataFrame, t: Fraction, tile: int) -> DataFram
     return probes.unionByName(others).repartition(*keys).sortWithinPartitions(*keys, "key").mapInArrow(_search_groups(keys, t, True), "u binary, v binary")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with __key, the key of the text's words."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [split_words(x or "") for x in batch.column(at).to_pylist()]
+            keys = [hashlib.md5(b" ".join(w)).digest() if w else None for w in words]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "__key"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+
+
 def one_of_each(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """docs without the documents of a component but its smallest doc_id.
 
-    Rows that repeat a doc_id and text are one document; documents without id can't be named, and stay.
+    Rows that repeat a doc_id and text are one document; rows that share a doc_id but not their words are judged each
+    for itself. Documents without id can't be named, and stay.
     """
-    parts = materialise(ngram_components(docs, words, similarity), "parts")
-    gone = parts.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    parts = materialise(_components(docs, words, similarity), "parts")
+    gone = parts.where(F.col("doc_id") != F.col("component_id")).select("doc_id", "key").distinct()
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = parts.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(_keyed(docs.join(again, "doc_id", "left_semi").select(*docs.columns)).join(gone.withColumnRenamed("key", "__key"), ["doc_id", "__key"], "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"]))

@@ -111,6 +111,13 @@ def test_one_of_each(spark, docs):
     assert ids == [0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 11] and ngram_join.one_of_each(empty(docs)).count() == 0
 
 
+def test_one_of_each_of_rows_that_share_an_id(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (None, a), (8, None), (8, "")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (5, b), (None, a), (8, None), (8, "")], key=str)
+
+
 def test_components(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (100, 101), (7, 7), (None, 3)], "u long, v long")
     got = {r[0]: r[1] for r in connected_components(df).collect()}
