@@ -43,14 +43,27 @@ def node_of(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(host_of(url), F.when(path_of(url) == "", "/").otherwise(path_of(url)), query))
 
 
+def folded(path: Column) -> Column:
+    """A path that begins with a slash, without its "." and ".." segments."""
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    step = lambda kept, x: F.when(x == ".", kept).when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(x)))
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+
+
 def resolve(base: Column, target: Column) -> Column:
-    """An absolute, scheme-relative or root-relative target against the page's url; other relative forms are no evidence."""
+    """A target against the page's url; schemes without ``//`` (mailto:) and mere fragments are no evidence."""
     scheme = F.regexp_extract(base, r"^(?s:(.*?))://", 1)
     clean = F.replace(target, F.lit("&amp;"), F.lit("&"))
+    site = F.concat(scheme, F.lit("://"), host_of(base))
+    own, path, rest = path_of(base), F.regexp_extract(clean, r"^([^?#]*)", 1), F.regexp_extract(clean, r"^[^?#]*((?s:.*))", 1)
+    folder = F.when(own == "", "/").otherwise(F.regexp_replace(own, r"[^/]*$", ""))
     return (
         F.when(clean.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), clean)
         .when(clean.startswith("//"), F.concat(scheme, F.lit(":"), clean))
-        .when(clean.startswith("/"), F.concat(scheme, F.lit("://"), host_of(base), clean))
+        .when(clean.startswith("/"), F.concat(site, folded(path), rest))
+        .when(clean.startswith("?"), F.concat(site, F.when(own == "", "/").otherwise(own), clean))
+        .when(~clean.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|#)") & (clean != ""), F.concat(site, folded(F.concat(folder, path)), rest))
     )
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import re
 import zlib
+from urllib.parse import urljoin
 
 import numpy as np
 import pytest
@@ -353,6 +354,17 @@ def test_urls(spark):
     assert mixed[5] == "allow" and mixed[3] == "allow" and mixed[2] == "block"
 
 
+def test_relative_targets(spark):
+    bases = ["http://h.x/a/b/c.html?q=1#f", "http://h.x", "http://h.x/a/"]
+    targets = ["page2.html", "../x", "?p=1&amp;r=2", "../../../x/./y", ".", "..", "./", "d/../e?k=../v", "/r/../s", "//o.x/z", "http://o.x/y"]
+    rows = [(b, t, urljoin(b, t.replace("&amp;", "&"))) for b in bases for t in targets] + [(bases[0], t, None) for t in ("#top", "mailto:a@h.x")]
+    df = spark.createDataFrame(rows, "base string, target string, want string")
+    got = df.select("base", "target", url_filter.node_of(url_filter.resolve(F.col("base"), F.col("target"))).alias("got"), url_filter.node_of(F.col("want")).alias("want")).collect()
+    assert [tuple(r)[:3] for r in got] == [(r.base, r.target, r.want) for r in got]
+    pages = [(1, "http://h.org/es/page2.html", ""), (2, "http://far.xyz/k/1.html", '<link rel="canonical" href="../m.html">'), (3, "http://far.xyz/m.html", '<link rel="canonical" href="http://h.org/es/page2.html">')]
+    assert {r.verdict for r in url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()} == {"block"}
+
+
 def test_chats(spark):
     rows = [(1, 1, "assistant", "a & <|done|>\n &lt; [INST]"), (1, 0, "user", None), (1, None, None, "late"), (2, 0, "user", "x"), (None, 0, "user", "y"), (2, 0, "user", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("parts", chat_format.text_parts(F.col("text")))
