@@ -6,14 +6,16 @@ import atexit
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Used only where the session names no shared folder (tests, a single machine).
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/capsweep"
-#: Rows of text in one Arrow batch; keeps a batch of very long texts within memory.
-ROWS_PER_BATCH = 400
+#: Bounds of one Arrow batch, and of the texts that an operator works on at once.
+BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 10_000, 8 << 20, 2 << 20
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -26,8 +28,26 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or LOCAL_CHECKPOINTS
 
 
-def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python end at BATCH_BYTES or BATCH_ROWS. Plans read this when they run, so every operator asks for the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that a piece's texts have at most `most` bytes together, or are one text: the work on a
+    piece takes many times its size."""
+    most = most or SLICE_BYTES
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin, before = 0, 0
+        while begin < n:
+            end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(begin, end - begin)
+            begin, before = end, int(ends[end - 1])
 
 
 def _delete(spark: SparkSession, path: str) -> None:

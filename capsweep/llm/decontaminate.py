@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import bounded_batches, text_slices
 
 WINDOW = 10
 #: Words of items in one automaton; more items make more automata, each a further pass over a batch's words.
@@ -212,11 +212,11 @@ def _scan_all(texts: list[str], shards) -> list[tuple[bytes, int, list[tuple[int
 
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_hit, items) for every row of docs; items: ids of those with a window in the text, ascending as strings."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shards = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             got = _scan_all([x or "" for x in batch.column(1).to_pylist()], shards)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n, _, _ in got], pa.int64()), pa.array([sum(b - a for a, b in s) for _, _, s, _ in got], pa.int64()), pa.array([sorted(map(str, k)) for *_, k in got], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
 
@@ -228,12 +228,12 @@ def remove_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_h
 
     Rows that nothing hits are returned as they are. A changed text has its n_chars, if there is such a column, anew.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shards = automata(items, window)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, at):
             texts = batch.column(at).to_pylist()
             keep = np.ones(len(texts), bool)
             changed = np.zeros(len(texts), bool)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches
+from .common import bounded_batches, fold, text_slices
 
 #: Documents learnt from, at most; each counts whole. Scoring has no such bound.
 TRAIN_DOCS = 3000
@@ -231,7 +231,7 @@ def learn(docs: DataFrame, path: str | None = None, most: int = TRAIN_DOCS) -> L
     may = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = [r[0] for r in may.select("doc_id", F.xxhash64("doc_id", F.lit(5)).alias("h")).distinct().orderBy("h", "doc_id").limit(most).collect()]
     chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     counts: dict[str, Counter] = {}
     seen: set[tuple[str, str]] = set()
     for r in may.join(F.broadcast(chosen), "doc_id").select("lang", "text").collect():
@@ -243,12 +243,12 @@ def learn(docs: DataFrame, path: str | None = None, most: int = TRAIN_DOCS) -> L
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of docs(doc_id, text)."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             got = own.score([x or "" for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, release, small_batches, sorted_groups
+from .common import bounded_batches, materialise, release, sorted_groups, text_slices
 from .graph import connected_components
 from .words import mix, shingle_set, split_words
 
@@ -171,7 +171,7 @@ def search(sets: list[np.ndarray], t: Fraction, probes: list[int] | None = None,
 def _profile(words: int, t: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             keys, sizes, nodes, sets = [], [], [], []
             known: dict[bytes, int] = {}
             for text in batch.column(1).to_pylist():
@@ -221,7 +221,7 @@ def _runs_to_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _shingles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, 0):
             keys, sets = [], []
             for text in batch.column(0).to_pylist():
                 w = split_words(text or "")
@@ -264,11 +264,10 @@ def ngram_components(docs: DataFrame, words: int = 5, similarity: tuple[int, int
 def _components(docs: DataFrame, words: int, similarity: tuple[int, int], tile: int = TILE) -> DataFrame:
     """ngram_components, with the key of each row's words."""
     spark, t = docs.sparkSession, Fraction(*similarity)
-    small_batches(spark)
+    bounded_batches(spark)
     given = docs.select("doc_id", "text")
     profile = materialise(given.mapInArrow(_profile(words, t), "doc_id long, key binary, node long, n_shingles long, sigs array<long>"), "profile")
 
-    small_batches(spark, 20_000)
     dealt = profile.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node").repartition("sig").sortWithinPartitions("sig", "node")
     rough = materialise(connected_components(dealt.mapInArrow(_runs_to_edges, "u long, v long").distinct()), "rough")
 
@@ -290,7 +289,6 @@ def _components(docs: DataFrame, words: int, similarity: tuple[int, int], tile:
         links = links.unionByName(materialise(_rest(large, fine, t, tile), "links"))
         fine = connected_components(links)
 
-    small_batches(spark, 10_000)
     least = profile.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = least.join(fine.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     # a component is at most as many keys as its documents differ in words; minima meet before the shuffle
@@ -302,7 +300,7 @@ def _components(docs: DataFrame, words: int, similarity: tuple[int, int], tile:
 
 def _sets(given: DataFrame, placed: DataFrame, words: int) -> DataFrame:
     """placed, with the shingles of its documents' texts, read from the documents again; ids that repeat with other words fall out."""
-    small_batches(given.sparkSession)
+    bounded_batches(given.sparkSession)
     places = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
     texts = given.join(places, F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "want", "rough", "tiles", "centre", "tile")
     return texts.mapInArrow(_shingles(words), "key binary, want binary, rough long, tiles int, centre boolean, tile int, shingles binary").where("key = want").drop("want")
@@ -323,11 +321,11 @@ def _rest(large: DataFrame, fine: DataFrame, t: Fraction, tile: int) -> DataFram
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """docs with __key, the key of the text's words."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, at):
             words = [split_words(x or "") for x in batch.column(at).to_pylist()]
             keys = [hashlib.md5(b" ".join(w)).digest() if w else None for w in words]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "__key"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import bounded_batches, text_slices
 
 #: Fixed by the query's contract.
 KINDS = ("assign", "access", "hex", "novel")
@@ -124,10 +124,10 @@ def named(spans: list[tuple[int, int, int]]) -> str:
 
 def find_secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans) for every row of docs(doc_id, text)."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             got = [scan(x or "") for x in batch.column(1).to_pylist()]
             count = [[sum(k == kind for _, k, _ in spans) for _, spans in got] for kind in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays(

@@ -23,8 +23,10 @@ _BITS = np.zeros(16, np.uint64)
 for _s, (_n, _b) in WIDTHS.items():
     _COUNT[_s], _BITS[_s] = _n, _b
 _COUNT[ESCAPE] = 1
-#: The selector that holds an id of a bit length, alone at the widest that fits.
-_NARROWEST = np.array([next((s for s, (_, b) in WIDTHS.items() if b >= n), ESCAPE) for n in range(33)])
+#: The selector that holds an id of a bit length, alone at the widest that fits; the same for each id of 16 bits.
+_NARROWEST = np.array([next((s for s, (_, b) in WIDTHS.items() if b >= n), ESCAPE) for n in range(33)], np.int8)
+_NEED = _NARROWEST[[max(1, k.bit_length()) for k in range(1 << 16)]]
+_LONGEST = max(n for n, _ in WIDTHS.values())
 
 
 def _runs(need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,19 +36,23 @@ def _runs(need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     word because an escape follows too soon is an escape itself.
     """
     n = len(need)
-    padded = np.concatenate((need, np.zeros(_COUNT.max(), need.dtype)))
-    chosen = np.full(n, ESCAPE, np.int64)
+    # the largest need of the next 1, 2, 4, ... ids, of which two overlap to any run
+    widest = {1: np.concatenate((need, np.zeros(2 * _LONGEST, need.dtype)))}
+    size = 1
+    while 2 * size <= _LONGEST:
+        w = widest[size]
+        widest[2 * size] = np.maximum(w[:-size], w[size:])
+        size *= 2
+    chosen = np.full(n, ESCAPE, np.int8)
     for s, (count, _) in reversed(WIDTHS.items()):
-        good = np.flatnonzero(padded <= s)
-        if len(good) >= count:
-            begin = good[: len(good) - count + 1]
-            begin = begin[good[count - 1 :] - begin == count - 1]
-            chosen[begin[begin < n]] = s
-    starts, i, after = [], 0, (np.arange(n) + _COUNT[chosen]).tolist()
+        part = widest[1 << (count.bit_length() - 1)]
+        rest = count - (1 << (count.bit_length() - 1))
+        np.copyto(chosen, s, where=np.maximum(part[:n], part[rest : rest + n]) <= s)
+    starts, i, step = [], 0, _COUNT[chosen].astype(np.uint8).tobytes()
     add = starts.append
     while i < n:
         add(i)
-        i = after[i]
+        i += step[i]
     starts = np.array(starts, np.int64)
     return starts, chosen[starts]
 
@@ -56,16 +62,20 @@ def encode(ids: np.ndarray) -> tuple[bytes, bytes]:
     ids = np.ascontiguousarray(ids, np.uint32)
     if not len(ids):
         return b"", b""
-    bits = np.frexp(ids.astype(np.float64))[1].clip(1)  # exact: every uint32 is a float64
-    need = _NARROWEST[bits].astype(np.int8)
+    if ids.max() < 1 << 16:
+        need = _NEED[ids]
+    else:
+        need = _NARROWEST[np.frexp(ids.astype(np.float64))[1].clip(1)]  # exact: every uint32 is a float64
     starts, selectors = _runs(need)
     words = selectors.astype(np.uint64) << np.uint64(60)
+    padded = np.concatenate((ids.astype(np.uint64), np.zeros(_LONGEST, np.uint64)))
     for s, (count, width) in WIDTHS.items():
         at = np.flatnonzero(selectors == s)
         if len(at):
-            where = starts[at][:, None] + np.arange(count)
-            held = np.where(where < len(ids), ids[np.minimum(where, len(ids) - 1)], 0).astype(np.uint64)
-            words[at] |= np.bitwise_or.reduce(held << (np.arange(count, dtype=np.uint64) * np.uint64(width)), axis=1)
+            where, held = starts[at], words[at]
+            for k in range(count):
+                held |= padded[where + k] << np.uint64(k * width)
+            words[at] = held
     return words.astype("<u8").tobytes(), ids[starts[selectors == ESCAPE]].astype("<u4").tobytes()
 
 

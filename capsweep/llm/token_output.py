@@ -7,39 +7,42 @@ extra columns are ignored. Texts of any length are encoded whole.
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simple8b
-from .common import materialise, small_batches
+from .common import SLICE_BYTES, bounded_batches, shared_dir, text_slices
 
 FILE_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, ends array<long>, words binary, escapes binary"
+ODD_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: Texts with any of these, or white space at an end, are encoded in one piece: a boundary may not hold there.
-ODD_PAIRS = ("  ", "\n\n", " \n", "\n ")
-ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
-#: Words that a worker remembers; when there are more, it begins anew.
-REMEMBERED = 600_000
+ODD = f"\\A[ \n]|[ \n]\\z|  |\n\n| \n|\n |[{ODD_SPACES}]"
+#: Words that a worker remembers; when there are more, those that fewest batches had are forgotten.
+REMEMBERED = 400_000
 #: Words that go to the library in one call; longer texts cost it more for each word.
-AT_ONCE = 100
-
-
-def is_plain(text: str) -> bool:
-    return not (text[0].isspace() or text[-1].isspace() or any(x in text for x in ODD_PAIRS) or any(c in text for c in ODD_SPACES))
+AT_ONCE = 50
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
     """A byte-level BPE tokenizer whose words are encoded once.
 
     The tokenizer never merges over the boundary before a space or a line break that stands between two other
-    characters, so the ids of a text are those of its pieces: each word with the space or line break before it.
-    The pieces a batch has and the worker doesn't know are encoded by the library in one call, joined by line breaks.
+    characters, so the ids of a text are those of its pieces: each word with the space or line break before it. A
+    batch's distinct pieces are found by Arrow; those that the worker doesn't know are encoded by the library. Where
+    the tokenizer splits as the published byte-level pattern does, a word of letters with punctuation at its end is
+    two of its units, which go to the library's model without being searched for units again.
     """
 
     def __init__(self, path: str):
@@ -47,9 +50,19 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, int] = {}
-        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.flat, self.begin, self.used = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
         line = self.whole("\n")
-        self.line = line[0] if len(line) == 1 else None
+        self.line = int(line[0]) if len(line) == 1 else None
+        form = json.loads(self.tokenizer.to_str())
+        split = form.get("pre_tokenizer") or {}
+        added = [x["content"] for x in form.get("added_tokens", ())]
+        self.model = None
+        if form.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and all(re.search(r"[^\sA-Za-z][A-Za-z]", x) for x in added):
+            self.model = self.tokenizer.model
+            self.ends: dict[str, list[int]] = {"": []}
+            plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+            rest = iter(range(256, 512))
+            self.byte = "".join(chr(b if b in set(plain) else next(rest)) for b in range(256))
 
     def whole(self, text: str) -> np.ndarray:
         """The ids of a text, without the offsets that encode() would keep."""
@@ -65,45 +78,105 @@ class WordEncoder:
         return np.delete(ids, cut), np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1
 
     def _learn(self, pieces: list[str]) -> None:
-        inner, first = [p for p in pieces if p[:1] != "\n"], [p for p in pieces if p[:1] == "\n"]
+        """Pieces: "\\n" and a word after a line break, "\\r" and a word at a text's start, else a word after a space."""
+        order: list[str] = []
         flat, sizes = [self.flat], []
-        for words, lead in ((inner, False), (first, True)):
-            for k in range(0, len(words), AT_ONCE):
-                ids, n = self._joined([w[1:] if lead else " " + w for w in words[k : k + AT_ONCE]])
+        rest: dict[str, list[str]] = {}
+        if self.model is None:
+            for p in pieces:
+                rest.setdefault(p[:1] if p[:1] in ("\n", "\r") else "", []).append(p)
+        else:
+            ids: list[int] = []
+            counts, tokenize, byte, ends = [], self.model.tokenize, self.byte, self.ends
+            space = byte[32]
+            for p in pieces:
+                stem = p.rstrip(PUNCTUATION)
+                end = p[len(stem) :]
+                lead = p[:1] if p[:1] in ("\n", "\r") else ""
                 if lead:
-                    ids, n = np.insert(ids, np.cumsum(n) - n, self.line), n + 1
-                flat.append(ids)
+                    stem = stem[1:]
+                if not stem.isalpha() or not stem.isascii() and max(stem) > "ſ":
+                    rest.setdefault(lead, []).append(p)
+                    continue
+                tail = ends.get(end)
+                if tail is None:
+                    tail = ends[end] = self.whole(end).tolist()
+                unit = stem if stem.isascii() else stem.encode().decode("latin-1").translate(byte)
+                got = [t.id for t in tokenize(unit if lead else space + unit)]
+                got += tail
+                if lead == "\n":
+                    got.insert(0, self.line)
+                ids += got
+                counts.append(len(got))
+                order.append(p)
+            if len(ends) > REMEMBERED:
+                self.ends = {"": []}
+            flat.append(np.array(ids, np.uint32))
+            sizes.append(np.array(counts, np.int64))
+        for lead, words in rest.items():
+            for k in range(0, len(words), AT_ONCE):
+                part = words[k : k + AT_ONCE]
+                got, n = self._joined([w[1:] if lead else " " + w for w in part])
+                if lead == "\n":
+                    got, n = np.insert(got, np.cumsum(n) - n, self.line), n + 1
+                flat.append(got)
                 sizes.append(n)
+            order += words
         at = len(self.known)
-        self.known.update((w, at + k) for k, w in enumerate(inner + first))
+        self.known.update(zip(order, range(at, at + len(order)), strict=True))
         self.flat = np.concatenate(flat)
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.used = np.concatenate((self.used, np.zeros(len(order), np.int64)))
+
+    def _forget(self) -> None:
+        """Half of the words, those in most batches, stay."""
+        keep = np.sort(np.argsort(-self.used, kind="stable")[: REMEMBERED // 2])
+        n = np.diff(self.begin)[keep]
+        begin = np.concatenate(([0], np.cumsum(n)))
+        self.flat = self.flat[np.repeat(self.begin[keep] - begin[:-1], n) + np.arange(begin[-1])]
+        words = list(self.known)
+        self.known = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.begin, self.used = begin, self.used[keep] // 2
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, how many each has); null texts are empty."""
+        texts = texts.fill_null("")
+        plain = pc.and_(pc.greater(pc.binary_length(texts), 0), pc.invert(pc.match_substring_regex(texts, ODD))).to_numpy(zero_copy_only=False)
         if self.line is None:
-            return [self.whole(t) for t in texts]
+            plain[:] = False
+        n_ids = np.zeros(len(texts), np.int64)
+        odd = {i: self.whole(texts[i].as_py()) for i in np.flatnonzero(~plain).tolist() if len(texts[i].as_py())}
+        for i, ids in odd.items():
+            n_ids[i] = len(ids)
+        if not plain.any():
+            return np.concatenate([np.zeros(0, np.uint32), *odd.values()]), n_ids
         if len(self.known) > REMEMBERED:
-            self.known, self.flat, self.begin = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        split = [t.replace("\n", " \n").split(" ") if t and is_plain(t) else None for t in texts]
-        number = lambda p: np.fromiter(map(self.known.get, p[1:], repeat(-1)), np.int64, len(p) - 1)
-        places = [None if p is None else number(p) for p in split]
-        unknown = [i for i, k in enumerate(places) if k is not None and (k < 0).any()]
-        if unknown:
-            gaps = [np.flatnonzero(places[i] < 0) for i in unknown]
-            new = [[split[i][j + 1] for j in gap.tolist()] for i, gap in zip(unknown, gaps, strict=True)]
-            self._learn(list(dict.fromkeys(chain.from_iterable(new))))
-            for i, gap, words in zip(unknown, gaps, new, strict=True):
-                places[i][gap] = [self.known[w] for w in words]
-        out = []
-        for text, pieces, k in zip(texts, split, places, strict=True):
-            if k is None:
-                out.append(self.whole(text) if text else np.zeros(0, np.uint32))
-                continue
-            n = self.begin[k + 1] - self.begin[k]
-            end = np.cumsum(n)
-            rest = self.flat[np.repeat(self.begin[k] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
-            out.append(np.concatenate((self.whole(pieces[0]), rest)))
-        return out
+            self._forget()
+        some = texts if plain.all() else texts.filter(pa.array(plain))
+        split = pc.split_pattern(pc.binary_join_element_wise("\r", pc.replace_substring(some, "\n", " \n"), ""), " ")
+        ends = split.offsets.to_numpy()[1:].astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        gaps = np.flatnonzero(number < 0).tolist()
+        if gaps:
+            self._learn([words[k] for k in gaps])
+            number[gaps] = [self.known[words[k]] for k in gaps]
+        self.used[number] += 1
+        at = number[coded.indices.to_numpy()]
+        first = self.begin[at]
+        n = self.begin[at + 1] - first
+        end = np.cumsum(n)
+        ids = self.flat[np.repeat(first - (end - n), n) + np.arange(end[-1])]
+        n_ids[plain] = np.diff(np.concatenate(([0], end[ends - 1])))
+        if odd:
+            each = iter(np.split(ids, np.cumsum(n_ids[plain])[:-1]))
+            ids = np.concatenate([next(each) if p else odd.get(i, np.zeros(0, np.uint32)) for i, p in enumerate(plain.tolist())])
+        return ids, n_ids
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, n = self.encode_flat(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(n)[:-1]) if texts else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -122,49 +195,61 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def write_tokens(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
+def write_tokens(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, folder: str | None = None) -> DataFrame:
     """Encode docs(doc_id, text), append end_id to each, and write the ids in ascending doc_id order.
 
-    Returns the written files as a table of FILE_SCHEMA (its folder is `shared_path`): `shard` numbers the files in
-    id order, `block` the blocks of a file; `ends` holds, for each document of a block, where its ids end in it.
-    The rows are dealt by ranges of doc_id, so every task holds a slice of the order whatever its source. vocabulary:
-    a tokenizers file, the 50k byte-level one if not given.
+    Returns the written files as a table of FILE_SCHEMA: `shard` numbers the files in id order, `block` the blocks of a
+    file; `ends` holds, for each document of a block, where its ids end in it. folder: a new folder for the files that
+    all executors reach; if none is given, one in the session's shared folder. The files stay after the session, and
+    the table's `shared_path` names their folder. The rows are dealt by ranges of doc_id and of a text's start, so
+    every task holds a slice of the order whatever its source. vocabulary: a tokenizers file, the 50k byte-level one
+    if not given.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     path = vocabulary
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, shard, block = encoder(path or vocabulary_path()), TaskContext.get().partitionId(), 0
-        ids: list[np.ndarray] = []
+        held: list[np.ndarray] = []
         docs_: list[int | None] = []
-        held = 0
+        ends: list[int] = []
+        size = 0
 
         def row() -> pa.RecordBatch:
-            flat = np.concatenate(ids)
-            words, escapes = simple8b.encode(flat)
-            ends = np.cumsum([len(x) for x in ids]).tolist()
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([len(flat)], pa.int64()), pa.array([list(docs_)], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([words], pa.binary()), pa.array([escapes], pa.binary())], ["shard", "block", "n_ids", "doc_ids", "ends", "words", "escapes"])
-
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for doc, found in zip(keys, own.encode(texts), strict=True):
-                found = np.append(found, np.uint32(end_id))
-                if held and held + len(found) > simple8b.BLOCK_IDS:
+            words, escapes = simple8b.encode(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([size], pa.int64()), pa.array([docs_], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([words], pa.binary()), pa.array([escapes], pa.binary())], ["shard", "block", "n_ids", "doc_ids", "ends", "words", "escapes"])
+
+        for batch in text_slices(batches, 1, 2 * SLICE_BYTES):
+            ids, n = own.encode_flat(batch.column(1))
+            close = np.cumsum(n + 1)
+            ids = np.insert(ids, np.cumsum(n), np.uint32(end_id))
+            first = last = 0  # of this batch's documents, those that aren't held yet begin at `first`
+            for doc, a, b in zip(batch.column(0).to_pylist(), (close - n - 1).tolist(), close.tolist(), strict=True):
+                if size and size + b - a > simple8b.BLOCK_IDS:
+                    held.append(ids[first:last])
                     yield row()
-                    ids, docs_, held, block = [], [], 0, block + 1
-                ids.append(found)
+                    held, docs_, ends, size, block, first = [], [], [], 0, block + 1, a
                 docs_.append(doc)
-                held += len(found)
-        if ids:
+                size += b - a
+                ends.append(size)
+                last = b
+            held.append(ids[first:last])
+        if docs_:
             yield row()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialise(ordered.mapInArrow(encode, FILE_SCHEMA), "tokens")
+    # ranges of a text's start agree with the order of whole texts, and part an id that has very many rows
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, 16)).sortWithinPartitions("doc_id", "text")
+    files = ordered.mapInArrow(encode, FILE_SCHEMA)
+    folder = folder or f"{shared_dir(docs.sparkSession).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    files.write.option("compression", "zstd").parquet(folder)
+    back = docs.sparkSession.read.schema(files.schema).parquet(folder)
+    back.shared_path = folder
+    return back
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the blocks of a written table alone."""
-    small_batches(files.sparkSession, 64)
+    bounded_batches(files.sparkSession)
     per_block = files.groupBy("shard", "block").agg(F.sum("n_ids").alias("n_ids"))
     shards = per_block.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     # one row for each file; its documents' ids begin after those of the files before it

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, sorted_groups
+from .common import bounded_batches, materialise, sorted_groups
 
 ROWS, QUERIES = 32_768, 128
 SCALE = 256
@@ -173,7 +173,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, rows_per_block: int =
     spark = rows.sparkSession
     ok = lambda df: df.where("vec_id is not null and vector is not null and size(vector) > 0").select("vec_id", "vector", F.size("vector").alias("dims")).distinct()
     rows, queries = ok(rows), ok(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dims", F.size("vector"))
-    small_batches(spark, 4096)
+    bounded_batches(spark)
     blocks = rows.groupBy("dims").agg(F.ceil(F.count("*") / rows_per_block).cast("int").alias("blocks"))
     blocks = materialise(blocks, "blocks")  # a row for each length of vector
     dealt = rows.join(blocks, "dims").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
@@ -201,7 +201,6 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, rows_per_block: int =
                 found = [(i, v, s) for i, x in zip(q_ids.tolist(), q, strict=True) for v, s in own.top(x, k, i)]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
 
-    small_batches(spark, 1)  # a row holds a block of each side
     parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = asked.join(index, ["dims", "block"]).repartition(parts, "dims", "block", F.xxhash64("q_ids")).sortWithinPartitions("dims", "block")
     best = met.mapInArrow(search, "query_id long, vec_id long, score long")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, small_batches
+from .common import bounded_batches, fold, text_slices
 
 TRAIN_DOCS = 3000
 THRESHOLD = 0.7
@@ -242,11 +242,11 @@ def score(docs: DataFrame, chain: Chain, spans: bool = False) -> DataFrame:
 
     spans: (start, end) in characters of the offending words, neighbours joined.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             got = judge(shared.value, texts)
             columns = [batch.column(0), batch.column(2), pa.array([s for s, _ in got], pa.float64()), pa.array([int(s >= THRESHOLD) for s, _ in got], pa.int32())]
@@ -279,12 +279,12 @@ def offending(text: str, p: np.ndarray) -> list[tuple[int, int]]:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows that are predicted toxic, in one pass over them."""
     chain = learn(docs, labels)
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, at):
             yield batch.filter(pa.array([s < THRESHOLD for s, _ in judge(shared.value, [x or "" for x in batch.column(at).to_pylist()])], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from capsweep.llm import chat_format, decontaminate, langid, mixing, ngram_join, queries, secrets, simple8b, token_output, topk, toxicity, url_filter
+from capsweep.llm import chat_format, common, decontaminate, langid, mixing, ngram_join, queries, secrets, simple8b, token_output, topk, toxicity, url_filter
 from capsweep.llm.graph import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, rough long, size long"
@@ -65,6 +65,23 @@ def test_tokens(spark, docs):
     assert token_output.read_tokens(token_output.write_tokens(empty(docs))).count() == 0
 
 
+def test_token_files_stay_where_the_caller_wants_them(spark, docs, tmp_path):
+    files = token_output.write_tokens(docs.unionByName(docs), folder=str(tmp_path / "tokens"))
+    common._clean()
+    assert files.shared_path == str(tmp_path / "tokens") and list((tmp_path / "tokens").glob("*.parquet"))
+    again = spark.read.schema(files.schema).parquet(str(tmp_path / "tokens"))
+    got = sorted(token_output.read_tokens(again).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in docs.unionByName(docs).collect()), key=lambda d: (d is not None, d or 0))
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab éßñ\n,.'’1&日<|>endoftx\t\r\xa0"), max_size=40), min_size=1, max_size=5))
+def test_pieces_are_the_library(texts):
+    e = token_output.encoder(token_output.vocabulary_path())
+    assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # --- n-gram join
 
 
