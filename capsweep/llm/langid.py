@@ -3,8 +3,9 @@
 Each language has probabilities of the pieces of a fixed public vocabulary (a sentencepiece model's, whose own scores
 aren't used). A word's probability is the sum over all its segmentations into pieces, by the forward algorithm; a text's is
 the product over its words. Pieces never cross a word's start, so a word is scored once and remembered. The
-probabilities are fitted by expectation-maximisation on at most TRAIN_DOCS learnt documents, chosen by a hash of their
-ids; everything that is scored is scored whole.
+probabilities are fitted by expectation-maximisation on at most TRAIN_DOCS learnt documents (and TRAIN_CHARS
+characters of them), chosen by a hash of their ids; everything that is scored is scored whole, and words of any length are learnt from and scored by the same sum: in
+logarithms, where a float can't hold it.
 
 Words are runs of letters, lower-cased. Defined results: `und` with score 0 if the text is null or has no letter, or if
 nothing could be learnt; equal languages go to the first by code point; repeated rows are judged each for itself; rows
@@ -13,7 +14,6 @@ without text, lang or doc_id are not learnt from; an empty table gives an empty
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,12 +29,12 @@ from .common import bounded_batches, fold, text_slices
 
 #: Documents learnt from, at most; each counts whole. Scoring has no such bound.
 TRAIN_DOCS = 3000
+TRAIN_CHARS = 40_000_000
 CHUNK = 4000
 ROUNDS = 4
 SMOOTHING = 0.05
 UNKNOWN = 1e-7
 REMEMBERED = 500_000
-LONG = 150
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -42,6 +42,17 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
+def chunked(words: list[str]) -> Iterator[list[str]]:
+    """Words in order of length, cut so that a chunk has at most CHUNK of them and about CELLS positions, or is one word."""
+    begin = 0
+    while begin < len(words):
+        end = min(begin + CHUNK, len(words))
+        while end > begin + 1 and (end - begin) * (len(words[end - 1]) + 2) > CELLS:
+            end = begin + (end - begin) // 2
+        yield words[begin:end]
+        begin = end
+
+
 class Pieces:
     """The vocabulary: piece -> number, with and without the mark of a word's start."""
 
@@ -97,9 +108,10 @@ class Lattice:
         """alpha[word, position]; scaled: the piece's probability times a constant for each of its characters."""
         alpha = np.zeros((len(self.length), self.most + 1))
         alpha[:, 0] = 1
-        for j in range(1, self.most + 1):
-            s = slice(self.cut[j], self.cut[j + 1])
-            alpha[:, j] = np.bincount(self.word[s], alpha[self.word[s], self.begin[s]] * scaled[s], len(self.length))
+        with np.errstate(over="ignore", invalid="ignore"):  # such words are found by held()
+            for j in range(1, self.most + 1):
+                s = slice(self.cut[j], self.cut[j + 1])
+                alpha[:, j] = np.bincount(self.word[s], alpha[self.word[s], self.begin[s]] * scaled[s], len(self.length))
         return alpha
 
     def backward(self, scaled: np.ndarray) -> np.ndarray:
@@ -115,14 +127,53 @@ class Lattice:
     def expected(self, theta: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """How often each piece is used in the words, over all segmentations by their probability."""
         scaled = theta[self.piece] * np.exp(SCALE * (self.end - self.begin))
-        alpha, beta = self.forward(scaled), self.backward(scaled)
-        whole = alpha[np.arange(len(self.length)), self.length]
-        part = alpha[self.word, self.begin] * scaled * beta[self.word, self.end] * (weight / np.maximum(whole, 1e-300))[self.word]
+        alpha = self.forward(scaled)
+        own = self.held(alpha)
+        if own.all():
+            beta = self.backward(scaled)
+            whole = alpha[np.arange(len(self.length)), self.length]
+            part = alpha[self.word, self.begin] * scaled * beta[self.word, self.end] * (weight / whole)[self.word]
+        else:
+            logs = np.log(theta)
+            alpha, beta = self.forward_logs(logs), self.backward_logs(logs)
+            whole = alpha[np.arange(len(self.length)), self.length]
+            part = np.exp(alpha[self.word, self.begin] + logs[self.piece] + beta[self.word, self.end] - whole[self.word]) * weight[self.word]
         return np.bincount(self.piece, part, len(theta))
 
+    def held(self, alpha: np.ndarray) -> np.ndarray:
+        """Which words' sums no float lost: none of their prefixes' is near the ends of a float's range."""
+        inside = np.arange(self.most + 1) <= self.length[:, None]
+        return (np.where(inside, alpha, 1.0).min(axis=1, initial=1.0) > SMALL) & (np.where(inside, alpha, 1.0).max(axis=1, initial=1.0) < 1 / SMALL)
+
+    def forward_logs(self, logs: np.ndarray) -> np.ndarray:
+        """The logarithms of alpha, without the constant for each character; logs: of the pieces' probabilities."""
+        alpha = np.zeros((len(self.length), self.most + 1))
+        for j in range(1, self.most + 1):
+            s = slice(self.cut[j], self.cut[j + 1])
+            w = self.word[s]
+            # sums relative to the prefix one character shorter, as every prefix has segmentations
+            sums = np.bincount(w, np.exp(alpha[w, self.begin[s]] - alpha[w, j - 1] + logs[self.piece[s]]), len(self.length))
+            alpha[:, j] = alpha[:, j - 1] + np.log(np.where(sums > 0, sums, 1.0))
+        return alpha
+
+    def backward_logs(self, logs: np.ndarray) -> np.ndarray:
+        beta = np.zeros((len(self.length), self.most + 1))
+        order = np.argsort(self.begin, kind="stable")
+        cut = np.searchsorted(self.begin[order], np.arange(self.most + 2))
+        for i in range(self.most - 1, -1, -1):
+            s = order[cut[i] : cut[i + 1]]
+            w = self.word[s]
+            sums = np.bincount(w, np.exp(beta[w, self.end[s]] - beta[w, i + 1] + logs[self.piece[s]]), len(self.length))
+            beta[:, i] = beta[:, i + 1] + np.log(np.where(sums > 0, sums, 1.0))
+        return beta
+
 
 #: exp(SCALE) for each character keeps the sums of ordinary words near 1.
 SCALE = 3.5
+#: Sums below this, or above its reciprocal, are found as logarithms.
+SMALL = 1e-250
+#: Words' positions that are walked side by side.
+CELLS = 1 << 20
 
 
 class LanguageModel:
@@ -147,9 +198,7 @@ class LanguageModel:
         """counts: for each language, how often its texts have each word."""
         pieces, langs, logs = Pieces(path), sorted(counts), []
         for lang in langs:
-            words = sorted((w for w in counts[lang] if len(w) < LONG), key=len)
-            chunks = [words[k : k + CHUNK] for k in range(0, len(words), CHUNK)]
-            lattices = [(Lattice(pieces, c), np.array([counts[lang][w] for w in c], float)) for c in chunks]
+            lattices = [(Lattice(pieces, c), np.array([counts[lang][w] for w in c], float)) for c in chunked(sorted(counts[lang], key=len))]
             theta = np.full(pieces.unknown + 1, 1 / (pieces.unknown + 1))
             for _ in range(ROUNDS):
                 seen = sum((x.expected(theta, weight) for x, weight in lattices), np.zeros(len(theta)))
@@ -160,32 +209,22 @@ class LanguageModel:
 
     def score_words(self, words: list[str]) -> np.ndarray:
         """Log-probabilities, a row for each word and a column for each language."""
+        lattice = Lattice(self.pieces, words)
         out = np.zeros((len(words), len(self.langs)))
-        short = [k for k, w in enumerate(words) if len(w) < LONG]
-        if short:
-            lattice = Lattice(self.pieces, [words[k] for k in short])
-            size = np.exp(SCALE * (lattice.end - lattice.begin))
-            for j, theta in enumerate(self.thetas):
-                alpha = lattice.forward(theta[lattice.piece] * size)
-                out[short, j] = np.log(np.maximum(alpha[np.arange(len(short)), lattice.length], 1e-300)) - SCALE * lattice.length
-        for k, w in enumerate(words):
-            if len(w) >= LONG:
-                out[k] = [self._long(w, log) for log in self.logs]
+        size, last = np.exp(SCALE * (lattice.end - lattice.begin)), (np.arange(len(words)), lattice.length)
+        lost = np.zeros(len(words), bool)
+        for j, theta in enumerate(self.thetas):
+            alpha = lattice.forward(theta[lattice.piece] * size)
+            lost |= ~lattice.held(alpha)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out[:, j] = np.log(alpha[last]) - SCALE * lattice.length
+        again = np.flatnonzero(lost)
+        if len(again):
+            part = Lattice(self.pieces, [words[k] for k in again])
+            for j, log in enumerate(self.logs):
+                out[again, j] = part.forward_logs(log)[np.arange(len(again)), part.length]
         return out
 
-    def _long(self, word: str, log: np.ndarray) -> float:
-        """The same sum in logarithms, for words whose probability no float holds."""
-        best = [0.0]
-        edges: dict[int, list[tuple[int, int]]] = {}
-        end, _, begin, piece = (x.tolist() for x in self.pieces.edges([word]))
-        for e, b, p in zip(end, begin, piece, strict=True):
-            edges.setdefault(e, []).append((b, p))
-        for j in range(1, len(word) + 2):
-            terms = [best[b] + log[p] for b, p in edges[j]]
-            top = max(terms)
-            best.append(top + math.log(sum(math.exp(x - top) for x in terms)))
-        return best[-1]
-
     def score(self, texts: list[str]) -> list[tuple[str, float]]:
         pieces = self.pieces
         assert pieces
@@ -200,8 +239,8 @@ class LanguageModel:
         at = len(self.table)
         lettered.sort(key=len)
         parts = [self.table]
-        for k in range(0, len(lettered), CHUNK):
-            parts.append(self.score_words(lettered[k : k + CHUNK]))
+        for part in chunked(lettered):
+            parts.append(self.score_words(part))
         self.known.update((w, at + k) for k, w in enumerate(lettered))
         self.known.update((w, -1) for w in odd)
         self.table = np.concatenate(parts)
@@ -226,18 +265,20 @@ def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
-def learn(docs: DataFrame, path: str | None = None, most: int = TRAIN_DOCS) -> LanguageModel:
-    """A model of docs(doc_id, text, lang) outside the held-out fold, from at most `most` of them."""
+def learn(docs: DataFrame, path: str | None = None, most: int = TRAIN_DOCS, most_chars: int = TRAIN_CHARS) -> LanguageModel:
+    """A model of docs(doc_id, text, lang) outside the held-out fold, from at most `most` of them and whole texts of
+    `most_chars` characters together."""
     may = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = [r[0] for r in may.select("doc_id", F.xxhash64("doc_id", F.lit(5)).alias("h")).distinct().orderBy("h", "doc_id").limit(most).collect()]
     chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
-    bounded_batches(docs.sparkSession)
+    rows = may.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text", F.xxhash64("doc_id", F.lit(5)).alias("h"), F.xxhash64("lang", "text").alias("x")).dropDuplicates(["lang", "x"]).orderBy("h", "x")
     counts: dict[str, Counter] = {}
-    seen: set[tuple[str, str]] = set()
-    for r in may.join(F.broadcast(chosen), "doc_id").select("lang", "text").collect():
-        if (r["lang"], r["text"]) not in seen:
-            seen.add((r["lang"], r["text"]))
-            counts.setdefault(r["lang"], Counter()).update(words_of(r["text"]))
+    held = 0
+    for k, r in enumerate(rows.toLocalIterator()):
+        held += len(r["text"])
+        if k and (k >= most or held > most_chars):
+            break
+        counts.setdefault(r["lang"], Counter()).update(words_of(r["text"]))
     return LanguageModel.fit(path or vocabulary_path(), counts)
 
 

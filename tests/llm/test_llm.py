@@ -331,18 +331,42 @@ def test_toxicity(spark, docs):
     assert toxicity.drop_toxic(d, labels).count() == 301 - 75
 
 
+def segment_sum(m, word, log):
+    """The logarithm of the sum over all segmentations, end by end."""
+    marked, best = "▁" + word, [0.0]
+    for end in range(1, len(marked) + 1):
+        parts = {b: m.pieces.number.get(marked[b:end], m.pieces.unknown if end - b == 1 else None) for b in range(max(0, end - m.pieces.longest), end)}
+        terms = [best[b] + log[p] for b, p in parts.items() if p is not None]
+        best.append(max(terms) + np.log(sum(np.exp(x - max(terms)) for x in terms)))
+    return best[-1]
+
+
+@pytest.mark.parametrize("n", [1, 40, 60, 149, 150, 2000])
+@pytest.mark.parametrize("unit", ["\u0f40", "katze", "a\u0f40"])
+def test_language_scores_of_long_words(n, unit):
+    m = langid.LanguageModel.fit(langid.vocabulary_path(), {"a": langid.Counter({"the": 5, "cat": 2}), "b": langid.Counter({"der": 5, "katze" * 60: 2, "\u0f40" * 200: 1})})
+    word = (unit * n)[:n]
+    assert m.score_words([word, "the", word + "x"])[0] == pytest.approx([segment_sum(m, word, log) for log in m.logs])
+
+
+def test_language_learns_from_long_words():
+    a = langid.LanguageModel.fit(langid.vocabulary_path(), {"a": langid.Counter({"katze" * 60: 3}), "b": langid.Counter({"the": 3})})
+    assert [x[0] for x in a.score(["katze katze", "the the"])] == ["a", "b"]
+    lattice = langid.Lattice(a.pieces, ["katze", "the"])
+    theta, weight = np.full(a.pieces.unknown + 1, 1e-3), np.array([2.0, 1.0])
+    plain = lattice.expected(theta, weight)
+    langid.SMALL, small = 1e-1, langid.SMALL
+    try:
+        assert lattice.expected(theta, weight) == pytest.approx(plain)
+    finally:
+        langid.SMALL = small
+
+
 def test_language_forward_sums_all_segmentations():
     path = langid.vocabulary_path()
     m = langid.LanguageModel.fit(path, {"a": langid.Counter({"the": 5, "cat": 2}), "b": langid.Counter({"der": 5, "katze": 2})})
-    for word in ("the", "katzen", "x" * 200):
-        for j, log in enumerate(m.logs):
-            best = [1.0]
-            if len(word) < 50:
-                for end in range(1, len(word) + 2):
-                    parts = {b: m.pieces.number.get(("▁" + word)[b:end], m.pieces.unknown if end - b == 1 else None) for b in range(end)}
-                    best.append(sum(best[b] * np.exp(log[p]) for b, p in parts.items() if p is not None))
-                assert m.score_words([word])[0, j] == pytest.approx(np.log(best[-1]))
-    assert m._long("katze", m.logs[1]) == pytest.approx(m.score_words(["katze"])[0, 1])
+    for word in ("the", "katzen", "katze", "x" * 200):
+        assert m.score_words([word])[0] == pytest.approx([segment_sum(m, word, log) for log in m.logs])
     assert [x[0] for x in m.score(["the cat", "der katze", "", "12 _ 34"])] == ["a", "b", "und", "und"]
     several = ["the", "日本語", "katzen", "œuvre", "a"]
     assert m.score_words(several) == pytest.approx(np.concatenate([m.score_words([w]) for w in several]))
