@@ -2,13 +2,16 @@
 
 DataFrame functions only. Every turn is formatted in its own row; the turns of a conversation then meet once, in the
 row that is the conversation. Defined results: a null text is an empty one, a null role is an empty role, a null
-turn sorts last, rows alike in turn are ordered by role and text, repeated rows are turns of their own, a null
-conv_id is a conversation of its own. An empty table gives an empty result; extra columns are ignored.
+turn sorts last, rows alike in turn are ordered by role and unescaped text (by code point), then by their parts,
+repeated rows are turns of their own, a null conv_id is a conversation of its own. An empty table gives an empty
+result; extra columns are ignored. Texts of any length are formatted whole: a conversation's output is one string,
+which a row can hold up to 2 GB of.
 
 Output grammar: ``<|turn|>`` role ``<|says|>`` content ``<|done|>`` and a newline, for each turn. In roles and texts
 ``&`` becomes ``&amp;``, ``<`` ``&lt;`` and ``[`` ``&lb;``, so no text can hold a control string of this template or
 of those that use ``[INST]``, and unescaping in the other order gives the text back. A part that is not text becomes
-``<|kind:number|>`` ("image", "audio", "document"), numbered from 0 within the conversation.
+``<|kind:number|>`` ("image", "audio", "document"), numbered from 0 within the conversation; in kinds ``|``, ``:``,
+``>`` and line breaks are escaped too (``&bar;``, ``&col;``, ``&gt;``, ``&nl;``), so no kind can end a placeholder or a turn.
 """
 
 from __future__ import annotations
@@ -18,26 +21,33 @@ from pyspark.sql import functions as F
 
 TURN, SAYS, DONE = "<|turn|>", "<|says|>", "<|done|>\n"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"))
+#: A part's kind stands inside a placeholder, whose signs it can't hold either.
+KIND_ESCAPES = (*ESCAPES, ("|", "&bar;"), (":", "&col;"), (">", "&gt;"), ("\n", "&nl;"))
 #: Model tokens that an attachment stands for, where the part itself doesn't say; fixed values of this template.
 EXPANDED = {"image": 576, "audio": 50, "document": 256}
 PARTS = "array<struct<kind:string,text:string,ref:string,n_tokens:int>>"
 
 
-def escape(c: Column) -> Column:
-    for plain, coded in ESCAPES:
+def escape(c: Column, escapes=ESCAPES) -> Column:
+    for plain, coded in escapes:
         c = F.replace(c, F.lit(plain), F.lit(coded))
     return c
 
 
-def unescape(c: Column) -> Column:
-    for plain, coded in reversed(ESCAPES):
+def unescape(c: Column, escapes=ESCAPES) -> Column:
+    for plain, coded in reversed(escapes):
         c = F.replace(c, F.lit(coded), F.lit(plain))
     return c
 
 
-def visit(part: Column) -> Column:
-    """The visitor: what a part contributes to the text; an attachment's number is filled in by format_turns()."""
-    return F.when(F.coalesce(part["kind"], F.lit("text")) == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), part["kind"], F.lit(":#|>")))
+def is_text(part: Column) -> Column:
+    return F.coalesce(part["kind"], F.lit("text")) == "text"
+
+
+def visit(part: Column, number: Column) -> Column:
+    """The visitor: what a part contributes to the text; number: an attachment's place among the conversation's."""
+    placeholder = F.concat(F.lit("<|"), escape(part["kind"], KIND_ESCAPES), F.lit(":"), number.cast("string"), F.lit("|>"))
+    return F.when(is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder)
 
 
 def text_parts(text: Column) -> Column:
@@ -49,14 +59,13 @@ def format_turns(turns: DataFrame) -> DataFrame:
     and of the assistant's content in it, and its attachments with their numbers."""
     known = F.create_map(*[F.lit(x) for kv in EXPANDED.items() for x in kv])
     none = F.array().cast(PARTS)
-    is_text = lambda p: F.coalesce(p["kind"], F.lit("text")) == "text"
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("parts", none).alias("parts"))
     rows = rows.withColumn("files", F.filter("parts", lambda p: ~is_text(p)))
     # a placeholder's length depends on its number, so numbers come first, then places
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", F.array_join(F.transform("parts", visit), ""))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), ""), "parts")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumns({"turn_no": F.row_number().over(order), "first": F.coalesce(F.sum(F.size("files")).over(before), F.lit(0))})
-    content = F.array_join(F.zip_with("parts", ordinals(F.col("parts"), is_text), lambda p, i: F.when(is_text(p), visit(p)).otherwise(F.concat(F.lit("<|"), p["kind"], F.lit(":"), (i + F.col("first")).cast("string"), F.lit("|>")))), "")
+    content = F.array_join(F.zip_with("parts", ordinals(F.col("parts")), lambda p, i: visit(p, i + F.col("first"))), "")
     rows = rows.withColumn("content", content).withColumn("segment", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(SAYS), "content", F.lit(DONE)))
     place = Window.partitionBy("conv_id").orderBy("turn_no").rowsBetween(Window.unboundedPreceding, -1)
     at = F.coalesce(F.sum(F.length("segment")).over(place), F.lit(0)).cast("long")
@@ -69,7 +78,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
     )
 
 
-def ordinals(parts: Column, is_text) -> Column:
+def ordinals(parts: Column) -> Column:
     """For each part, how many attachments stand before it in its turn."""
     return F.transform(parts, lambda _, i: F.size(F.filter(F.slice(parts, F.lit(1), i), lambda p: ~is_text(p))))
 

@@ -52,12 +52,12 @@ def probe_conversation(spark: SparkSession) -> DataFrame:
 def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe_conversation(spark))
     chats = chat_format.format_chats(turns.select("conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts")))
-    read = chats.select("conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("t"), F.array_join(chat_format.read_loss(F.col("formatted"), F.col("mask")), "").alias("loss"))
+    read = chats.select("conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("t"), F.array_join(chat_format.read_loss(F.col("formatted"), F.col("mask")), "").alias("loss"), "attachments", "n_attachment_tokens")
     return read.select(
         "conv_id", F.size("t").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.size("attachments").cast("long").alias("n_attachments"), "n_attachment_tokens",
     )
 
 
@@ -103,5 +103,6 @@ ORACLE_SQL = {
                         + length('<|turn|><|says|><|done|>') + 1 AS n FROM c),
         g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS t,
                      coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(n)::BIGINT AS formatted_chars FROM e GROUP BY conv_id)
-        SELECT conv_id, n_turns, sha256(t) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
+        SELECT conv_id, n_turns, sha256(t) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+               0::BIGINT AS n_attachments, 0::BIGINT AS n_attachment_tokens FROM g""",  # the table's texts are one text part each
 }
