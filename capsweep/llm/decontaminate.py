@@ -4,7 +4,8 @@ A text's words run through the automaton, which gives at each word the length of
 ends there. Where it reaches the window, the window's words are hit, and the state names the items. Defined results:
 null texts and items have no words; an item shorter than a window is a window itself; an item without words counts
 for nothing; an item_id that repeats counts once, a null one hits but isn't named; repeated documents are judged
-each for itself; empty tables of items hit nothing; extra columns of documents pass through where rows are returned.
+each for itself; empty tables of items hit nothing; extra columns of documents, whatever their names, pass through
+where rows are returned. Texts of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import bounded_batches, text_slices
 
@@ -157,35 +157,56 @@ class SuffixAutomaton:
 
 
 _built: dict[str, SuffixAutomaton] = {}
-#: Automata that a worker keeps.
+#: Automata that a worker keeps; when there are more shards, it reads GROUP_BYTES of texts for each turn of all of them.
 KEPT = 4
+GROUP_BYTES = 32 << 20
 
 
 def automata(items: DataFrame, window: int) -> tuple:
-    """The items' words, in shards of a bounded size, for the executors to build automata of."""
-    shards: list[list] = [[]]
-    held = 0
+    """The items' words, in shards of a bounded size, for the executors to build automata of.
+
+    The driver holds one shard and one partition of items at a time: a shard is a file of its own, that executors get
+    in blocks, which they may keep on disk, and load to build its automaton.
+    """
+    sc = items.sparkSession.sparkContext
+    shards, shard, held = [], [], 0
     for r in items.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
         words = normalised(r["text"] or "").split()
         if held and held + len(words) > SHARD_WORDS:
-            shards.append([])
-            held = 0
-        shards[-1].append((r["item_id"], words))
+            shards.append((uuid.uuid4().hex, sc.broadcast((window, shard))))
+            shard, held = [], 0
+        shard.append((r["item_id"], words))
         held += len(words)
-    sc = items.sparkSession.sparkContext
-    return tuple((uuid.uuid4().hex, sc.broadcast((window, s))) for s in shards)
+    return (*shards, (uuid.uuid4().hex, sc.broadcast((window, shard))))
 
 
 def _automaton(shard) -> SuffixAutomaton:
     name, shared = shard
     if name not in _built:
-        if len(_built) >= KEPT:
-            _built.clear()
+        while len(_built) >= KEPT:
+            del _built[next(iter(_built))]
         window, items = shared.value
         _built[name] = SuffixAutomaton(items, window)
+        vars(shared).pop("_value", None)  # its words are in the automaton now
     return _built[name]
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], column: int, shards) -> Iterator[pa.RecordBatch]:
+    """The batches as they are; or, if a worker can't keep all automata, joined to GROUP_BYTES of texts."""
+    if len(shards) <= KEPT:
+        yield from text_slices(batches, column)
+        return
+    held, size = [], 0
+    for batch in text_slices(batches, column, GROUP_BYTES):
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= GROUP_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -216,46 +237,66 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
     shards = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, 1):
+        for batch in _grouped(batches, 1, shards):
             got = _scan_all([x or "" for x in batch.column(1).to_pylist()], shards)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n, _, _ in got], pa.int64()), pa.array([sum(b - a for a, b in s) for _, _, s, _ in got], pa.int64()), pa.array([sorted(map(str, k)) for *_, k in got], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<string>")
 
 
+def _cut(texts: list[str], shards, most_hit: float) -> list[tuple[bool, str]]:
+    """(whether it stays, what is left of it) for each text; what is left is cut again until nothing hits it."""
+    out = [(True, t) for t in texts]
+    own = [0] * len(texts)  # words of the given text, and those cut so far
+    gone = [0] * len(texts)
+    turn = list(range(len(texts)))
+    while turn:
+        again = []
+        for i, (plain, n, spans, _) in zip(turn, _scan_all([out[i][1] for i in turn], shards), strict=True):
+            if not spans:
+                continue
+            own[i] = own[i] or n
+            gone[i] += sum(b - a for a, b in spans)
+            if gone[i] > most_hit * own[i]:
+                out[i] = False, out[i][1]
+                continue
+            raw, place = out[i][1].encode("utf-8", "surrogatepass"), [m.span() for m in _WORD.finditer(plain)]
+            cut, last = [], 0
+            for a, b in spans:
+                cut.append(raw[last : place[a][0]])
+                last = place[b - 1][1]
+            out[i] = True, b"".join([*cut, raw[last:]]).decode("utf-8", "surrogatepass")
+            again.append(i)
+        turn = again
+    return out
+
+
 def remove_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_hit: float = 0.5) -> DataFrame:
     """docs without the spans that are hit; a document of which more than most_hit of the words are hit goes whole.
 
-    Rows that nothing hits are returned as they are. A changed text has its n_chars, if there is such a column, anew.
+    What is left of a text joins at its cuts and is scanned again, until no window is in it. Rows that nothing hits
+    are returned as they are. A changed text has its n_chars, if there is such a column, anew.
     """
     bounded_batches(docs.sparkSession)
     shards = automata(items, window)
     at = docs.columns.index("text")
+    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, at):
+        for batch in _grouped(batches, at, shards):
             texts = batch.column(at).to_pylist()
-            keep = np.ones(len(texts), bool)
-            changed = np.zeros(len(texts), bool)
-            for i, (plain, n, spans, _) in enumerate(_scan_all([x or "" for x in texts], shards)):
-                if not spans:
-                    continue
-                if sum(b - a for a, b in spans) > most_hit * n:
-                    keep[i] = False
-                    continue
-                raw, place = texts[i].encode("utf-8", "surrogatepass"), [m.span() for m in _WORD.finditer(plain)]
-                cut, last = [], 0
-                for a, b in spans:
-                    cut.append(raw[last : place[a][0]])
-                    last = place[b - 1][1]
-                texts[i], changed[i] = b"".join([*cut, raw[last:]]).decode("utf-8", "surrogatepass"), True
+            left = _cut([x or "" for x in texts], shards, most_hit)
+            changed = [i for i, (stays, t) in enumerate(left) if stays and t != (texts[i] or "")]
             columns = [*batch.columns]
-            if changed.any():
-                columns[at] = pa.array(texts, pa.string())
-            out = pa.RecordBatch.from_arrays([*columns, pa.array(changed)], names=[*batch.schema.names, "__changed"])
-            yield out.filter(pa.array(keep))
-
-    out = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__changed", T.BooleanType())]))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__changed"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+            if changed:
+                for i in changed:
+                    texts[i] = left[i][1]
+                columns[at] = pa.array(texts, batch.column(at).type)
+                if count is not None:
+                    sizes, kind = columns[count].to_pylist(), columns[count].type
+                    for i in changed:
+                        sizes[i] = str(len(texts[i])) if pa.types.is_string(kind) else len(texts[i])
+                    columns[count] = pa.array(sizes, kind)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array([stays for stays, _ in left], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

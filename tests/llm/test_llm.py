@@ -4,6 +4,7 @@ import zlib
 from urllib.parse import urljoin
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -187,6 +188,31 @@ def test_remove_items(spark, docs):
     assert r.text == "Keep this much text, all of it and then some more words: ; the end." and r.n_chars == len(r.text)
 
 
+def test_what_is_left_is_cut_until_nothing_hits(spark):
+    q = [f"q{i}" for i in range(12)]
+    inside = " ".join(q[:6]) + " " + " ".join(f"z{i}" for i in range(10)) + " " + " ".join(q[6:])  # an item inside another
+    rows = [(1, inside + " and so many words that this text stays " * 8, 1, True), (2, None, 2, False), (3, inside, 3, True), (4, "plain", 4, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __changed long, keep boolean")
+    items = spark.createDataFrame([(1, " ".join(q)), (2, " ".join(f"z{i}" for i in range(10)))], "item_id long, text string")
+    left = decontaminate.remove_items(docs, items)
+    assert left.columns == docs.columns and sorted(tuple(r)[2:] for r in left.collect()) == [(1, True), (2, False), (4, False)]
+    assert all(r.n_hit == 0 for r in decontaminate.find_items(left, items).collect()) and left.where("doc_id = 1").first().text.startswith(" and so many")
+    assert decontaminate.remove_items(empty(docs), items).count() == 0 and decontaminate.remove_items(docs, empty(items)).count() == 4
+    assert all(r.n_hit == 0 and r["items"] == [] for r in decontaminate.find_items(docs, empty(items)).collect()) and decontaminate.find_items(empty(docs), items).count() == 0
+
+
+def test_more_shards_than_a_worker_keeps(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 2)
+    items = [(k, t) for k, t in enumerate(["the cat sat", "on the mat", "a b", "one", "word " * 12, "語", "no id here", "x y z"])]
+    rows = [(r[0], r[1]) for r in docs.select("doc_id", "text").collect()]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontaminate.automata(table, 10)) > decontaminate.KEPT
+    same(decontaminate.find_items(docs, table), [(d, *brute_hits(t, items)) for d, t in rows])
+    shards = [(str(k), None) for k in range(decontaminate.KEPT + 1)]
+    whole = list(decontaminate._grouped(iter(pa.table({"t": ["abc", None, "d" * 9]}).to_batches(max_chunksize=1)), 0, shards))
+    assert [b.num_rows for b in whole] == [3]
+
+
 # --- mixing
 
 
