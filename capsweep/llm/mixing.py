@@ -2,11 +2,13 @@
 
 A source's documents are counted by exact length. The lengths' counts give the copies that all documents get, then a
 share of every length, then single documents in a seeded order of lengths, while what is left of the budget is over
-DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that; a bounded-knapsack
-dynamic programme over the counts that remain fits all that is left, unless no document fits it. Which documents of a
-length are taken follows a seeded hash of their ids. Defined results: null texts have size 0 and take no part in a budget (taken
+DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that, and long ones in
+exchange for short ones where only long ones are left. A bounded-knapsack dynamic programme over the counts that
+remain fits all that is left then; where documents are so few and long that more than that stays unfilled, the
+programme runs over all of them in coarser units first. Which documents of a length are taken follows a seeded hash of their ids. Defined results: null texts have size 0 and take no part in a budget (taken
 0); a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
-may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored.
+may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored by
+mix() and kept by take(), whatever their names. Texts of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -68,17 +70,57 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED)
         if lengths[i] <= left and take[i] < counts[i]:
             take[i] += 1
             left -= int(lengths[i])
+    while True:
+        _fill(lengths, counts, take, budget, 2 * DP_BUDGET)
+        if budget - int(lengths @ take) <= 2 * DP_BUDGET or not _exchange(lengths, counts, take, budget):
+            break
+    if budget - int(lengths @ take) > 2 * DP_BUDGET:  # few documents, and long ones: the programme in coarser units
+        unit = -(-budget // (2 * DP_BUDGET))
+        rough = np.zeros_like(counts)
+        rough[order] = _knapsack(-(-lengths[order] // unit), counts[order], budget // unit)
+        _fill(lengths, counts, rough, budget, 2 * DP_BUDGET)
+        if lengths @ rough > lengths @ take:
+            take = rough
+    left = budget - int(lengths @ take)
+    if left <= 2 * DP_BUDGET:
+        take[order] += _knapsack(lengths[order], (counts - take)[order], left)
+    return take
+
+
+def _fill(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int, enough: int) -> None:
+    """Take as many as fit of each length, the longest first, but no more than bring what is left down to `enough`."""
+    left = budget - int(lengths @ take)
     for i in np.argsort(-lengths, kind="stable").tolist():
-        if left <= 2 * DP_BUDGET:
+        if left <= enough:
             break
         if lengths[i] > 0:
-            # no more than bring what is left down to the dynamic programme's size
-            n = min(int(counts[i] - take[i]), left // int(lengths[i]), -(-(left - 2 * DP_BUDGET) // int(lengths[i])))
+            n = min(int(counts[i] - take[i]), left // int(lengths[i]), -(-(left - enough) // int(lengths[i])))
             take[i] += n
             left -= n * int(lengths[i])
-    if left <= 2 * DP_BUDGET:
-        take[order] += _knapsack(lengths[order], (counts - take)[order], left)
-    return take
+
+
+def _exchange(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> bool:
+    """Give back short documents, all of which are taken, for one that doesn't fit; whether that left less of the budget."""
+    left = budget - int(lengths @ take)
+    short = [i for i in np.argsort(-lengths, kind="stable").tolist() if 0 < lengths[i] <= left and take[i] > 0]
+    for j in np.argsort(lengths, kind="stable").tolist():
+        need = int(lengths[j]) - left
+        if need <= 0 or take[j] >= counts[j] or sum(int(lengths[i] * take[i]) for i in short) < need:
+            continue
+        back = np.zeros_like(take)
+        for i in short:
+            n = min(int(take[i]), need // int(lengths[i]))
+            back[i] += n
+            need -= n * int(lengths[i])
+        for i in reversed(short):  # the shortest that is left covers the rest
+            if need > 0 and take[i] > back[i]:
+                back[i] += 1
+                need -= int(lengths[i])
+        if need <= 0 and -need < left:
+            take -= back
+            take[j] += 1
+            return True
+    return False
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -160,7 +202,28 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
 
 
 def take(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of docs, each as often as it is taken (documents without words, which cost nothing, are left out)."""
-    got = mix(docs, **options).where("copies > 0").groupBy(F.col("doc_id").alias("id"), F.col("size").alias("z"), F.col("source").alias("s")).agg(F.sum("copies").alias("c"), F.count("*").alias("n"), F.max("copies").alias("m"))
-    joined = docs.withColumn("__size", n_words(F.col("text"))).join(got, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__size") == F.col("z")) & F.col("source").eqNullSafe(F.col("s")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("m").cast("int")))).select(*docs.columns)
+    """The mix itself: rows of docs, each as often as it is taken (documents without words, which cost nothing, are left out).
+
+    Rows alike in id, source and size share the copies that mix() gives them evenly; where that leaves a rest, the
+    first of them, as the table is read, have one more. Columns of docs may have any names.
+    """
+    keys = [F.col("doc_id").alias("i"), F.col("size").alias("z"), F.col("source").alias("s")]
+    got = mix(docs.select("doc_id", "source", "text"), **options).groupBy(*keys).agg(F.sum("copies").alias("c"), F.count("*").alias("n")).where("c > 0")
+    got = materialise(got.select("i", "z", "s", F.expr("c div n").alias("each"), (F.col("c") % F.col("n")).alias("rest")), "taken")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
+    rows = docs.select(row, n_words(F.col("text")).alias("size"))
+    fits = F.col("r.doc_id").eqNullSafe(F.col("i")) & (F.col("size") == F.col("z")) & F.col("r.source").eqNullSafe(F.col("s"))
+    whole = [F.col("r")[c].alias(c) for c in docs.columns]
+    taken = rows.join(got, fits).withColumn("copies", F.col("each"))
+    uneven = got.where("rest > 0")
+    if not uneven.isEmpty():
+        # ranks among rows alike: within a partition of the table, after the rows of partitions before it
+        own = rows.withColumn("p", F.spark_partition_id()).join(uneven, fits)
+        same = ["i", "z", "s"]
+        before = own.groupBy(*same, "p").agg(F.count("*").alias("m"))
+        before = before.select(*same, "p", (F.sum("m").over(Window.partitionBy(*same).orderBy("p")) - F.col("m")).alias("b"))
+        own = own.join(before.select(*[F.col(c).alias("_" + c) for c in [*same, "p"]], "b"), F.col("i").eqNullSafe(F.col("_i")) & (F.col("z") == F.col("_z")) & F.col("s").eqNullSafe(F.col("_s")) & (F.col("p") == F.col("_p")))
+        rank = F.row_number().over(Window.partitionBy(*same, "p").orderBy(F.xxhash64("r.text"), "r.text")) + F.col("b")
+        own = own.withColumn("copies", F.col("each") + (rank <= F.col("rest")).cast("long"))
+        taken = rows.join(got.where("rest = 0"), fits).withColumn("copies", F.col("each")).select("r", "copies").unionByName(own.select("r", "copies"))
+    return taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*whole)

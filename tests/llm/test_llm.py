@@ -262,6 +262,34 @@ def test_fit_fills_what_long_documents_leave(lengths, n, budget, want):
     assert take @ lengths == want and (take >= 0).all() and (take <= n).all()
 
 
+@pytest.mark.parametrize("lengths,n,budget", [([1, 1_000_000], [1_000_000, 3], 2_500_000), ([3, 500_000, 2_000_000], [200_000, 1, 2], 4_400_000), ([7, 200_003, 1_000_000], [3, 3, 3], 1_400_020)])
+def test_fit_exchanges_short_documents_for_long_ones(lengths, n, budget):
+    lengths, n = np.array(lengths), np.array(n)
+    take = mixing.fit(lengths, n, budget)
+    assert budget - take @ lengths < lengths[0] and (take >= 0).all() and (take <= n).all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(100_000, 3_000_000), st.integers(1, 3), min_size=1, max_size=6), st.floats(0.05, 0.95))
+def test_fit_of_few_long_documents(counts, share):
+    lengths, n = np.array(sorted(counts)), np.array([counts[x] for x in sorted(counts)])
+    budget = int((lengths @ n) * share)
+    take = mixing.fit(lengths, n, budget)
+    best = max(s for s in _sums(lengths, n) if s <= budget)
+    unit = -(-budget // (2 * mixing.DP_BUDGET))
+    assert (take >= 0).all() and (take <= n).all() and best - n.sum() * unit - 2 * mixing.DP_BUDGET <= take @ lengths <= budget
+
+
+def test_take_has_what_the_mix_takes(spark):
+    rows = [(1, "a b c", "s", k, 0) for k in range(7)] + [(1, "x y z", "s", 9, 0), (2, "a b", None, 1, 0), (2, "a b", None, 1, 0), (None, "q w e r", "s", 2, 0), (3, None, "t", 3, 0), (4, "u v", "s", 4, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, id long, c long").withColumns({k: F.lit(1) for k in ("n", "m", "s", "z", "i", "r", "p", "copies", "copy", "size", "each", "rest", "__size")})
+    for share in (0.7, 1.2, 1.5):
+        want = {(r.doc_id, r["size"], r.source): r.t for r in mixing.mix(docs, share=share).groupBy("doc_id", "size", "source").agg(F.sum("taken").alias("t")).collect() if r.t}
+        got = mixing.take(docs, share=share)
+        words = got.select("doc_id", mixing.n_words(F.col("text")).alias("size"), "source").groupBy("doc_id", "size", "source").agg(F.sum("size").alias("t"))
+        assert got.columns == docs.columns and {(r.doc_id, r["size"], r.source): r.t for r in words.collect()} == want
+
+
 # --- secrets
 
 
