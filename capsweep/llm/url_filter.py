@@ -2,7 +2,7 @@
 
 DataFrame functions only. Defined results: a null url, or one without ``://``, has an empty host and path, meets no
 rule, has no aliases and is allowed. Repeated rows are judged each for itself, alike. Extra columns of the pages are
-ignored. An empty table gives an empty result.
+ignored. An empty table gives an empty result. Urls and pages of any length are read whole.
 """
 
 from __future__ import annotations
@@ -68,9 +68,9 @@ def resolve(base: Column, target: Column) -> Column:
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(u, v) urls' nodes that a page's own canonical link or refresh joins."""
-    p = pages.select("url", F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1)).alias("t")).where(F.col("url").contains("://"))
-    p = p.select("url", F.explode("t").alias("t")).where("t <> ''")
+    """(u, v) urls' nodes that a page's own canonical links and refreshes join, all of them."""
+    every = F.concat(F.regexp_extract_all("html", F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all("html", F.lit(REFRESH), F.lit(1)))
+    p = pages.where(F.col("url").contains("://")).select("url", F.explode(every).alias("t")).where("t <> ''")
     return p.select(node_of(F.col("url")).alias("u"), node_of(resolve(F.col("url"), F.col("t"))).alias("v")).where("u <> v")
 
 
