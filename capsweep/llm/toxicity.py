@@ -6,10 +6,11 @@ is fitted to these sequences by gradient ascent on its likelihood. A text's forw
 probability of each word being toxic; a logistic model of their sum and their share of the text, fitted on learnt
 documents that the chain hasn't seen, makes the document's score. The words whose marginal reaches one half are the offending spans.
 
-Learnt from at most TRAIN_DOCS labelled documents outside the held-out fold, chosen by a hash of their ids; scored
-over whole texts. Defined results: null and empty texts have the score of a text without words; if there is nothing
+Learnt from at most TRAIN_DOCS labelled documents (and TRAIN_CHARS characters of them) outside the held-out fold, chosen
+by a hash of their ids; texts of any length are scored whole. Defined results: null and empty texts have the score of a text without words; if there is nothing
 to learn from, every score is 0; repeated rows are judged each for itself; an id with several labels is toxic if one
-of them says so; rows with null labels or ids are not learnt from; an empty table gives an empty result.
+of them says so; rows with null labels or ids are not learnt from; an empty table gives an empty result; extra columns,
+whatever their names, are ignored by score() and kept by drop_toxic().
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, fold, text_slices
 
 TRAIN_DOCS = 3000
+TRAIN_CHARS = 40_000_000
 THRESHOLD = 0.7
 #: A word's start marks it as toxic in a toxic document if this share of the toxic documents have it (and at least and at
 #: most so many are asked for), so many times as often as clean ones.
@@ -224,17 +226,28 @@ def fit(docs: list[list[str]], toxic: list[bool]) -> Chain:
     return chain
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Chain:
-    """A chain from docs(doc_id, text) and labels(doc_id, toxic) outside the held-out fold."""
+def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, most_chars: int = TRAIN_CHARS) -> Chain:
+    """A chain from docs(doc_id, text) and labels(doc_id, toxic) outside the held-out fold; from at most `most` rows and
+    whole texts of `most_chars` characters together."""
     spark = docs.sparkSession
+    h = F.xxhash64("doc_id", F.lit(7)).alias("h")
     said = labels.where((fold() != 1) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = said.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(most).collect()
+    rows = said.orderBy(h, "doc_id").limit(most).collect()
     chosen = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in rows], "doc_id long, toxic int")
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    found = sorted(found, key=lambda r: (r["doc_id"], r["text"] or ""))
+    matched = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", h, F.xxhash64("text").alias("x"))
+    # rows that repeat an id and text teach once; whole texts come one partition at a time
+    found, held = [], 0
+    for r in matched.dropDuplicates(["doc_id", "x"]).orderBy("h", "doc_id", "x").toLocalIterator():
+        held += len(r["text"] or "")
+        if found and (len(found) >= most or held > most_chars):
+            break
+        found.append(r)
+    found.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     same: dict[str, str] = {}  # a word's copies share one string
+    toxic = [bool(r["toxic"]) for r in found]
     words = [[same.setdefault(w, w) for w in _WORDS.findall(r["text"] or "")] for r in found]
-    return fit(words, [bool(r["toxic"]) for r in found])
+    del found, same
+    return fit(words, toxic)
 
 
 def score(docs: DataFrame, chain: Chain, spans: bool = False) -> DataFrame:
