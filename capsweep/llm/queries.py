@@ -11,7 +11,7 @@ from .common import table
 
 def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")), spans=True)
 
 
 def op2_url_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,9 @@ QUERIES = {f.__name__: f for f in (op1_toxicity_crf, op2_url_redirects, op3_secr
 _ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _HOST, _PATH = _ASCII.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"), "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 
+_LOWER_TEXT = _ASCII.format("coalesce(text, '')")
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     # no page of the tables names a redirect or canonical target, so the rules and the default decide there
     "op2_url_redirects": f"""
@@ -96,6 +99,25 @@ ORACLE_SQL = {
               FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 5""",
+    # links by counts of shared shingles; the least id that is reached spreads along them
+    "op6_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex({_LOWER_TEXT}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [list_aggregate(w, 'string_agg', ' ')]
+                    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS g FROM d),
+        n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        l AS (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY ALL) JOIN n p ON p.r = a JOIN n q ON q.r = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+        c(r, m) AS (SELECT r, doc_id FROM d UNION SELECT l.b, c.m FROM c JOIN l ON l.a = c.r)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, t.m AS component_id FROM d LEFT JOIN n USING (r) JOIN (SELECT r, min(m) AS m FROM c GROUP BY r) t USING (r)""",
+    "op7_suffix_automaton": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER_TEXT}, '{_WORD}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER_TEXT}, '{_WORD}') AS w FROM benchmark),
+        i AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: list_aggregate(w[k:k + n - 1], 'string_agg', ' '))) AS g FROM (SELECT *, least(len(w), 10) AS n FROM b) WHERE n > 0),
+        t AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS k, w FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n),
+        h AS (SELECT t.r, t.k, t.n, i.item_id FROM (SELECT r, k, n, list_aggregate(w[k:k + n - 1], 'string_agg', ' ') AS g FROM t) t JOIN i USING (n, g)),
+        p AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS k FROM h) GROUP BY r),
+        e AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN p USING (r) LEFT JOIN e USING (r)""",
     "op8_chat_parts": """
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from capsweep.llm import chat_format, common, decontaminate, langid, mixing, ngram_join, queries, secrets, simple8b, token_output, topk, toxicity, url_filter
+from capsweep.llm import chat_format, common, decontaminate, graph, langid, mixing, ngram_join, queries, secrets, simple8b, token_output, topk, toxicity, url_filter
 from capsweep.llm.graph import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, rough long, size long"
@@ -143,6 +143,26 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("heavy", [3, 1000])
+def test_components_of_random_graphs(spark, monkeypatch, heavy):
+    monkeypatch.setattr(graph, "HEAVY", heavy)
+    rng = np.random.default_rng(heavy)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(400, x) for x in range(401, 440)] + [(x, 500) for x in range(460, 500)] + [(500, 439)]
+    parent = {x: x for p in pairs for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    got = connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in linked)
+
+
 # --- decontamination
 
 
@@ -323,23 +343,40 @@ def test_no_cue_no_candidate():
 # --- top-k
 
 
+def brute_top(rows, queries, k):
+    """(query_id, rank, vec_id, score) over rows and queries (id, vector)."""
+    out = []
+    for q, x in queries:
+        scored = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in rows if i != q and len(v) == len(x))
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return out
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     v = rng.integers(-140, 140, (150, 6))
     v[20:60] = v[20]
     rows = [(int(i), x.tolist()) for i, x in enumerate(v)] + [(0, v[0].tolist()), (500, None), (501, [1, 2]), (502, []), (None, [0] * 6), (500, [-1] * 6)]
-    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
-    want = []
-    ids = [i for i in range(150)] + [500]
-    m = np.concatenate((v, [[-1] * 6]))
-    for q in (0, 50, 100):
-        s = m @ v[q]
-        for r, k in enumerate(sorted((k for k in range(len(ids)) if ids[k] != q), key=lambda k: (-s[k], ids[k]))[:5], 1):
-            want.append((q, r, ids[k], int(s[k])))
+    rows += [(50, [3] * 6), (77, (9 * v[50]).tolist()), *[(77, (9 * v[50]).tolist())] * 8]  # another vector of a query's id, and a row that repeats
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, vector array<long>, dims string").withColumn("block", F.lit(1))
+    real = [(i, x) for i, x in rows if i is not None and x]
+    want = brute_top(real, [(i, x) for i, x in real if i % 50 == 0 and i < 150], 5)
     same(topk.top_k(df, df.where("vec_id % 50 = 0 and vec_id < 150"), 5, 40, 2), want)
+    same(topk.top_k(df, df.where("vec_id % 50 = 0 and vec_id < 150")), want)
     assert topk.top_k(df.where("false"), df.where("false")).count() == 0
 
 
+def test_bit_slices_of_large_components():
+    rng = np.random.default_rng(1)
+    for most in (1, 3, 1 << 20, 1 << 29):
+        ids, v = rng.permutation(99), rng.integers(-most, most + 1, (99, 3))
+        own = topk.BitSlices.read(*topk.BitSlices.of(ids, v).stored())
+        for q in v[:4]:
+            assert [(i, s) for _, _, i, s in brute_top([(int(i), x.tolist()) for i, x in zip(ids, v)], [(-1, q.tolist())], 7)] == own.top(q, 7)
+    with pytest.raises(ValueError):
+        topk.BitSlices.of(np.array([1]), np.array([[1 << 62]]))
+
+
 def test_unusable_vectors(spark):
     df = spark.createDataFrame([([1.0, None],), ([1.0, float("nan")],), ([float("inf")],), (None,), ([],), ([-0.5, 0.25],)], "e array<float>")
     assert [r[0] for r in df.where(topk.usable(F.col("e"))).select(topk.quantised(F.col("e"))).collect()] == [[-128, 64]]
@@ -449,6 +486,13 @@ def test_urls(spark):
     assert mixed[5] == "allow" and mixed[3] == "allow" and mixed[2] == "block"
 
 
+def test_all_links_of_a_page_count(spark):
+    html = '<link rel="canonical" href="http://far.xyz/1"><LINK REL=canonical HREF=http://far.xyz/2><meta http-equiv="refresh" content="5;url=http://b.org/es/"><meta http-equiv="refresh" content="5;url=http://far.xyz/3">'
+    pages = spark.createDataFrame([(1, "http://own.xyz/", html, 0), *[(k + 1, f"http://far.xyz/{k}", None, 0) for k in (1, 2, 3, 4)]], "page_id long, url string, html string, node int")
+    assert {r.page_id: (r.verdict, r.via) for r in url_filter.filter_urls(pages).collect()} == {1: ("block", "alias"), 2: ("block", "alias"), 3: ("block", "alias"), 4: ("block", "alias"), 5: ("allow", "default")}
+    assert url_filter.filter_urls(empty(pages)).count() == 0
+
+
 def test_relative_targets(spark):
     bases = ["http://h.x/a/b/c.html?q=1#f", "http://h.x", "http://h.x/a/"]
     targets = ["page2.html", "../x", "?p=1&amp;r=2", "../../../x/./y", ".", "..", "./", "d/../e?k=../v", "/r/../s", "//o.x/z", "http://o.x/y"]
