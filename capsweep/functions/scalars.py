@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 TRANSIENT = (429, 502, 503, 504)
 #: White space as scripts on the web see it: Unicode's, and the byte-order mark.
 SPACE = r"[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: A search's fields, of which the last two are the ends of its span of days.
+SEARCH_FIELDS = ("numProcesso", "nomeParte", "nomeAdv", "classeJudicial", "documentoParte", "estadoComboOAB", "dataAutuacaoInicio", "dataAutuacaoFim")
 REDACTED_FIELDS = ("cpf", "partyName", "jsessionid", "viewState", "ca")
 
 
@@ -105,19 +107,27 @@ def subjects(text: Column) -> Column:
 
 
 def party(line: Column) -> Column:
-    """`name - CPF|CNPJ: id (ROLE)` -> STRUCT<name, cpf, cnpj, role>; no role is UNKNOWN."""
+    """`name - CPF|CNPJ: id (ROLE)` -> STRUCT<name, cpf, cnpj, role>; no role is UNKNOWN. An id has digits and ./- only."""
     t = trimmed(line)
-    role = F.nullif(F.regexp_extract(t, r"\(([^()]*)\)$", 1), F.lit(""))
-    rest = F.when(role.isNotNull(), trimmed(F.regexp_replace(t, r"\([^()]*\)$", ""))).otherwise(t)
-    pattern = r"^(.*?)\s+-\s+(CPF|CNPJ):\s*(\S+)$"
+    role = F.nullif(trimmed(F.regexp_extract(t, r"\(([^()]+)\)$", 1)), F.lit(""))
+    rest = F.when(role.isNotNull(), trimmed(F.regexp_replace(t, r"\([^()]+\)$", ""))).otherwise(t)
+    pattern = r"^(.+?)\s*-\s*(CPF|CNPJ):\s*([\d./-]+)$"
     kind, number = F.regexp_extract(rest, pattern, 2), F.regexp_extract(rest, pattern, 3)
     return F.struct(
-        F.when(rest.rlike(pattern), F.regexp_extract(rest, pattern, 1)).otherwise(rest).alias("name"),
+        F.when(rest.rlike(pattern), trimmed(F.regexp_extract(rest, pattern, 1))).otherwise(rest).alias("name"),
         F.when(kind == "CPF", number).alias("cpf"), F.when(kind == "CNPJ", number).alias("cnpj"),
         F.coalesce(role, F.lit("UNKNOWN")).alias("role"),
     )
 
 
+def lawyer(line: Column) -> Column:
+    """`name - OAB UFnumber - CPF: id (ADVOGADO)` -> STRUCT<name, oab_state, oab_number, cpf>; any other line is a name."""
+    t = trimmed(line)
+    pattern = r"^(.+?)\s*-\s*OAB\s+([A-Z]{2})([\w-]+)\s*-\s*CPF:\s*([\d.-]+)\s*\(ADVOGADO\)$"
+    part = lambda k: F.when(t.rlike(pattern), trimmed(F.regexp_extract(t, pattern, k)))
+    return F.struct(F.coalesce(part(1), t).alias("name"), part(2).alias("oab_state"), part(3).alias("oab_number"), part(4).alias("cpf"))
+
+
 def document_type(label: Column) -> Column:
     return F.nullif(F.regexp_extract(trimmed(label), r"\(([^()]*)\)$", 1), F.lit(""))
 
@@ -179,6 +189,22 @@ def safe_component(c: Column) -> Column:
     return F.coalesce(c.rlike(r"^[A-Za-z0-9._-]+$"), F.lit(False))
 
 
+def search_body(criteria: dict[str, Column], harvested: Column, view_state: Column, trigger: Column) -> Column:
+    """array of STRUCT<name, value>: all of a search's fields under their harvested names, absent ones empty, and the
+    form's own. Both ends of the span of days must be given; a field that wasn't harvested is an error."""
+    ends = SEARCH_FIELDS[-2:]
+    missing = [k for k in ends if k not in criteria]
+    if missing:
+        raise ValueError(f"a search needs {' and '.join(missing)}")
+    pair = lambda k, v: F.struct(k.alias("name"), v.alias("value"))
+    said = lambda text: F.raise_error(F.lit(text)).cast("string")
+    value = lambda k: F.coalesce(criteria.get(k, F.lit(None).cast("string")), F.lit(""))
+    given = lambda k: F.when(value(k) == "", said(f"a search needs {k}")).otherwise(value(k)) if k in ends else value(k)
+    name = lambda k: F.coalesce(field_named(harvested, k), said(f"no field {k} was harvested"))
+    own = lambda k, v: pair(F.lit(k), F.lit(v))
+    return F.array(own("AJAXREQUEST", "_viewRoot"), *[pair(name(k), given(k)) for k in SEARCH_FIELDS], own("fPP", "fPP"), pair(F.lit("javax.faces.ViewState"), view_state), pair(trigger, trigger), own("AJAX:EVENTS_COUNT", "1"))
+
+
 def rendered_fields(fields: Column) -> Column:
     """`k=v` of a map, nulls left out."""
     return F.array_join(F.transform(F.map_entries(F.map_filter(fields, lambda _, v: v.isNotNull())), lambda e: F.concat(e["key"], F.lit("="), e["value"])), " ")

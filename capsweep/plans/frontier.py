@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.queues import ranked_seeds
 from ..sources.capped import CappedSource
-from .sweep import bisected, cut
+from ..shared import cut
+from .sweep import bisected
 
 LEDGER = "item_id string, document_id string, reason string"
 

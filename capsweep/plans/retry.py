@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.coverage import latest, unresolved_failures
 from ..sources.documents import write_documents
-from .sweep import cut
+from ..shared import cut
 
 
 def retry_failed(ledger: DataFrame, fetch: Callable[[DataFrame], DataFrame], folder: str | None = None) -> tuple[DataFrame, DataFrame]:

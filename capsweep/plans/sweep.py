@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,22 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import cell_state, is_saturated, set_hash
 from ..operators.coverage import pending
+from ..shared import cut, drop
 from ..sources.capped import CappedSource
 
 CELL = "unit_key string, window_key string, facet_value string, probe string, date_from date, date_to date, depth int"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/capsweep"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read again: a level's lineage ends here."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/level-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def day_cells(spark: SparkSession, date_from: str, date_to: str) -> DataFrame:
     """One cell for each day, ends included."""
     day = F.explode(F.sequence(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))).alias("d")
@@ -46,74 +35,99 @@ def bisected(cells: DataFrame, others: list[str] | None = None) -> DataFrame:
     )
 
 
+#: Rows of a dimension of facets or probes that is broadcast to the cells it splits.
+DIMENSION_ROWS = 100_000
+
+
 @dataclass
 class Traversal:
     """How a saturated cell splits: days into days, a day into facets, a facet into probes.
 
-    facets(facet, position) and probes(probe, position) are dimension tables of a checked size; the ceilings take
-    their first rows.
+    facets(facet, position) and probes(probe, position) are dimension tables; the ceilings take their first rows, none
+    if a ceiling is 0. used(unit_key, probe): probes that a cell has been asked with and isn't again.
     """
 
     facets: DataFrame
     probes: DataFrame
     max_facets: int | None = None
     max_probes: int | None = None
+    used: DataFrame | None = None
+
+    def __post_init__(self):
+        head = lambda d, most: d if most is None else d.where(F.col("position") < most)
+        self._facets = self._sized(head(self.facets, self.max_facets))
+        # without used probes, a cell's first ones are everyone's
+        self._probes = self._sized(self.probes if self.used is not None else head(self.probes, self.max_probes))
+
+    @staticmethod
+    def _sized(dimension: DataFrame) -> DataFrame:
+        n = dimension.count()
+        if n > DIMENSION_ROWS:
+            raise ValueError(f"a dimension of {n} values is no ceiling for a cell's children; set max_facets or max_probes")
+        return F.broadcast(dimension)
 
     def split(self, cells: DataFrame) -> DataFrame:
-        head = lambda d, most: F.broadcast(d if most is None else d.where(F.col("position") < most))
-        by_day = bisected(cells)
-        day = (F.col("date_from") == F.col("date_to"))
-        by_facet = cells.where(day & F.col("facet_value").isNull()).drop("facet_value").join(head(self.facets, self.max_facets), F.lit(True))
-        by_facet = by_facet.select(F.concat_ws("|", "window_key", "facet").alias("unit_key"), "window_key", F.col("facet").alias("facet_value"), "probe", "date_from", "date_to", (F.col("depth") + 1).alias("depth"))
-        by_probe = cells.where(day & F.col("facet_value").isNotNull() & F.col("probe").isNull()).drop("probe").join(head(self.probes, self.max_probes), F.lit(True))
-        by_probe = by_probe.select(F.concat_ws("|", "unit_key", "probe").alias("unit_key"), "window_key", "facet_value", "probe", "date_from", "date_to", (F.col("depth") + 1).alias("depth"))
+        """The children of cells, each with its parent_key."""
+        cells = cells.withColumn("parent_key", F.col("unit_key"))
+        key = ["window_key", "facet_value", "probe", "date_from", "date_to", "depth", "parent_key"]
+        by_day = bisected(cells, ["parent_key"]).select("unit_key", *key)
+        day = F.col("date_from") == F.col("date_to")
+        next_depth = (F.col("depth") + 1).alias("depth")
+        by_facet = cells.where(day & F.col("facet_value").isNull()).drop("facet_value").join(self._facets, F.lit(True))
+        by_facet = by_facet.select(F.concat_ws("|", "window_key", "facet").alias("unit_key"), "window_key", F.col("facet").alias("facet_value"), "probe", "date_from", "date_to", next_depth, "parent_key")
+        by_probe = cells.where(day & F.col("facet_value").isNotNull() & F.col("probe").isNull()).drop("probe").join(self._probes, F.lit(True))
+        if self.used is not None:
+            by_probe = by_probe.join(self.used.select("unit_key", "probe"), ["unit_key", "probe"], "left_anti")
+            if self.max_probes is not None:
+                rank = F.row_number().over(Window.partitionBy("parent_key").orderBy("position"))
+                by_probe = by_probe.withColumn("_r", rank).where(F.col("_r") <= self.max_probes)
+        by_probe = by_probe.select(F.concat_ws("|", "unit_key", "probe").alias("unit_key"), "window_key", "facet_value", "probe", "date_from", "date_to", next_depth, "parent_key")
         return by_day.unionByName(by_facet).unionByName(by_probe)
 
 
 def observe(cells: DataFrame, hits: DataFrame, cap: int | None) -> DataFrame:
-    """cells with result_count, saturated, state and item_set_hash; a cell without rows has the hash of nothing."""
-    stats = hits.groupBy("unit_key").agg(F.count("*").alias("n"), F.collect_list(F.col("item_id").cast("string")).alias("ids"))  # at most cap ids in a cell
+    """cells with result_count, saturated, state and item_set_hash; a cell without rows has the hash of nothing.
+
+    A cell's ids meet in one row: at most cap of them, or all that an uncapped source answers a cell with.
+    """
+    stats = hits.groupBy("unit_key").agg(F.count("*").alias("n"), F.collect_list(F.col("item_id").cast("string")).alias("ids"))
     limit = F.lit(cap).cast("long")
     n = F.coalesce("n", F.lit(0))
     return cells.join(stats, "unit_key", "left").select(*cells.columns, n.alias("result_count"), is_saturated(n, limit).alias("saturated"), cell_state(n, limit).alias("state"), set_hash(F.col("ids")).alias("item_set_hash"))
 
 
+def with_children(seen: DataFrame, traversal: Traversal, columns: list[str], max_depth: int) -> tuple[DataFrame, DataFrame]:
+    """(seen, children): the children of truncated cells, written; cells that have any are subdivided."""
+    full = seen.where("state = 'truncated'").select(*columns).where(F.col("depth") < max_depth)
+    children = cut(traversal.split(full))
+    parents = children.select(F.col("parent_key").alias("unit_key")).distinct().withColumn("split", F.lit(True))
+    seen = seen.join(parents, "unit_key", "left").withColumn("state", F.when(F.col("split"), "subdivided").otherwise(F.col("state"))).drop("split")
+    return seen, children
+
+
 def sweep(source: CappedSource, traversal: Traversal, seeds: DataFrame, max_depth: int = 20, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(coverage, items): a row for each cell asked, `subdivided` where it was split; and each item once.
 
     done: checkpoints of an earlier run; its cells aren't asked again. Where it has the cells' own columns, the
     children of those it split are asked too, as far as it hasn't done them.
     """
-    level, coverage, found = seeds, [], []
-    if done is not None and set(seeds.columns) <= set(done.columns):
-        level = cut(level.unionByName(traversal.split(done.where("state = 'subdivided'").select(*seeds.columns))).dropDuplicates(["unit_key"]))
+    columns, level, coverage, found = seeds.columns, seeds, [], []
+    if done is not None and set(columns) <= set(done.columns):
+        level = level.unionByName(traversal.split(done.where("state = 'subdivided'").select(*columns)).select(*columns)).dropDuplicates(["unit_key"])
     while True:
-        if done is not None:
-            level = pending(level, done)
+        level = cut(level if done is None else pending(level, done))
         hits = cut(source.discover(level))
-        seen = observe(level, hits, source.cap)
-        children = traversal.split(seen.where("state = 'truncated'").select(*seeds.columns).where(F.col("depth") < max_depth))
-        children = cut(children)
-        parents = _parents(children, seen)
-        seen = seen.join(parents, "unit_key", "left").withColumn("state", F.when(F.col("split").isNotNull(), "subdivided").otherwise(F.col("state"))).drop("split")
+        seen = cut(observe(level, hits, source.cap))
+        drop(level)
+        seen, children = with_children(seen, traversal, columns, max_depth)
         coverage.append(seen)
         found.append(hits.select("item_id", "facet", "name") if "facet" in hits.columns else hits.select("item_id"))
         if children.isEmpty():
             break
-        level = children
+        level = children.select(*columns)
     return _union(coverage), _union(found).dropDuplicates(["item_id"])
 
 
-def _parents(children: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cells that have children: those of the level that are saturated and that some child's span lies in."""
-    spans = children.select("window_key", F.coalesce("facet_value", F.lit("")).alias("f"), "probe", "date_from", "date_to").distinct()
-    a, b = cells.where("state = 'truncated'").alias("a"), spans.alias("b")
-    same_day = (F.col("a.window_key") == F.col("b.window_key")) & (F.col("a.facet_value").isNull() | (F.col("a.facet_value") == F.col("b.f")))
-    own = a.join(b, same_day, "left_semi").select("unit_key")
-    wide = a.where("date_from < date_to").select("unit_key")  # a span of days always has halves
-    return own.unionByName(wide).distinct().withColumn("split", F.lit(True))
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

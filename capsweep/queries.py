@@ -13,7 +13,8 @@ from .functions import scalars as S
 from .operators import coverage, queues
 from .plans.frontier import crawl
 from .plans.retry import retry_failed
-from .plans.sweep import Traversal, cut, day_cells, sweep
+from .plans.sweep import Traversal, day_cells, sweep
+from .shared import cut
 from .sources import html
 from .sources.capped import TableSource, capped
 
@@ -35,6 +36,7 @@ def ship_source(spark: SparkSession, sf_dir: str, cap: int) -> TableSource:
 def sweep_cells(spark: SparkSession, sf_dir: str, cap: int = 4) -> DataFrame:
     """The whole adaptive sweep: days, then flags, then part names, where the cap is reached."""
     source = ship_source(spark, sf_dir, cap)
+    source.rows = cut(source.rows)  # each level asks it
     low, high = source.rows.agg(F.min("day"), F.max("day")).first()
     rank = lambda df, c, name: df.select(F.col(c).alias(name)).distinct().withColumn("position", F.lit(0))
     traversal = Traversal(rank(table(spark, sf_dir, "lineitem"), "l_returnflag", "facet"), rank(table(spark, sf_dir, "part"), "p_name", "probe"))

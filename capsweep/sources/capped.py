@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,10 +25,23 @@ class TableSource:
     cap: int | None
 
     def discover(self, cells: DataFrame) -> DataFrame:
-        # an equi-join on days instead of a range join; the rest filters within a day
+        # equi-joins on days instead of a range join, and on facets and probes where cells ask for them
         days = cells.withColumn("day", F.explode(F.sequence("date_from", "date_to")))
-        fits = (F.col("facet_value").isNull() | (F.col("facet_value") == F.col("facet"))) & (F.col("probe").isNull() | F.contains(F.lower("name"), F.lower("probe")))
-        return capped(days.join(self.rows, "day").where(fits).select("unit_key", "item_id", "facet", "name"), F.col("item_id"), self.cap)
+        hits = []
+        for r in cells.select(F.col("facet_value").isNotNull().alias("facet"), F.col("probe").isNotNull().alias("probe")).distinct().collect():  # at most four
+            asked = days.where((F.col("facet_value").isNotNull() == r["facet"]) & (F.col("probe").isNotNull() == r["probe"]))
+            keys = ["day", *["facet"] * r["facet"], *["_probe"] * r["probe"]]
+            asked = asked.select("unit_key", "day", *[F.col("facet_value").alias("facet")] * r["facet"], *[F.lower("probe").alias("_probe")] * r["probe"])
+            rows = self.rows
+            if r["probe"]:
+                # a name meets a probe once, not in every cell
+                probes = cells.where("probe is not null").select(F.lower("probe").alias("_probe")).distinct()
+                names = self.rows.select("name").distinct()
+                rows = rows.join(names.join(probes, F.contains(F.lower("name"), "_probe")), "name")
+            hits.append(asked.join(rows, keys).select("unit_key", "item_id", "facet", "name"))
+        if not hits:
+            return self.rows.where("false").select(F.lit("").alias("unit_key"), "item_id", "facet", "name")
+        return capped(reduce(DataFrame.unionByName, hits), F.col("item_id"), self.cap)
 
 
 @dataclass

@@ -10,7 +10,7 @@ from capsweep.functions import codecs
 from capsweep.functions import scalars as S
 from capsweep.operators import coverage, queues
 from capsweep.plans.sweep import Traversal, bisected, day_cells, sweep
-from capsweep.sources import html
+from capsweep.sources import html, records
 from capsweep.sources.capped import RangeSource, TableSource
 from capsweep.sources.jsonl import read_jsonl
 
@@ -21,7 +21,7 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()["x"]
 
 
-def records(spark, rows):
+def observed(spark, rows):
     schema = "unit_key string, window_key string, facet_value string, result_count long, observed_at string, ordinal int, dimensions map<string,string>"
     return spark.createDataFrame([(f"{w}|{f}|{i}", w, f, n, at, i, d) for i, (w, f, n, at, d) in enumerate(rows)], schema)
 
@@ -31,13 +31,13 @@ def records(spark, rows):
     ([(None, 30), ("A", 10)], (30, 10, False)),
 ])
 def test_partition_invariant(spark, rows, want):
-    r = records(spark, [("w", f, n, "t", {"date": "d"} | ({"class": f} if f else {})) for f, n in rows])
+    r = observed(spark, [("w", f, n, "t", {"date": "d"} | ({"class": f} if f else {})) for f, n in rows])
     got = coverage.partition_invariant(r).collect()
     assert [(x.parent_count, x.child_sum, x.holds) for x in got] == [want]
 
 
 def test_repeated_children_count_unless_deduped(spark):
-    r = records(spark, [("w", None, 30, "t", {"date": "d"}), ("w", "A", 16, "t1", {"date": "d", "class": "A"}), ("w", "A", 16, "t2", {"date": "d", "class": "A"})]).withColumn("unit_key", F.concat_ws("|", "window_key", "facet_value"))
+    r = observed(spark, [("w", None, 30, "t", {"date": "d"}), ("w", "A", 16, "t1", {"date": "d", "class": "A"}), ("w", "A", 16, "t2", {"date": "d", "class": "A"})]).withColumn("unit_key", F.concat_ws("|", "window_key", "facet_value"))
     assert coverage.partition_invariant(r).first().child_sum == 32
     assert coverage.partition_invariant(r, dedupe=True).first().child_sum == 16
 
@@ -120,7 +120,11 @@ def test_jsonl_torn_line(spark, tmp_path):
 def test_html():
     page = "<table><tr class='rich-table-row'><td><a onclick=\"go('?ca=ab12')\">0000001-02.2024.4.05.8300</a></td><td><a>Classe</a><br>A X B</td></tr><tr class='rich-table-row'><td>none</td></tr></table>"
     assert html.result_rows(page) == [{"process_number": "0000001-02.2024.4.05.8300", "token": "ab12", "parties": "A X B"}]
-    assert html.movements("<tr><td>01/02/2024 10:00:00 - Autuado</td></tr>")[0]["description"] == "Autuado"
+    moves = "<table id='x:processoEvento'><tbody id='x:processoEvento:tb'><tr><td>01/02/2024 10:00:00 - Autuado</td></tr><tr><td>no date</td><td>2</td></tr></tbody></table>"
+    assert [(m["sequence"], m["raw_date"], m["description"], len(m["raw_cells"])) for m in records.movements(html.parse(moves))] == [(1, "01/02/2024 10:00:00", "Autuado", 1), (2, None, "no date", 2)]
+    with pytest.raises(ValueError):
+        html.form_state("<form action='/x'></form>")
+    assert html.visible_text("<i>" * 20_000 + "deep<script>x</script>" + "</i>" * 20_000) == "deep"
     assert html.form_state("<form action='/x'><input name='javax.faces.ViewState' value='j1'><input name='f:n'></form><script>s({'f:go':'f:go'})</script>") == {"action": "/x", "view_state": "j1", "fields": ["javax.faces.ViewState", "f:n"], "trigger": "f:go"}
 
 
