@@ -41,8 +41,9 @@ def deeper(parent: Column, child: Column) -> Column:
 def partition_invariant(records: DataFrame, at: str = "observed_at", ordinal: str = "ordinal", dedupe: bool = False) -> DataFrame:
     """(window_key, facet_value, parent_count, child_sum, holds): whether parts reach their whole's count.
 
-    For a window: its latest row without a facet against the sum of its shallowest facet rows. For a facet: its latest
-    shallowest row against the sum of its deeper ones. dedupe: count only the latest observation of each child.
+    For a window: its latest row without a facet against the sum of its facets' shallow rows, those that aren't deeper
+    than another row of their facet. For a facet: its latest shallow row against the sum of those deeper than that one.
+    dedupe: count only the latest observation of each child.
     """
     r = records.withColumn("keys", F.array_sort(F.map_keys("dimensions")))
     children = latest(r, "unit_key", at, ordinal) if dedupe else r
@@ -51,12 +52,13 @@ def partition_invariant(records: DataFrame, at: str = "observed_at", ordinal: st
     sets = children.where("facet_value is not null").select("window_key", "facet_value", "keys").distinct()
     inner = sets.alias("a").join(sets.alias("b"), (F.col("a.window_key") == F.col("b.window_key")) & (F.col("a.facet_value") == F.col("b.facet_value")) & deeper(F.col("b.keys"), F.col("a.keys"))).select("a.window_key", "a.facet_value", "a.keys").distinct()
     faceted = children.where("facet_value is not null")
-    at_key = ["window_key", "facet_value", "keys"]
-    shallow, deep = faceted.join(inner, at_key, "left_anti"), faceted.join(inner, at_key, "left_semi")
+    shallow = faceted.join(inner, ["window_key", "facet_value", "keys"], "left_anti")
     windows = latest(r.where("facet_value is null").withColumn("d", depth), "window_key", at, ordinal).select("window_key", F.col("result_count").alias("parent_count"))
     by_window = windows.join(shallow.groupBy("window_key").agg(F.sum("result_count").alias("child_sum")), "window_key").select("window_key", F.lit(None).cast("string").alias("facet_value"), "parent_count", "child_sum")
-    tops = latest(shallow.drop("keys"), ["window_key", "facet_value"], at, ordinal).select("window_key", "facet_value", F.col("result_count").alias("parent_count"))
-    by_facet = tops.join(deep.groupBy("window_key", "facet_value").agg(F.sum("result_count").alias("child_sum")), ["window_key", "facet_value"])
+    # a facet's top is the latest of its shallow rows; only rows deeper than that one count for it
+    tops = shallow.groupBy("window_key", "facet_value").agg(F.max_by(F.struct("keys", F.col("result_count").alias("parent_count")), F.struct(at, ordinal)).alias("t")).select("window_key", "facet_value", F.col("t.keys").alias("top"), "t.parent_count")
+    deep = faceted.join(tops, ["window_key", "facet_value"]).where(deeper(F.col("top"), F.col("keys")))
+    by_facet = deep.groupBy("window_key", "facet_value", "parent_count").agg(F.sum("result_count").alias("child_sum"))
     both = by_window.unionByName(by_facet.select(*by_window.columns))
     return both.withColumn("holds", F.col("child_sum") >= F.col("parent_count"))
 

@@ -21,6 +21,24 @@ def name_probe_hits(names: DataFrame, name: str) -> DataFrame:
     return counted.join(F.broadcast(probes), F.contains("_name", "probe")).groupBy("probe").agg(F.sum("_n").alias("hits"))
 
 
+#: Name parts that are common, in the order they are asked when nothing better is known.
+COMMON_PROBES = (
+    "DA SILVA", "DOS SANTOS", "DE OLIVEIRA", "DA COSTA", "DE SOUZA", "DOS REIS", "DA CRUZ", "DE ALMEIDA", "DO NASCIMENTO", "DE ARAUJO", "DE LIMA", "DA ROCHA",
+    "INSTITUTO NACIONAL", "CAIXA ECONOMICA", "UNIAO FEDERAL", "FAZENDA NACIONAL", "MINISTERIO PUBLICO", "MUNICIPIO DE",
+)
+
+
+def common_probes(spark) -> DataFrame:
+    return spark.createDataFrame([(p, i) for i, p in enumerate(COMMON_PROBES)], "probe string, position int")
+
+
+def ranked_probes(names: DataFrame, name: str, ordinal: str, most: int) -> DataFrame:
+    """(probe, position): the first `most` of what names harvested so far give, by frequency, then of the common ones."""
+    queue = probe_queue(bigram_frequency(names, name, ordinal), common_probes(names.sparkSession)).limit(most)
+    # at most `most` rows meet here
+    return queue.withColumn("position", F.row_number().over(Window.orderBy("source_rank", F.desc("n"), "first_seen", F.col("position"))) - 1).select("probe", "position")
+
+
 def probe_queue(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(probe, source_rank, n, first_seen, position): harvested ones by frequency, then the dictionary's others in order."""
     mine = frequencies.select("probe", F.lit(0).alias("source_rank"), "n", F.col("first_seen"), F.lit(None).cast("int").alias("position"))
@@ -63,13 +81,18 @@ def within_budget(rows: DataFrame, order: list, item: str, most: int | None, per
     return rows
 
 
-def rate_gate(requests: DataFrame, ready: str, order: str, spacing: int, by: str) -> DataFrame:
-    """requests with granted: max(ready, previous grant + spacing), in order, for each gate."""
+def rate_gate(requests: DataFrame, ready: str, order: str, spacing: int, by: str, cooldown: str | None = None) -> DataFrame:
+    """requests with granted: max(ready, previous grant + spacing), in order, for each gate.
+
+    cooldown: milliseconds for which a request's answer (a 429) closes the gate after its grant, null for none. A cooldown
+    is not added to the spacing, the longer of them holds; nor do cooldowns add up.
+    """
     w = Window.partitionBy(by).orderBy(order)
-    i = F.row_number().over(w)
-    rows = requests.withColumn("_i", i)
-    lead = F.max(F.col(ready) - F.col("_i") * spacing).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("granted", lead + F.col("_i") * spacing).drop("_i")
+    step = F.greatest(F.lit(spacing), F.coalesce(F.col(cooldown), F.lit(0))) if cooldown else F.lit(spacing)
+    # grants are max-plus sums: the latest of all ready times, each with the steps since
+    rows = requests.withColumn("_s", F.coalesce(F.sum(step.cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    lead = F.max(F.col(ready) - F.col("_s")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("granted", lead + F.col("_s")).drop("_s")
 
 
 def last_before(df: DataFrame, value: str, when, by: list[str], order: list, name: str) -> DataFrame:

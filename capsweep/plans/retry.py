@@ -21,7 +21,8 @@ def retry_failed(ledger: DataFrame, fetch: Callable[[DataFrame], DataFrame], fol
     """
     open_ = unresolved_failures(ledger).where("item is not null and doc is not null")
     open_ = latest(open_.select("item_id", "document_id", "observed_at", "item", "doc").withColumn("ordinal", F.lit(0)), ["item_id", "document_id"]).select("item_id", "document_id", "item", "doc")
-    tried = cut(fetch(open_))
+    open_ = cut(open_)
+    tried = cut(fetch(open_).select("item_id", "document_id", "file_name", "body", "reason").join(open_, ["item_id", "document_id"]))
     good = tried.where("reason is null")
     if folder is None:
         sizes = good.select("item_id", "document_id", F.lit(None).cast("long").alias("bytes"))
