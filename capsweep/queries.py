@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cli
+from . import captured, cli
 from .functions import codecs
+from .functions import responses as R
 from .functions import scalars as S
 from .operators import coverage, queues
 from .plans.frontier import crawl
+from .plans import run as runs
 from .plans.retry import retry_failed
 from .plans.sweep import Traversal, day_cells, sweep
-from .shared import cut
-from .sources import html
+from .shared import cut, shared_folder
+from .sources import html, records
 from .sources.capped import TableSource, capped
+from .stores import Stores
 
 DAY, ORDER_DAY = "CAST(l_shipdate AS DATE)", "CAST(o_orderdate AS DATE)"
 
@@ -80,8 +84,22 @@ def partition_invariant(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("w"), "o_orderpriority")
     whole = o.groupBy("w").agg(F.least(F.count("*"), F.lit(10)).alias("n")).select(F.col("w").alias("window_key"), F.lit(None).cast("string").alias("facet_value"), F.col("n").alias("result_count"), F.create_map(F.lit("date"), F.col("w")).alias("dimensions"))
     part = o.groupBy("w", "o_orderpriority").agg(F.least(F.count("*"), F.lit(2)).alias("n")).select(F.col("w").alias("window_key"), F.col("o_orderpriority").alias("facet_value"), F.col("n").alias("result_count"), F.create_map(F.lit("date"), F.col("w"), F.lit("class"), F.col("o_orderpriority")).alias("dimensions"))
-    records = whole.unionByName(part).withColumns({"unit_key": F.concat_ws("|", "window_key", "facet_value"), "observed_at": F.lit("t"), "ordinal": F.lit(0)})
-    return coverage.partition_invariant(records).where("facet_value is null").select("window_key", F.col("parent_count").cast("long"), F.col("child_sum").cast("long"), "holds")
+    observed = whole.unionByName(part).withColumns({"unit_key": F.concat_ws("|", "window_key", "facet_value"), "observed_at": F.lit("t"), "ordinal": F.lit(0)})
+    return coverage.partition_invariant(observed).where("facet_value is null").select("window_key", F.col("parent_count").cast("long"), F.col("child_sum").cast("long"), "holds")
+
+
+def facet_invariant(spark, sf_dir):
+    """Facets against what is deeper than their latest shallow row: priorities, split by status and, apart, by the customer's last digit."""
+    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("w"), F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"), F.right(F.col("o_custkey").cast("string"), F.lit(1)).alias("c"))
+    none = F.lit(None).cast("string")
+
+    def level(most: int, order: int, *by: str) -> DataFrame:
+        names = {"w": "date", "p": "class", "s": "status", "c": "digit"}
+        rows = o.groupBy(*by).agg(F.least(F.count("*"), F.lit(most)).alias("result_count"))
+        return rows.select(F.col("w").alias("window_key"), F.col("p").alias("facet_value") if "p" in by else none.alias("facet_value"), "result_count", F.create_map(*[x for b in by for x in (F.lit(names[b]), F.col(b))]).alias("dimensions"), F.lit(order).alias("ordinal"), F.concat_ws("|", *by).alias("unit_key"))
+
+    observed = level(30, 0, "w").unionByName(level(20, 1, "w", "p")).unionByName(level(6, 2, "w", "p", "s")).unionByName(level(1, 3, "w", "p", "c")).withColumn("observed_at", F.lit("t"))
+    return coverage.partition_invariant(observed).select("window_key", "facet_value", F.col("parent_count").cast("long"), F.col("child_sum").cast("long"), "holds")
 
 
 def pending_anti_join(spark, sf_dir):
@@ -169,10 +187,98 @@ def label_code(spark, sf_dir):
     return p.select("p_partkey", c["label"].alias("label"), c["code"].alias("code"))
 
 
+def read_records(spark, sf_dir):
+    """Records of all orders' pages, their grids' further pages included."""
+    pages = cut(captured.record_pages(spark, sf_dir))
+    first = records.read_records(pages.where("page = 1").select("key", "url", "status", "headers", "body"))
+    return records.with_grid_pages(cut(first), pages.where("page > 1").select("key", "page", "status", "headers", "body"))
+
+
 def outcome_classification(spark, sf_dir):
-    h = F.col("html")
-    v = S.validity(h.contains("session expired"), h.contains("unprimed"), h.contains("track(1"), F.col("url").contains("utm_"), F.length(h) < 1500, h.contains("<article>"))
-    return table(spark, sf_dir, "pages").select("page_id", v.alias("validity"))
+    """Pages as responses: signals, validity, and the outcomes of a detail and of a search."""
+    p = captured.record_pages(spark, sf_dir).where("page = 1")
+    v = R.response_view(F.col("status"), F.col("headers"), F.col("body"))
+    return p.select("key", R.view_validity(v).alias("validity"), R.detail_outcome(F.col("status"), F.col("headers"), v)["kind"].alias("detail"), R.search_outcome(F.col("status"), F.col("headers"), v)["kind"].alias("search"))
+
+
+def detail_records(spark, sf_dir):
+    r = read_records(spark, sf_dir)
+    x, who = F.col("record"), F.try_element_at(F.col("record.parties.active"), F.lit(1))
+    return r.select(
+        "key", F.col("outcome.kind").alias("kind"), F.coalesce(F.col("outcome.reason"), F.col("outcome.status").cast("string")).alias("reason"), x["process_number"].alias("process_number"), x["case_class"]["label"].alias("class_label"), x["case_class"]["code"].alias("class_code"),
+        F.array_join(F.transform(x["subjects"], lambda c: F.concat_ws("/", c["label"], c["code"])), ";").alias("subjects"), x["judging_body"]["name"].alias("body_name"), x["judging_body"]["address"].alias("body_address"), x["filing_date"].alias("filing_date"),
+        who["name"].alias("party"), who["cpf"].alias("cpf"), who["cnpj"].alias("cnpj"), who["role"].alias("role"), who["status"].alias("status"),
+        F.array_join(F.transform(who["lawyers"], lambda w: F.concat_ws("/", w["name"], w["oab_state"], w["oab_number"], w["cpf"])), ";").alias("lawyers"),
+        F.size(x["movements"]).alias("n_movements"), F.array_join(F.transform(x["documents"], lambda d: F.concat_ws("/", d["kind"], d["documentId"], d["label"], d["document_type"])), ";").alias("documents"),
+    )
+
+
+def record_movements(spark, sf_dir):
+    """When each movement occurred, read from pages at a fixed offset."""
+    pages = captured.record_pages(spark, sf_dir).where("page = 1")
+    return records.occurred(records.read_records(pages.select("key", "url", "status", "headers", "body")))
+
+
+def document_fetches(spark, sf_dir):
+    """Chains of document requests: what each document's fetch comes to, and the file it would be."""
+    r = read_records(spark, sf_dir).where("record is not null")
+    docs = cut(r.select(F.col("key").alias("item_id"), F.col("record.process_number").alias("process_number"), F.explode("record.documents").alias("d")).select("item_id", "process_number", "d.kind", "d.documentId", "d.label", "d.url"))
+    got = records.fetched_documents(docs, captured.document_chain(docs))
+    return got.select("item_id", F.col("documentId").alias("document_id"), "kind", F.col("outcome.kind").alias("outcome"), F.coalesce(F.col("outcome.reason"), F.col("outcome.status").cast("string")).alias("reason"), "file_name", F.octet_length("body").alias("bytes"), "fetched_bin_id")
+
+
+def harvested_seeds(spark, sf_dir):
+    """What records name for the frontier: lawyers' numbers, then parties'."""
+    pages = captured.record_pages(spark, sf_dir).where("page = 1")
+    r = records.read_records(pages.select("key", "url", "status", "headers", "body")).where("record is not null")
+    return r.select("key", F.posexplode(S.harvested_seeds(F.col("record.parties"))).alias("position", "seed")).select("key", "position", "seed.kind", "seed.value")
+
+
+def row_tolerance(spark, sf_dir):
+    """Rows of cells that are tried again: lines of orders, by their numbers' remainders."""
+    l = captured.order_lines(spark, sf_dir).select(F.col("l_orderkey").alias("unit_key"), F.col("l_linenumber").alias("position"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"), (F.col("l_partkey") % 23).alias("m"))
+    tries = l.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    kind = F.when((F.col("m") == 0) & (F.col("attempt") == 1), "transient").when(F.col("m") <= 1, "hostDefect").when((F.col("m") == 2) & (F.col("attempt") < 2), "permanentError").when((F.col("m") == 3) & (F.col("attempt") < 3), "hostDefect").otherwise("ok")
+    ok, lost, aborted = runs.tolerated(tries.withColumns({"kind": kind, "status": F.lit(503), "reason": F.lit("x  y"), "detail": F.lit("d")}))
+    none = F.lit(None).cast("string")
+    rows = ok.select("unit_key", "item_id", F.lit("item").alias("what"), none.alias("reason")).unionByName(lost.select("unit_key", "item_id", F.lit("unresolved").alias("what"), "reason"))
+    return rows.unionByName(aborted.select("unit_key", none.alias("item_id"), F.lit("aborted").alias("what"), F.concat_ws(":", "kind", "status").alias("reason")))
+
+
+def resume_sweep(spark, sf_dir):
+    """A run that its budget stops once and a second one that goes on: the latest checkpoint of every cell."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("item_id"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderpriority").alias("facet"), F.lit("x y").alias("name"))
+    source = TableSource(cut(o), 5)
+    low, high = source.rows.agg(F.min("day"), F.max("day")).first()
+    facets = source.rows.select("facet").distinct().withColumn("position", F.lit(0))
+    traversal = Traversal(cut(facets), spark.createDataFrame([], "probe string, position int"))
+    stores = Stores(spark, f"{shared_folder(spark)}/run-{uuid.uuid4().hex}")
+    seeds = day_cells(spark, str(low), str(high))
+    for run_id, most in (("first", 1000), ("second", None)):
+        runs.run(source, traversal, seeds, stores, run_id, runs.Limits(max_requests=most), runs.FixedClock())
+    items = stores.items().groupBy("unit_key").agg(F.count("*").alias("items"))
+    return stores.checkpoints().join(items, "unit_key", "left").select("unit_key", "facet_value", "depth", "state", "result_count", "item_set_hash", F.coalesce("items", F.lit(0)).cast("long").alias("items"))
+
+
+def rate_gate_cooldown(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ready"), F.when(F.col("event_type") == "error", F.lit(60_000)).alias("cooldown"))
+    return queues.rate_gate(e, "ready", "event_id", 500, "user_id", "cooldown").select("event_id", F.col("granted").cast("long").alias("granted"))
+
+
+def search_bodies(spark, sf_dir):
+    """All fields of each customer's search, Latin-1 encoded."""
+    c = table(spark, sf_dir, "customer")
+    harvested = F.array(*[F.lit(f"j9:{k}{x}") for k, x in zip(S.SEARCH_FIELDS, ("", "Input", "", "", "", "", "", ""), strict=True)])
+    body = S.search_body({"nomeParte": F.col("c_name"), "dataAutuacaoInicio": F.lit("01/02/2024"), "dataAutuacaoFim": F.lit("02/02/2024"), "classeJudicial": F.when(F.col("c_custkey") % 2 == 0, F.lit("Ação – ã"))}, harvested, F.lit("j_id1"), F.lit("j9:go"))
+    rows = c.select("c_custkey", F.posexplode(body).alias("position", "f")).select("c_custkey", "position", codecs.encode_latin1(F.col("f.name")).alias("name"), codecs.encode_latin1(F.col("f.value")).alias("value"))
+    return rows
+
+
+def class_catalogue(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_type", "p_size").distinct()
+    entry = captured.joined('<tr class="richfaces_suggestionEntry"><td></td><td>', F.col("p_type"), "</td><td> ", F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise(""), "</td></tr>")
+    body = p.select(F.col("p_type"), captured.joined("<html><table>", entry, "<tr><td>no entry</td></tr></table></html>").cast("binary").alias("body"), captured.headers("text/xml; charset=UTF-8").alias("headers"))
+    return records.read_catalogue(body).select("label", "code")
 
 
 def html_extract(spark, sf_dir):
@@ -180,10 +286,9 @@ def html_extract(spark, sf_dir):
 
 
 def grid_reconciliation(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("rows"), F.count_if(F.col("l_returnflag") == "N").alias("fetched"))
-    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    rows, fetched = F.coalesce("rows", F.lit(0)), F.coalesce("fetched", F.lit(0))
-    return o.select("o_orderkey", rows.alias("n_rows"), fetched.alias("fetched"), (rows - fetched).alias("skipped"), (F.lit(4) - rows).alias("gap"))
+    """What grids declare against the documents read of them."""
+    r = read_records(spark, sf_dir).where("record is not null")
+    return r.select("key", F.col("grid.declaredTotal").alias("declared"), F.col("grid.extractedCount").alias("fetched"), F.col("grid.skippedCount").alias("skipped"), F.col("grid.reportedGap").alias("gap"))
 
 
 def asof_attach(spark, sf_dir):
@@ -205,7 +310,8 @@ def slug_path(spark, sf_dir):
 
 def latin1_form(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return d.select("doc_id", F.length(codecs.encode_latin1(F.col("text"))).cast("long").alias("encoded_chars"))
+    coded = codecs.encode_latin1(F.col("text"))
+    return d.select("doc_id", F.length(coded).cast("long").alias("encoded_chars"), F.sha2(coded.cast("binary"), 256).alias("sha256"))
 
 
 def frontier_crawl(spark, sf_dir):
@@ -232,9 +338,14 @@ QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
-    frontier_crawl, retry_outcomes,
+    frontier_crawl, retry_outcomes, facet_invariant, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, rate_gate_cooldown, search_bodies, class_catalogue,
 )} | {"sweep_cells": sweep_cells}
 
+#: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
+_LINES = "li AS (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate, min(l_returnflag) AS l_returnflag, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)"
+_RECORDS = f"""{_LINES}, l AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_linenumber % 5 <> 0) AS nd, string_agg(CASE WHEN l_linenumber % 2 = 1 THEN 'legacy/' ELSE 'bornDigital/' END || l_orderkey || l_linenumber || '/Doc ' || l_linenumber || ' (' || l_returnflag || ')/' || l_returnflag, ';' ORDER BY l_linenumber) FILTER (l_linenumber % 5 <> 0) AS docs FROM li GROUP BY l_orderkey),
+        r0 AS (SELECT o_orderkey AS k, o_orderkey % 11 AS m, coalesce(n, 0)::INTEGER AS n, coalesce(nd, 0) AS nd, coalesce(docs, '') AS docs, o_orderkey % 13 = 0 AND coalesce(n, 0) > 2 AS late, orders.*, customer.* FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey),
+        r AS (SELECT *, m NOT IN (1, 2, 3, 4, 5) AND NOT late AS ok FROM r0)"""
 _HASH = "'sha1:' || sha1(coalesce(string_agg(item_id, chr(10) ORDER BY item_id), ''))"
 
 
@@ -287,8 +398,65 @@ SQL = {
     "rate_gate_schedule": "WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) SELECT event_id, (max(t - 500 * i) OVER (PARTITION BY user_id ORDER BY event_id) + 500 * i)::BIGINT AS granted FROM e",
     "dry_run_forecast": f"WITH s AS (SELECT greatest(1, least(date_diff('day', min({ORDER_DAY}), max({ORDER_DAY})) + 1, 31)) AS days FROM orders), i AS (SELECT days, least(200, days * 30) AS items FROM s) SELECT days, items, least(10, items) AS documents, days + items + least(10, items) AS requests, ((days + items + least(10, items)) * 0.5)::DOUBLE AS seconds FROM i",
     "label_code": "SELECT p_partkey, p_name AS label, p_size::VARCHAR AS code FROM part",
-    "outcome_classification": "SELECT page_id, CASE WHEN contains(html, 'session expired') THEN 'sessionExpired' WHEN contains(html, 'unprimed') THEN 'unprimedSession' WHEN contains(html, 'track(1') OR contains(url, 'utm_') THEN 'hostDefect' WHEN length(html) < 1500 THEN 'invalidTokenShell' WHEN contains(html, '<article>') THEN 'validData' ELSE 'unclassified' END AS validity FROM pages",
-    "grid_reconciliation": "SELECT o_orderkey, count(l_orderkey) AS n_rows, count(*) FILTER (l_returnflag = 'N') AS fetched, count(l_orderkey) - count(*) FILTER (l_returnflag = 'N') AS skipped, 4 - count(l_orderkey) AS gap FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey",
+    "outcome_classification": """
+        SELECT o_orderkey::VARCHAR AS key, CASE m WHEN 2 THEN 'unprimedSession' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' WHEN 5 THEN 'invalidTokenShell' WHEN 1 THEN 'unclassified' ELSE 'validData' END AS validity,
+               CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' WHEN 5 THEN 'permanentError' ELSE 'ok' END AS detail,
+               CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' ELSE 'ok' END AS search
+        FROM (SELECT o_orderkey, o_orderkey % 11 AS m FROM orders JOIN customer ON o_custkey = c_custkey)""",
+    "detail_records": f"""
+        WITH {_RECORDS}
+        SELECT k::VARCHAR AS key, CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' WHEN 5 THEN 'permanentError' ELSE CASE WHEN late THEN 'transient' ELSE 'ok' END END AS kind,
+               CASE m WHEN 1 THEN '503' WHEN 2 THEN NULL WHEN 3 THEN 'errorUnexpected.seam with PersistenceException' WHEN 4 THEN 'errorUnexpected.seam with PersistenceException' WHEN 5 THEN 'invalidReference' ELSE CASE WHEN late THEN '429' END END AS reason,
+               CASE WHEN ok THEN lpad(k::VARCHAR, 7, '0') || '-01.2024.4.05.8300' END AS process_number, CASE WHEN ok THEN o_orderpriority END AS class_label, CASE WHEN ok THEN k::VARCHAR END AS class_code,
+               CASE WHEN ok THEN c_mktsegment || '/7;' || o_orderstatus END AS subjects, CASE WHEN ok THEN c_mktsegment END AS body_name, CASE WHEN ok THEN c_name END AS body_address, CASE WHEN ok THEN strftime(o_orderdate, '%d/%m/%Y') END AS filing_date,
+               CASE WHEN ok THEN c_name END AS party, CASE WHEN ok AND k % 2 = 0 THEN c_custkey::VARCHAR END AS cpf, CASE WHEN ok AND k % 2 = 1 THEN c_custkey::VARCHAR END AS cnpj, CASE WHEN ok THEN 'AUTOR' END AS role, CASE WHEN ok THEN 'Ativo' END AS status,
+               CASE WHEN ok THEN CASE WHEN k % 3 = 0 THEN 'Clerk ' || o_orderstatus || '/PE/' || k || '/' || c_nationkey ELSE '' END END AS lawyers,
+               CASE WHEN ok THEN n ELSE NULL END AS n_movements, CASE WHEN ok THEN docs END AS documents FROM r""",
+    "grid_reconciliation": f"WITH {_RECORDS} SELECT k::VARCHAR AS key, (n + k % 2)::INTEGER AS declared, 0 AS fetched, nd::INTEGER AS skipped, (n + k % 2 - nd)::INTEGER AS gap FROM r WHERE ok",
+    "record_movements": f"WITH {_LINES} SELECT l_orderkey::VARCHAR AS key, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber))::INTEGER AS sequence, strftime(l_shipdate, '%Y-%m-%d') || 'T13:00:0' || l_linenumber || '.000Z' AS occurred_at, 'Remessa ' || l_returnflag AS description FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 NOT IN (1, 2, 3, 4, 5)",
+    "document_fetches": f"""
+        WITH {_RECORDS},
+        d AS (SELECT k::VARCHAR AS item_id, k::VARCHAR || l_linenumber AS document_id, l_linenumber % 2 = 0 AS born, l_linenumber AS n, (k::VARCHAR || l_linenumber)::BIGINT % 7 AS m, lpad(k::VARCHAR, 7, '0') || '-01.2024.4.05.8300/' || k || l_linenumber AS f
+              FROM r JOIN li ON l_orderkey = k WHERE ok AND l_linenumber % 5 <> 0),
+        x AS (SELECT *, CASE WHEN m = 1 THEN '503' WHEN born AND m = 2 THEN 'viewer without a submit contract' WHEN born AND m = 4 THEN 'not a file by its content' WHEN born THEN NULL
+                     WHEN m = 2 THEN 'notFound' WHEN m = 3 THEN 'no redirect but status 200' WHEN m = 4 THEN 'redirect without location' WHEN m = 5 THEN 'status 429 after the redirect' END AS why FROM d)
+        SELECT item_id, document_id, CASE WHEN born THEN 'bornDigital' ELSE 'legacy' END AS kind, CASE WHEN why IS NULL THEN 'ok' WHEN why = '503' THEN 'transient' WHEN why = 'notFound' THEN 'permanentError' ELSE 'hostDefect' END AS outcome, why AS reason,
+               CASE WHEN why IS NULL THEN f || CASE WHEN born THEN '-doc-' || n ELSE '-peticao-' || n END || '.pdf' END AS file_name, CASE WHEN why IS NULL THEN 10 END AS bytes, CASE WHEN born AND m NOT IN (1, 2) THEN document_id END AS fetched_bin_id FROM x""",
+    "harvested_seeds": """
+        WITH r AS (SELECT o_orderkey AS k, c_custkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 NOT IN (1, 2, 3, 4, 5)),
+        s AS (SELECT k, 0 AS o, 'lawyerCpf' AS kind, c_nationkey::VARCHAR AS value FROM r WHERE k % 3 = 0 UNION ALL SELECT k, 1, 'partyCpf', c_custkey::VARCHAR FROM r WHERE k % 2 = 0)
+        SELECT k::VARCHAR AS key, (row_number() OVER (PARTITION BY k ORDER BY o) - 1)::INTEGER AS position, kind, value FROM s""",
+    "row_tolerance": f"""
+        WITH {_LINES}, l AS (SELECT l_orderkey AS u, l_linenumber AS n, l_partkey % 23 AS m FROM li), a AS (SELECT DISTINCT u FROM l WHERE m = 0)
+        SELECT u AS unit_key, u || '-' || n AS item_id, CASE WHEN m IN (1, 3) THEN 'unresolved' ELSE 'item' END AS what, CASE WHEN m IN (1, 3) THEN 'hostDefect:x y:d' END AS reason FROM l WHERE u NOT IN (SELECT u FROM a)
+        UNION ALL SELECT u, NULL, 'aborted', 'transient:503' FROM a""",
+    "resume_sweep": """
+        WITH d AS (SELECT unnest(generate_series(min(o_orderdate::DATE), max(o_orderdate::DATE), INTERVAL 1 DAY))::DATE AS day FROM orders), o AS (SELECT o_orderkey::VARCHAR AS i, o_orderdate::DATE AS day, o_orderpriority AS f FROM orders),
+        a AS (SELECT d.day || '..' || d.day AS unit_key, NULL::VARCHAR AS facet_value, 0 AS depth, d.day, i FROM d LEFT JOIN o ON o.day = d.day),
+        b AS (SELECT unit_key, facet_value, depth, day, count(i) AS n, list(i ORDER BY i)[1:5] AS x FROM a GROUP BY ALL),
+        e AS (SELECT b.unit_key || '|' || g.f AS unit_key, g.f AS facet_value, 1 AS depth, count(o.i) AS n, list(o.i ORDER BY o.i) FILTER (o.i IS NOT NULL) AS x FROM b CROSS JOIN (SELECT DISTINCT f FROM o) g LEFT JOIN o ON o.day = b.day AND o.f = g.f WHERE b.n >= 5 GROUP BY ALL),
+        c AS (SELECT unit_key, facet_value, depth, CASE WHEN n >= 5 THEN 'subdivided' ELSE 'complete' END AS state, least(n, 5) AS result_count, CASE WHEN n = 0 THEN [] ELSE x END AS x FROM b
+              UNION ALL SELECT unit_key, facet_value, depth, CASE WHEN n >= 5 THEN 'truncated' ELSE 'complete' END, least(n, 5), coalesce(x[1:5], []) FROM e),
+        w AS (SELECT i, arg_min(unit_key, depth) AS unit_key FROM (SELECT unit_key, depth, unnest(x) AS i FROM c) GROUP BY i), t AS (SELECT unit_key, count(*) AS items FROM w GROUP BY unit_key)
+        SELECT unit_key, facet_value, depth, state, result_count, 'sha1:' || sha1(array_to_string(x, chr(10))) AS item_set_hash, coalesce(items, 0) AS items FROM c LEFT JOIN t USING (unit_key)""",
+    "rate_gate_cooldown": "WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, coalesce(sum(CASE WHEN event_type = 'error' THEN 60000 ELSE 500 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM events) SELECT event_id, (max(t - s) OVER (PARTITION BY user_id ORDER BY event_id) + s)::BIGINT AS granted FROM e",
+    "search_bodies": """
+        SELECT c_custkey, p::INTEGER AS position, n AS name, CASE WHEN n = 'j9%3AnomeParteInput' THEN replace(c_name, '#', '%23') WHEN n = 'j9%3AclasseJudicial' AND c_custkey % 2 = 0 THEN 'A%E7%E3o+%26%238211%3B+%E3' ELSE v END AS value
+        FROM customer, (VALUES (0, 'AJAXREQUEST', '_viewRoot'), (1, 'j9%3AnumProcesso', ''), (2, 'j9%3AnomeParteInput', ''), (3, 'j9%3AnomeAdv', ''), (4, 'j9%3AclasseJudicial', ''), (5, 'j9%3AdocumentoParte', ''), (6, 'j9%3AestadoComboOAB', ''),
+             (7, 'j9%3AdataAutuacaoInicio', '01%2F02%2F2024'), (8, 'j9%3AdataAutuacaoFim', '02%2F02%2F2024'), (9, 'fPP', 'fPP'), (10, 'javax.faces.ViewState', 'j_id1'), (11, 'j9%3Ago', 'j9%3Ago'), (12, 'AJAX%3AEVENTS_COUNT', '1')) x(p, n, v)""",
+    "class_catalogue": "SELECT p_type AS label, CASE WHEN p_size > 25 THEN p_size::VARCHAR END AS code FROM (SELECT DISTINCT p_type, p_size FROM part)",
+    "facet_invariant": """
+        WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS w, o_orderpriority AS p, o_orderstatus AS s, right(o_custkey::VARCHAR, 1) AS c FROM orders),
+        a AS (SELECT w, least(count(*), 30) AS n FROM o GROUP BY w), b AS (SELECT w, p, least(count(*), 20) AS n FROM o GROUP BY w, p), d AS (SELECT w, p, sum(n) AS n FROM (SELECT w, p, least(count(*), 6) AS n FROM o GROUP BY w, p, s UNION ALL SELECT w, p, 1 FROM o GROUP BY w, p, c) GROUP BY w, p)
+        SELECT a.w AS window_key, NULL AS facet_value, a.n AS parent_count, t.n::BIGINT AS child_sum, t.n >= a.n AS holds FROM a JOIN (SELECT w, sum(n) AS n FROM b GROUP BY w) t USING (w) UNION ALL SELECT w, p, b.n, d.n::BIGINT, d.n >= b.n FROM b JOIN d USING (w, p)""",
+    "html_extract": """
+        WITH t AS (SELECT page_id, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS t FROM pages)
+        SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href')) AS n_links FROM t""",
+    "slug_path": "SELECT p_partkey, p_partkey || '/d1-' || left(regexp_replace(lower(p_name), '[^a-z0-9._-]+', '-', 'g'), 60) || '.pdf' AS path FROM part",
+    "latin1_form": """
+        WITH e AS (SELECT doc_id, array_to_string(list_transform(string_split(text, ''), lambda c: CASE WHEN c = ' ' THEN '+' WHEN regexp_full_match(c, '[A-Za-z0-9*._-]') THEN c WHEN unicode(c) <= 255 THEN printf('%%%02X', unicode(c)) ELSE '%26%23' || unicode(c) || '%3B' END), '') AS t FROM documents)
+        SELECT doc_id, length(t)::BIGINT AS encoded_chars, sha256(t) AS sha256 FROM e""",
+    "name_probe_hits": "WITH p AS (SELECT lower(p_name) AS n, count(*) AS c FROM part GROUP BY 1) SELECT a.n AS probe, sum(b.c)::BIGINT AS hits FROM p a JOIN p b ON contains(b.n, a.n) GROUP BY 1",
     "asof_attach": "SELECT conv_id, turn, user_turn FROM (SELECT conv_id, turn, role, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS user_turn FROM conversations) WHERE role = 'assistant'",
     "log_redaction": "SELECT event_id, '[REDACTED]' AS cpf, event_type AS kind FROM events",
 }
