@@ -5,7 +5,7 @@ share of every length, then single documents in a seeded order of lengths, while
 DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that, and long ones in
 exchange for short ones where only long ones are left. A bounded-knapsack dynamic programme over the counts that
 remain fits all that is left then; where documents are so few and long that more than that stays unfilled, the
-programme runs over all of them in coarser units first. Which documents of a length are taken follows a seeded hash of their ids. Defined results: null texts have size 0 and take no part in a budget (taken
+programme runs over all of them in coarser units first. Which documents of a length are taken follows a seeded hash of their ids. Texts stay where they are read. Defined results: null texts have size 0 and take no part in a budget (taken
 0); a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
 may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored by
 mix() and kept by take(), whatever their names. Texts of any length are counted whole.
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 DP_BUDGET = 1 << 16
 #: Slots of the seeded hash: a length's documents are ranked only in the slot where its count runs out.
 SLOTS = 4096
+#: Rows of a table of lengths or ids, without texts, that is broadcast; beyond it, the join shuffles.
+PLAN_ROWS = 1_000_000
 SEED = 1729
 
 
@@ -152,78 +156,107 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
     return out
 
 
+def _slot(seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(SLOTS)).cast("int")
+
+
+same = lambda *names: reduce(and_, [F.col(x).eqNullSafe(F.col("_" + x)) for x in names])
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """df, for a join that broadcasts it while its counted rows allow that; it holds numbers and names of sources only."""
+    return F.broadcast(df) if df.count() <= PLAN_ROWS else df
+
+
+class Plan:
+    """What a mix takes: for each source and length, `whole` copies of all documents and one more of those in the slots
+    before `cut`; in that slot, `more` of the n documents of an id have one more."""
+
+    def __init__(self, sized: DataFrame, weights, share: float, most: float, seed: int):
+        """sized(doc_id, source, size): a table, which is read several times."""
+        self.seed = seed
+        lengths = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
+        sources = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
+
+        def targets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            # one row for each source, whatever the number of documents
+            rows = sorted(((r.source, int(r.source_size)) for f in frames for r in f.itertuples()), key=lambda r: (r[0] is None, r[0] or ""))
+            if rows:
+                sizes = [n for _, n in rows]
+                got = reshared(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes), most)
+                yield pd.DataFrame({"source": [s for s, _ in rows], "source_size": sizes, "target": got})
+
+        self.budget = materialise(sources.coalesce(1).mapInPandas(targets, "source string, source_size long, target double"), "targets")
+
+        def fitted(frame: pd.DataFrame) -> pd.DataFrame:
+            # one row for each distinct length of a source, not for each document
+            frame = frame.sort_values("size")
+            target, total = float(frame["target"].iloc[0]), int(frame["source_size"].iloc[0])
+            whole = 0 if total == 0 else min(math.floor(round(target) / total), math.floor(most))
+            extra = fit(frame["size"].to_numpy(), frame["n"].to_numpy(), round(target) - whole * total if whole < most else 0, seed)
+            real = frame["size"].to_numpy() > 0
+            return pd.DataFrame({"source": frame["source"], "size": frame["size"], "whole": np.where(real, whole, 0), "extra": np.where(real, extra, 0)})
+
+        given = lengths.join(F.broadcast(_named(self.budget)), same("source")).drop("_source").withColumnsRenamed({"_source_size": "source_size", "_target": "target"})
+        per_length = given.groupBy("source").applyInPandas(fitted, "source string, size long, whole long, extra long")
+        # the slot in which a length's extra copies run out: sums over at most SLOTS rows of a length
+        slots = sized.withColumn("slot", _slot(seed)).groupBy("source", "size", "slot").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy("source", "size").orderBy("slot")) - F.col("n")
+        slots = slots.withColumn("before", before).join(_named(per_length), same("source", "size")).select("source", "size", "slot", F.col("_whole").alias("whole"), "n", (F.col("_extra") - F.col("before")).alias("left"))
+        cut = F.min(F.when(F.col("left") < F.col("n"), F.struct("slot", F.greatest("left", F.lit(0)).alias("left"))))
+        self.lengths = materialise(slots.groupBy("source", "size").agg(F.max("whole").alias("whole"), cut.alias("c")).select("source", "size", "whole", F.coalesce("c.slot", F.lit(SLOTS)).alias("cut"), F.coalesce("c.left", F.lit(0)).alias("left")), "plan")
+        edge = self._placed(sized).where("slot = cut").groupBy("source", "size", "doc_id").agg(F.count("*").alias("n"), F.max("left").alias("left"))
+        upto = F.sum("n").over(Window.partitionBy("source", "size").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id"))
+        self.ids = materialise(edge.withColumn("more", F.least(F.greatest(F.col("left") - upto + F.col("n"), F.lit(0)), F.col("n"))).select("source", "size", "doc_id", "n", "more"), "edge")
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("slot", _slot(self.seed)).join(_bounded(_named(self.lengths)), same("source", "size")).drop("_source", "_size").withColumnsRenamed({"_whole": "whole", "_cut": "cut", "_left": "left"})
+
+    def copies(self, rows: DataFrame) -> DataFrame:
+        """rows(doc_id, source, size, r) with copies. Rows don't move, but for those of the slots that are cut."""
+        columns = [*rows.columns]
+        placed = self._placed(rows)
+        out = placed.where("slot <> cut").select(*columns, (F.col("whole") + (F.col("slot") < F.col("cut")).cast("long")).alias("copies"))
+        edge = placed.where("slot = cut").withColumn("p", F.spark_partition_id()).join(_bounded(_named(self.ids)), same("source", "size", "doc_id")).drop("_source", "_size", "_doc_id")
+        clear = edge.where("_more = 0 or _more = _n").select(*columns, (F.col("whole") + (F.col("_more") > 0).cast("long")).alias("copies"))
+        out = out.unionByName(clear)
+        if self.ids.where("more > 0 and more < n").isEmpty():
+            return out
+        # of an id's rows, the first as the table is read: ranks within a partition, after those of partitions before
+        part = edge.where("_more > 0 and _more < _n")
+        keys = ["source", "size", "doc_id"]
+        counts = part.groupBy(*keys, "p").agg(F.count("*").alias("m"))
+        counts = counts.select(*keys, "p", (F.sum("m").over(Window.partitionBy(*keys).orderBy("p")) - F.col("m")).alias("before"))
+        rank = F.row_number().over(Window.partitionBy(*keys, "p").orderBy(F.lit(0))) + F.col("_before")
+        part = part.join(_bounded(_named(counts)), same(*keys, "p")).withColumn("copies", F.col("whole") + (rank <= F.col("_more")).cast("long"))
+        return out.unionByName(part.select(*columns, "copies"))
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """df with "_" before its names, for the right side of a join."""
+    return df.select(*[F.col(c).alias("_" + c) for c in df.columns])
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, source) for every row of docs(doc_id, source, text).
 
     Sources in the order of their code points, null last, weigh `weights` in turn and share `share` times all sizes.
     taken = copies * size; copies are 0, 1 or 2 (at most `most`).
     """
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    sized = materialise(sized.withColumn("slot", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(SLOTS)).cast("int")), "sized")
-    lengths = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
-    sources = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
-
-    def targets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # one row for each source, whatever the number of documents
-        rows = sorted(((r.source, int(r.source_size)) for f in frames for r in f.itertuples()), key=lambda r: (r[0] is None, r[0] or ""))
-        if rows:
-            sizes = [n for _, n in rows]
-            got = reshared(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes), most)
-            yield pd.DataFrame({"source": [s for s, _ in rows], "source_size": sizes, "target": got})
-
-    budget = materialise(sources.coalesce(1).mapInPandas(targets, "source string, source_size long, target double"), "targets")
-
-    def fitted(frame: pd.DataFrame) -> pd.DataFrame:
-        # one row for each distinct length of a source, not for each document
-        frame = frame.sort_values("size")
-        target, total = float(frame["target"].iloc[0]), int(frame["source_size"].iloc[0])
-        whole = 0 if total == 0 else min(math.floor(round(target) / total), math.floor(most))
-        extra = fit(frame["size"].to_numpy(), frame["n"].to_numpy(), round(target) - whole * total if whole < most else 0, seed)
-        real = frame["size"].to_numpy() > 0
-        return pd.DataFrame({"source": frame["source"], "size": frame["size"], "whole": np.where(real, whole, 0), "extra": np.where(real, extra, 0)})
-
-    same = lambda a, b: a.eqNullSafe(b)
-    given = lengths.join(budget.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s"))).drop("s")
-    plan = given.groupBy("source").applyInPandas(fitted, "source string, size long, whole long, extra long")
-    slots = sized.groupBy("source", "size", "slot").agg(F.count("*").alias("n"))
-    plan = slots.join(plan.select(F.col("source").alias("s"), F.col("size").alias("z"), "whole", "extra"), same(F.col("source"), F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
-    before = F.sum("n").over(Window.partitionBy("source", "size").orderBy("slot")) - F.col("n")
-    plan = plan.withColumn("quota", F.least(F.greatest(F.col("extra") - before, F.lit(0)), F.col("n")))
-    plan = materialise(plan.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("slot").alias("k"), "whole", "quota", "n"), "plan")
-    at = sized.join(plan, same(F.col("source"), F.col("s")) & (F.col("size") == F.col("z")) & (F.col("slot") == F.col("k"))).drop("s", "z", "k")
-    part = (F.col("quota") > 0) & (F.col("quota") < F.col("n"))
-    clear = at.where(~part).withColumn("copies", F.col("whole") + (F.col("quota") > 0).cast("long"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id"))
-    split = at.where(part).withColumn("copies", F.col("whole") + (rank <= F.col("quota")).cast("long"))
-    out = clear.unionByName(split)
-    return out.join(F.broadcast(budget.withColumnRenamed("source", "s")) if budget.count() <= 100_000 else budget.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
+    sized = materialise(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sized")
+    plan = Plan(sized, weights, share, most, seed)
+    return plan.copies(sized).join(_bounded(_named(plan.budget)), same("source")).select(
+        "doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
     )
 
 
-def take(docs: DataFrame, **options) -> DataFrame:
+def take(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of docs, each as often as it is taken (documents without words, which cost nothing, are left out).
 
-    Rows alike in id, source and size share the copies that mix() gives them evenly; where that leaves a rest, the
-    first of them, as the table is read, have one more. Columns of docs may have any names.
+    Of rows alike in id, source and size, as many are taken as by mix(). Columns of docs may have any names.
     """
-    keys = [F.col("doc_id").alias("i"), F.col("size").alias("z"), F.col("source").alias("s")]
-    got = mix(docs.select("doc_id", "source", "text"), **options).groupBy(*keys).agg(F.sum("copies").alias("c"), F.count("*").alias("n")).where("c > 0")
-    got = materialise(got.select("i", "z", "s", F.expr("c div n").alias("each"), (F.col("c") % F.col("n")).alias("rest")), "taken")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
-    rows = docs.select(row, n_words(F.col("text")).alias("size"))
-    fits = F.col("r.doc_id").eqNullSafe(F.col("i")) & (F.col("size") == F.col("z")) & F.col("r.source").eqNullSafe(F.col("s"))
-    whole = [F.col("r")[c].alias(c) for c in docs.columns]
-    taken = rows.join(got, fits).withColumn("copies", F.col("each"))
-    uneven = got.where("rest > 0")
-    if not uneven.isEmpty():
-        # ranks among rows alike: within a partition of the table, after the rows of partitions before it
-        own = rows.withColumn("p", F.spark_partition_id()).join(uneven, fits)
-        same = ["i", "z", "s"]
-        before = own.groupBy(*same, "p").agg(F.count("*").alias("m"))
-        before = before.select(*same, "p", (F.sum("m").over(Window.partitionBy(*same).orderBy("p")) - F.col("m")).alias("b"))
-        own = own.join(before.select(*[F.col(c).alias("_" + c) for c in [*same, "p"]], "b"), F.col("i").eqNullSafe(F.col("_i")) & (F.col("z") == F.col("_z")) & F.col("s").eqNullSafe(F.col("_s")) & (F.col("p") == F.col("_p")))
-        rank = F.row_number().over(Window.partitionBy(*same, "p").orderBy(F.xxhash64("r.text"), "r.text")) + F.col("b")
-        own = own.withColumn("copies", F.col("each") + (rank <= F.col("rest")).cast("long"))
-        taken = rows.join(got.where("rest = 0"), fits).withColumn("copies", F.col("each")).select("r", "copies").unionByName(own.select("r", "copies"))
-    return taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*whole)
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), row)
+    sized = materialise(rows.drop("r"), "sized")
+    taken = Plan(sized, weights, share, most, seed).copies(rows).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col("r")[c].alias(c) for c in docs.columns])
