@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import pickle
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 #: Used only where the session names no shared folder (tests, a single machine).
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/capsweep"
 #: Bounds of one Arrow batch, and of the texts that an operator works on at once.
-BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 10_000, 8 << 20, 2 << 20
+BATCH_ROWS, BATCH_BYTES, SLICE_BYTES = 10_000, 4 << 20, 1 << 20
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -24,8 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or LOCAL_CHECKPOINTS
+    """The folder that the driver and all executors share; one of this machine only where no other takes part."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not named and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or LOCAL_CHECKPOINTS
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -50,6 +56,32 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int | None
             begin, before = end, int(ends[end - 1])
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """What a worker remembers for an operator goes when it begins to work for another. clear: empties the owner's."""
+    if owner not in _caches:
+        for other in list(_caches):
+            _caches.pop(other)()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _caches[owner] = clear
+
+
+def in_one_task(sample: DataFrame, order: list[str], train: Callable[[Iterator[dict]], object]) -> object:
+    """What train makes of a sample's rows, in order: a model, pickled. sample is bounded by its caller; it goes to one
+    executor, and the driver sees the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = train(r for batch in batches for r in batch.to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], ["model"])
+
+    bounded_batches(sample.sparkSession)
+    made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").first()
+    return pickle.loads(made[0]) if made else train(iter(()))  # no row at all has no task
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

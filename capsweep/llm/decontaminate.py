@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_slices
+from .common import bounded_batches, claim, text_slices
 
 WINDOW = 10
 #: Words of items in one automaton; more items make more automata, each a further pass over a batch's words.
@@ -237,6 +237,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
     shards = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("decontaminate", _built.clear)
         for batch in _grouped(batches, 1, shards):
             got = _scan_all([x or "" for x in batch.column(1).to_pylist()], shards)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n, _, _ in got], pa.int64()), pa.array([sum(b - a for a, b in s) for _, _, s, _ in got], pa.int64()), pa.array([sorted(map(str, k)) for *_, k in got], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
@@ -283,6 +284,7 @@ def remove_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_h
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("decontaminate", _built.clear)
         for batch in _grouped(batches, at, shards):
             texts = batch.column(at).to_pylist()
             left = _cut([x or "" for x in texts], shards, most_hit)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, text_slices
+from .common import bounded_batches, claim, fold, in_one_task, text_slices
 
 #: Documents learnt from, at most; each counts whole. Scoring has no such bound.
 TRAIN_DOCS = 3000
@@ -225,6 +225,9 @@ class LanguageModel:
                 out[again, j] = part.forward_logs(log)[np.arange(len(again)), part.length]
         return out
 
+    def forget(self) -> None:
+        self._pieces = None
+
     def score(self, texts: list[str]) -> list[tuple[str, float]]:
         pieces = self.pieces
         assert pieces
@@ -271,15 +274,21 @@ def learn(docs: DataFrame, path: str | None = None, most: int = TRAIN_DOCS, most
     may = docs.where((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = [r[0] for r in may.select("doc_id", F.xxhash64("doc_id", F.lit(5)).alias("h")).distinct().orderBy("h", "doc_id").limit(most).collect()]
     chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
-    rows = may.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text", F.xxhash64("doc_id", F.lit(5)).alias("h"), F.xxhash64("lang", "text").alias("x")).dropDuplicates(["lang", "x"]).orderBy("h", "x")
-    counts: dict[str, Counter] = {}
-    held = 0
-    for k, r in enumerate(rows.toLocalIterator()):
-        held += len(r["text"])
-        if k and (k >= most or held > most_chars):
-            break
-        counts.setdefault(r["lang"], Counter()).update(words_of(r["text"]))
-    return LanguageModel.fit(path or vocabulary_path(), counts)
+    rows = may.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text", F.xxhash64("doc_id", F.lit(5)).alias("h"), F.xxhash64("lang", "text").alias("x")).dropDuplicates(["lang", "x"])
+
+    def train(found: Iterator[dict]) -> LanguageModel:
+        counts: dict[str, Counter] = {}
+        held = 0
+        for k, r in enumerate(found):
+            held += len(r["text"])
+            if k and (k >= most or held > most_chars):
+                break
+            counts.setdefault(r["lang"], Counter()).update(words_of(r["text"]))
+        return LanguageModel.fit(path or vocabulary_path(), counts)
+
+    model = in_one_task(rows, ["h", "x"], train)
+    model.path = path or vocabulary_path()
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -289,6 +298,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        claim("langid", own.forget)
         for batch in text_slices(batches, 1):
             got = own.score([x or "" for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, materialise, release, sorted_groups, text_slices
+from .common import bounded_batches, claim, materialise, release, sorted_groups, text_slices
 from .graph import connected_components
-from .words import mix, shingle_set, split_words
+from .words import forget, mix, shingle_set, split_words
 
 TILE = 1000
 CENTRES = 8
@@ -171,6 +171,7 @@ def search(sets: list[np.ndarray], t: Fraction, probes: list[int] | None = None,
 def _profile(words: int, t: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        claim("ngram_join", forget)
         for batch in text_slices(batches, 1):
             keys, sizes, nodes, sets = [], [], [], []
             known: dict[bytes, int] = {}
@@ -221,6 +222,7 @@ def _runs_to_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _shingles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join", forget)
         for batch in text_slices(batches, 0):
             keys, sets = [], []
             for text in batch.column(0).to_pylist():

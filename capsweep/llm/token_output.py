@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simple8b
-from .common import SLICE_BYTES, bounded_batches, shared_dir, text_slices
+from .common import SLICE_BYTES, bounded_batches, claim, shared_dir, text_slices
 
 FILE_SCHEMA = "shard int, block int, n_ids long, doc_ids array<long>, ends array<long>, words binary, escapes binary"
 ODD_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: Texts with any of these, or white space at an end, are encoded in one piece: a boundary may not hold there.
 ODD = f"\\A[ \n]|[ \n]\\z|  |\n\n| \n|\n |[{ODD_SPACES}]"
 #: Words that a worker remembers; when there are more, those that fewest batches had are forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Words that go to the library in one call; longer texts cost it more for each word.
 AT_ONCE = 50
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -209,6 +209,7 @@ def write_tokens(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0
     path = vocabulary
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("token_output", _encoders.clear)
         own, shard, block = encoder(path or vocabulary_path()), TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         docs_: list[int | None] = []
@@ -219,7 +220,7 @@ def write_tokens(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0
             words, escapes = simple8b.encode(np.concatenate(held))
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([size], pa.int64()), pa.array([docs_], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([words], pa.binary()), pa.array([escapes], pa.binary())], ["shard", "block", "n_ids", "doc_ids", "ends", "words", "escapes"])
 
-        for batch in text_slices(batches, 1, 2 * SLICE_BYTES):
+        for batch in text_slices(batches, 1, 4 * SLICE_BYTES):
             ids, n = own.encode_flat(batch.column(1))
             close = np.cumsum(n + 1)
             ids = np.insert(ids, np.cumsum(n), np.uint32(end_id))

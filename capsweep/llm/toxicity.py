@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, text_slices
+from .common import bounded_batches, claim, fold, in_one_task, text_slices
 
 TRAIN_DOCS = 3000
 TRAIN_CHARS = 40_000_000
@@ -38,7 +38,7 @@ ROUNDS, RATE, DECAY = 30, 0.3, 1e-4
 LEAST_DOCS = 3
 #: Words that a text counts as having besides its own when its toxic words are set against them.
 EXTRA_WORDS = 30
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _WORDS = re.compile(r"\w+")
 
 
@@ -235,19 +235,20 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, most_chars
     rows = said.orderBy(h, "doc_id").limit(most).collect()
     chosen = spark.createDataFrame([(r["doc_id"], int(r["toxic"])) for r in rows], "doc_id long, toxic int")
     matched = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", h, F.xxhash64("text").alias("x"))
-    # rows that repeat an id and text teach once; whole texts come one partition at a time
-    found, held = [], 0
-    for r in matched.dropDuplicates(["doc_id", "x"]).orderBy("h", "doc_id", "x").toLocalIterator():
-        held += len(r["text"] or "")
-        if found and (len(found) >= most or held > most_chars):
-            break
-        found.append(r)
-    found.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    same: dict[str, str] = {}  # a word's copies share one string
-    toxic = [bool(r["toxic"]) for r in found]
-    words = [[same.setdefault(w, w) for w in _WORDS.findall(r["text"] or "")] for r in found]
-    del found, same
-    return fit(words, toxic)
+    # rows that repeat an id and text teach once
+    sample = matched.dropDuplicates(["doc_id", "x"])
+
+    def train(rows: Iterator[dict]) -> Chain:
+        found, held, same = [], 0, {}  # same: a word's copies share one string
+        for r in rows:
+            held += len(r["text"] or "")
+            if found and (len(found) >= most or held > most_chars):
+                break
+            found.append((r["doc_id"], [same.setdefault(w, w) for w in _WORDS.findall(r["text"] or "")], bool(r["toxic"])))
+        found.sort(key=lambda f: f[0])
+        return fit([f[1] for f in found], [f[2] for f in found])
+
+    return in_one_task(sample, ["h", "doc_id", "x"], train)
 
 
 def score(docs: DataFrame, chain: Chain, spans: bool = False) -> DataFrame:
@@ -259,6 +260,7 @@ def score(docs: DataFrame, chain: Chain, spans: bool = False) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity", shared.value.known.clear)
         for batch in text_slices(batches, 1):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             got = judge(shared.value, texts)
@@ -297,6 +299,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity", shared.value.known.clear)
         for batch in text_slices(batches, at):
             yield batch.filter(pa.array([s < THRESHOLD for s, _ in judge(shared.value, [x or "" for x in batch.column(at).to_pylist()])], pa.bool_()))
 

@@ -11,6 +11,10 @@ _seen: dict[bytes, int] = {}
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
+def forget() -> None:
+    _seen.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values whose every bit depends on all (the finaliser known as SplitMix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
