@@ -4,8 +4,8 @@ A source's documents are counted by exact length. The lengths' counts give the c
 share of every length, then single documents in a seeded order of lengths, while what is left of the budget is over
 DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that, and long ones in
 exchange for short ones where only long ones are left. A bounded-knapsack dynamic programme over the counts that
-remain fits all that is left then; where documents are so few and long that more than that stays unfilled, the
-programme runs over all of them in coarser units first. Which documents of a length are taken follows a seeded hash of their ids. Texts stay where they are read. Defined results: null texts have size 0 and take no part in a budget (taken
+remain fits all that is left then; where documents are so few and long that more than a thousandth of the budget stays
+unfilled, the programme runs over all of them, in coarser units if it must. Which documents of a length are taken follows a seeded hash of their ids. Texts stay where they are read. Defined results: null texts have size 0 and take no part in a budget (taken
 0); a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
 may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored by
 mix() and kept by take(), whatever their names. Texts of any length are counted whole.
@@ -74,21 +74,26 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED)
         if lengths[i] <= left and take[i] < counts[i]:
             take[i] += 1
             left -= int(lengths[i])
-    while True:
-        _fill(lengths, counts, take, budget, 2 * DP_BUDGET)
-        if budget - int(lengths @ take) <= 2 * DP_BUDGET or not _exchange(lengths, counts, take, budget):
-            break
-    if budget - int(lengths @ take) > 2 * DP_BUDGET:  # few documents, and long ones: the programme in coarser units
+    _settle(lengths, counts, take, budget, order)
+    # near enough is a thousandth of the budget; each exchange leaves less
+    while budget - int(lengths @ take) > budget // 1000 and _exchange(lengths, counts, take, budget):
+        _settle(lengths, counts, take, budget, order)
+    if budget - int(lengths @ take) > budget // 1000:  # few documents, and long ones: the programme over all of them, in coarser units if it must
         unit = -(-budget // (2 * DP_BUDGET))
         rough = np.zeros_like(counts)
         rough[order] = _knapsack(-(-lengths[order] // unit), counts[order], budget // unit)
-        _fill(lengths, counts, rough, budget, 2 * DP_BUDGET)
+        _settle(lengths, counts, rough, budget, order)
         if lengths @ rough > lengths @ take:
             take = rough
+    return take
+
+
+def _settle(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int, order: np.ndarray) -> None:
+    """Fill what is left of the budget with documents that remain, the last of it by the dynamic programme."""
+    _fill(lengths, counts, take, budget, 2 * DP_BUDGET)
     left = budget - int(lengths @ take)
     if left <= 2 * DP_BUDGET:
         take[order] += _knapsack(lengths[order], (counts - take)[order], left)
-    return take
 
 
 def _fill(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int, enough: int) -> None:
@@ -104,7 +109,7 @@ def _fill(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int
 
 
 def _exchange(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> bool:
-    """Give back short documents, all of which are taken, for one that doesn't fit; whether that left less of the budget."""
+    """Give back short documents for one that doesn't fit beside them; whether that left less of the budget."""
     left = budget - int(lengths @ take)
     short = [i for i in np.argsort(-lengths, kind="stable").tolist() if 0 < lengths[i] <= left and take[i] > 0]
     for j in np.argsort(lengths, kind="stable").tolist():
