@@ -18,7 +18,7 @@ def name_probe_hits(names: DataFrame, name: str) -> DataFrame:
     """(probe, hits): each distinct whole name as a probe, and the rows whose name contains it; names match once, with their counts."""
     counted = names.select(F.lower(name).alias("_name")).where("_name is not null").groupBy("_name").agg(F.count("*").alias("_n"))
     probes = counted.select(F.col("_name").alias("probe"))
-    return counted.join(F.broadcast(probes), F.contains("_name", "probe")).groupBy("probe").agg(F.sum("_n").alias("hits"))
+    return counted.join(probes, F.contains("_name", "probe")).groupBy("probe").agg(F.sum("_n").alias("hits"))
 
 
 #: Name parts that are common, in the order they are asked when nothing better is known.
@@ -47,10 +47,16 @@ def probe_queue(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
     return mine.unionByName(rest).orderBy("source_rank", F.desc("n"), "first_seen", "position")
 
 
+#: Rows of a queue of probes that every cell is offered.
+QUEUE_ROWS = 100_000
+
+
 def probes_per_cell(cells: DataFrame, queue: DataFrame, used: DataFrame, most: int) -> DataFrame:
-    """The first `most` probes of each cell that it hasn't used. queue: a ranked head, its size checked by the caller."""
+    """The first `most` probes of each cell that it hasn't used. queue: a ranked head."""
     if most <= 0:
         return cells.select("unit_key").withColumn("probe", F.lit(None).cast("string")).where("false")
+    if queue.count() > QUEUE_ROWS:
+        raise ValueError("rank the queue and take its head first: each cell is offered all of it")
     offered = cells.select("unit_key").join(F.broadcast(queue), F.lit(True)).join(used, ["unit_key", "probe"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("unit_key").orderBy("source_rank", F.desc("n"), "first_seen", "position"))
     return offered.withColumn("r", rank).where(F.col("r") <= most).drop("r")

@@ -13,6 +13,8 @@ from ..sources.capped import CappedSource
 from ..shared import cut
 from .sweep import bisected
 
+#: Windows of seeds that are asked at once where no budget counts requests; those beyond the stop are asked in vain.
+BATCH = 32
 LEDGER = "item_id string, document_id string, reason string"
 
 
@@ -43,7 +45,7 @@ def numbered(seeds: DataFrame, kinds: list[str]) -> DataFrame:
 
 
 def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_seed: Callable[[DataFrame], DataFrame], max_requests: int | None = 500, window: int = 5, max_depth: int = 20) -> Crawl:
-    """Search for seeds(kind, value, cell_state, ordinal) in rank order, `window` of them at a time.
+    """Search for seeds(kind, value, cell_state, ordinal) in rank order: `window` of them at a time under a budget, else BATCH windows.
 
     unit_from_seed makes cells (the sweep's columns, and seed_no) of numbered seeds; full cells are halved by days.
     The crawl ends after `window` seeds in a row without a new item; seeds of the last batch beyond that point don't
@@ -55,9 +57,9 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
     total, asked, processed, dry, new_items = queue.count(), 0, 0, 0, 0
     items = spark.createDataFrame([], "item_id string, seed_no long")
     ledger = spark.createDataFrame([], LEDGER)
-    low = 0
+    low, batch = 0, window if max_requests is not None else BATCH * window
     while low < total and (max_requests is None or asked < max_requests) and dry < window:
-        level = unit_from_seed(queue.where(F.col("seed_no").between(low + 1, low + window)))
+        level = unit_from_seed(queue.where(F.col("seed_no").between(low + 1, low + batch)))
         level = level.withColumn("unit_key", F.concat_ws("#", "seed_no", "unit_key"))
         started, found, failed = 0, [], []
         while True:
@@ -85,7 +87,7 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
         for f in found[1:]:
             got = got.unionByName(f)
         fresh = cut(got.groupBy("item_id").agg(F.min("seed_no").alias("seed_no")).join(items, "item_id", "left_anti"))
-        counts = {r["seed_no"]: r["n"] for r in fresh.groupBy("seed_no").agg(F.count("*").alias("n")).collect()}  # at most `window` rows
+        counts = {r["seed_no"]: r["n"] for r in fresh.groupBy("seed_no").agg(F.count("*").alias("n")).collect()}  # at most a batch of rows
         last = low
         for last in range(low + 1, low + started + 1):
             processed += 1
@@ -96,7 +98,6 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
         items = items.unionByName(fresh.where(F.col("seed_no") <= last).select("item_id", "seed_no"))
         for f in failed:
             ledger = ledger.unionByName(f.where(F.substring_index("item_id", "#", 1).cast("long") <= last))
-        low += window
-        if low % (16 * window) == 0:  # a long crawl's plan stays short
-            items, ledger = cut(items), cut(ledger)
+        low += batch
+        items, ledger = cut(items), cut(ledger)  # a long crawl's plan stays short
     return Crawl(items, ledger, processed, new_items, asked)

@@ -125,13 +125,14 @@ def probe_queue(spark, sf_dir):
 
 
 def substring_probe_hits(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    probes = p.where("p_partkey <= 20").select(F.lower(F.substring("p_name", 1, 4)).alias("probe")).distinct()
-    return p.join(F.broadcast(probes), F.contains(F.lower("p_name"), F.col("probe"))).groupBy("probe").agg(F.count("*").alias("hits"))
+    """Every word of every part's name as a probe, and the parts whose name contains it; a name meets a probe once."""
+    names = table(spark, sf_dir, "part").groupBy(F.lower("p_name").alias("name")).agg(F.count("*").alias("n"))
+    probes = names.select(F.explode(S.tokens(F.col("name"))).alias("probe")).distinct()
+    return names.join(probes, F.contains("name", "probe")).groupBy("probe").agg(F.sum("n").alias("hits"))
 
 
 def name_probe_hits(spark, sf_dir):
-    """Every whole part name as a probe; substring_probe_hits asks only what its SQL asks."""
+    """Every whole part name as a probe."""
     return queues.name_probe_hits(table(spark, sf_dir, "part"), "p_name")
 
 
@@ -385,7 +386,7 @@ SQL = {
     "retry_outcomes": "SELECT DISTINCT user_id AS item_id, event_id % 7 AS document_id, event_id % 7 % 2 = 0 AS resolved FROM events e WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events f WHERE f.event_type = 'purchase' AND f.user_id = e.user_id AND f.event_id % 7 = e.event_id % 7)",
     "bigram_frequency": "WITH t AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part) SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n, min(p_partkey) AS first_seen FROM (SELECT p_partkey, w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1",
     "probe_queue": "WITH t AS (SELECT string_split(p_name, ' ') AS w FROM part), f AS (SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1) SELECT probe, 0 AS source_rank, n FROM f UNION ALL SELECT probe, 1, 0 FROM (VALUES ('DA SILVA'), ('DOS SANTOS')) d(probe) WHERE probe NOT IN (SELECT probe FROM f)",
-    "substring_probe_hits": "WITH p AS (SELECT DISTINCT lower(substr(p_name, 1, 4)) AS probe FROM part WHERE p_partkey <= 20) SELECT probe, count(*) AS hits FROM p JOIN part ON contains(lower(p_name), probe) GROUP BY probe",
+    "substring_probe_hits": "WITH p AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS probe FROM part) SELECT probe, count(*) AS hits FROM p JOIN part ON contains(lower(p_name), probe) GROUP BY probe",
     "capped_pages": "SELECT unit_key, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT strftime(ts, '%Y-%m-%d') || '|' || event_type AS unit_key, event_id FROM events QUALIFY row_number() OVER (PARTITION BY unit_key ORDER BY event_id) <= 30) GROUP BY unit_key",
     "seed_ranking": "SELECT event_id AS ordinal, CASE WHEN value > 50 THEN 0 ELSE 1 END AS state_rank, CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 2147483647 END AS kind_rank FROM events",
     "yield_decay_stop": "WITH s AS (SELECT user_id, row_number() OVER w AS n, sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS 4 PRECEDING) AS h FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT user_id, min(n) AS stop_at FROM s WHERE h = 0 AND n >= 5 GROUP BY user_id",
