@@ -202,6 +202,12 @@ def outcome_classification(spark, sf_dir):
     return p.select("key", R.view_validity(v).alias("validity"), R.detail_outcome(F.col("status"), F.col("headers"), v)["kind"].alias("detail"), R.search_outcome(F.col("status"), F.col("headers"), v)["kind"].alias("search"))
 
 
+def search_results(spark, sf_dir):
+    """Rows of result tables, with the names of the sides."""
+    got = html.extract_results(captured.search_pages(spark, sf_dir))
+    return got.select("path", "process_number", "token", "parties", F.array_join(S.party_names(F.col("parties")), "|").alias("names"))
+
+
 def detail_records(spark, sf_dir):
     r = read_records(spark, sf_dir)
     x, who = F.col("record"), F.try_element_at(F.col("record.parties.active"), F.lit(1))
@@ -339,7 +345,7 @@ QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
-    frontier_crawl, retry_outcomes, facet_invariant, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, rate_gate_cooldown, search_bodies, class_catalogue,
+    frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, rate_gate_cooldown, search_bodies, class_catalogue,
 )} | {"sweep_cells": sweep_cells}
 
 #: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
@@ -404,6 +410,9 @@ SQL = {
                CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' WHEN 5 THEN 'permanentError' ELSE 'ok' END AS detail,
                CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' ELSE 'ok' END AS search
         FROM (SELECT o_orderkey, o_orderkey % 11 AS m FROM orders JOIN customer ON o_custkey = c_custkey)""",
+    "search_results": """
+        SELECT '/s?c=' || o_custkey AS path, lpad(o_orderkey::VARCHAR, 7, '0') || '-01.2024.4.05.8300' AS process_number, 'a' || o_orderkey || 'b' AS token,
+               o_orderpriority || ' X Cliente ' || o_custkey || ' e outros (2)' AS parties, o_orderpriority || '|Cliente ' || o_custkey AS names FROM orders WHERE o_orderkey % 7 <> 0""",
     "detail_records": f"""
         WITH {_RECORDS}
         SELECT k::VARCHAR AS key, CASE m WHEN 1 THEN 'transient' WHEN 2 THEN 'sessionExpired' WHEN 3 THEN 'hostDefect' WHEN 4 THEN 'hostDefect' WHEN 5 THEN 'permanentError' ELSE CASE WHEN late THEN 'transient' ELSE 'ok' END END AS kind,

@@ -118,7 +118,7 @@ def test_jsonl_torn_line(spark, tmp_path):
 
 
 def test_html():
-    page = "<table><tr class='rich-table-row'><td><a onclick=\"go('?ca=ab12')\">0000001-02.2024.4.05.8300</a></td><td><a>Classe</a><br>A X B</td></tr><tr class='rich-table-row'><td>none</td></tr></table>"
+    page = "<table><tr class='rich-table-row'><td><a onclick=\"go('?ca=ab12')\">0000001-02.2024.4.05.8300</a></td><td>no cell</td><td class='rich-table-cell'>x</td><td class='rich-table-cell'>before <a>Classe</a><br>A X B </td></tr><tr class='rich-table-row'><td>none</td></tr></table>"
     assert html.result_rows(page) == [{"process_number": "0000001-02.2024.4.05.8300", "token": "ab12", "parties": "A X B"}]
     moves = "<table id='x:processoEvento'><tbody id='x:processoEvento:tb'><tr><td>01/02/2024 10:00:00 - Autuado</td></tr><tr><td>no date</td><td>2</td></tr></tbody></table>"
     assert [(m["sequence"], m["raw_date"], m["description"], len(m["raw_cells"])) for m in records.movements(html.parse(moves))] == [(1, "01/02/2024 10:00:00", "Autuado", 1), (2, None, "no date", 2)]
