@@ -78,8 +78,8 @@ def in_one_task(sample: DataFrame, order: list[str], train: Callable[[Iterator[d
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], ["model"])
 
     bounded_batches(sample.sparkSession)
-    made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").first()
-    return pickle.loads(made[0]) if made else train(iter(()))  # no row at all has no task
+    made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()  # one row, or none
+    return pickle.loads(made[0][0]) if made else train(iter(()))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
