@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, langid, mixing, ngram_join, secrets, token_output, topk, toxicity, url_filter
+from . import chat_format, decontaminate, html_text, infill, langid, mixing, ngram_join, secrets, token_output, topk, toxicity, url_filter, vector_codes
 from .common import table
 
 
@@ -69,13 +69,28 @@ def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_filtering_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(codes.coded).select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+def op12_infill_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.infill(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity_crf, op2_url_redirects, op3_secret_novelty, op4_bit_sliced_topk, op5_language_pieces, op6_ngram_jaccard, op7_suffix_automaton, op8_chat_parts, op9_simple8b_tokens, op10_budget_mix, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_toxicity_crf, op2_url_redirects, op3_secret_novelty, op4_bit_sliced_topk, op5_language_pieces, op6_ngram_jaccard, op7_suffix_automaton, op8_chat_parts, op9_simple8b_tokens, op10_budget_mix, op11_filtering_codes, op12_infill_lines, op13_html_text, pipeline)}
 
 _ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _HOST, _PATH = _ASCII.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"), "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
@@ -83,6 +98,27 @@ _HOST, _PATH = _ASCII.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/
 _LOWER_TEXT = _ASCII.format("coalesce(text, '')")
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Lloyd's rounds by brute force: every part against every entry, one pair of steps for each round."""
+    near = """
+        a{i} AS MATERIALIZED (SELECT r, p, min(d * 16 + e) AS m FROM (SELECT r, p, e, list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v JOIN b{i} b USING (p)) GROUP BY r, p),"""
+    mean = """
+        b{n} AS MATERIALIZED (SELECT p, e, coalesce(y, b.x) AS x FROM b{i} b LEFT JOIN
+          (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS y FROM
+            (SELECT p, m % 16 AS e, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM a{i} JOIN v USING (r, p), (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM v))) AS j) GROUP BY ALL) GROUP BY p, e) USING (p, e)),"""
+    steps = "".join(near.format(i=i) + mean.format(i=i, n=i + 1) for i in range(rounds)) + near.format(i=rounds)
+    return f"""
+        WITH w AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+                   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (SELECT r, p, x[p * len(x) // 8 + 1:(p + 1) * len(x) // 8] AS x FROM w, (SELECT unnest(range(8)) AS p)),
+        b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM v WHERE r <= 16),{steps}
+        c AS (SELECT r, string_agg(format('{{:02x}}', m % 16), '' ORDER BY p) AS code, sum(m // 16)::BIGINT AS error FROM a{rounds} GROUP BY r),
+        h AS (SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM w JOIN c USING (r), h"""
+
+
 ORACLE_SQL = {
     # no page of the tables names a redirect or canonical target, so the rules and the default decide there
     "op2_url_redirects": f"""
@@ -127,4 +163,19 @@ ORACLE_SQL = {
                      coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(n)::BIGINT AS formatted_chars FROM e GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(t) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
                0::BIGINT AS n_attachments, 0::BIGINT AS n_attachment_tokens FROM g""",  # the table's texts are one text part each
+    "op11_filtering_codes": _codes_sql(),
+    "op12_infill_lines": """
+        WITH h AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        k AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS h1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS h2, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM h),
+        c AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+                     array_to_string(u[1:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m, array_to_string(u[greatest(h1, h2) + 1:], '') AS s FROM k)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM c""",
+    # the tables' articles are marked as such and hold headings, paragraphs, bold text and line breaks only
+    "op13_html_text": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS h FROM pages),
+        b AS (SELECT page_id, url, regexp_replace(regexp_replace(h, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+        c AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS t FROM b),
+        d AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM c)
+        SELECT page_id, url, text, length(text) AS n_chars FROM d""",
 }
