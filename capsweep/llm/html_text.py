@@ -11,7 +11,7 @@ short lines, which have low ratios, stay; outside articles, lists of nothing but
 with the highest ratio selects.
 
 Defined results: null and empty html, and pages without any such line, give an empty text; character references are decoded; white
-space of any kind in a line is one space; lines that are blank aren't lines; a script, style or comment that isn't closed runs to the end
+space of any kind in a line is one space; lines that are blank aren't lines; a script, style, comment or tag that isn't closed runs to the end
 of the page; other elements that aren't closed end with the next one around them; pages of any length and depth are read whole; repeated
 rows and null ids are rows of their own; an empty table gives an empty result; other columns are kept, but for those that carry the names of the result.
 """
@@ -53,6 +53,7 @@ COMMENT_MARKS = frozenset("comment comments commentlist discussion disqus replie
 HEADER_MARKS = frozenset("header masthead".split())
 #: A name with one of these tells of a page's make-up, not of the block's kind.
 RELATIONS = frozenset("has with without no not is wrap layout".split())
+OPEN_END = re.compile(r"<[A-Za-z/!?]")
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 #: Blocks that are ended by the start of others, if no block was opened in them since.
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -190,6 +191,8 @@ class Lines(HTMLParser):
                 self._end_implied(tag)
 
     def close(self):
+        if OPEN_END.match(self.rawdata):  # a comment or tag that the page's end cuts
+            self.rawdata = ""
         super().close()
         self.end_line()
         while len(self.open) > 1:
