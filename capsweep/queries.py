@@ -188,10 +188,10 @@ def label_code(spark, sf_dir):
     return p.select("p_partkey", c["label"].alias("label"), c["code"].alias("code"))
 
 
-def read_records(spark, sf_dir):
+def read_records(spark, sf_dir, parts=tuple(records.PARTS)):
     """Records of all orders' pages, their grids' further pages included."""
     pages = cut(captured.record_pages(spark, sf_dir))
-    first = records.read_records(pages.where("page = 1").select("key", "url", "status", "headers", "body"))
+    first = records.read_records(pages.where("page = 1").select("key", "url", "status", "headers", "body"), parts)
     return records.with_grid_pages(cut(first), pages.where("page > 1").select("key", "page", "status", "headers", "body"))
 
 
@@ -223,12 +223,12 @@ def detail_records(spark, sf_dir):
 def record_movements(spark, sf_dir):
     """When each movement occurred, read from pages at a fixed offset."""
     pages = captured.record_pages(spark, sf_dir).where("page = 1")
-    return records.occurred(records.read_records(pages.select("key", "url", "status", "headers", "body")))
+    return records.occurred(records.read_records(pages.select("key", "url", "status", "headers", "body"), ["movements"]))
 
 
 def document_fetches(spark, sf_dir):
     """Chains of document requests: what each document's fetch comes to, and the file it would be."""
-    r = read_records(spark, sf_dir).where("record is not null")
+    r = read_records(spark, sf_dir, ["documents"]).where("record is not null")
     docs = cut(r.select(F.col("key").alias("item_id"), F.col("record.process_number").alias("process_number"), F.explode("record.documents").alias("d")).select("item_id", "process_number", "d.kind", "d.documentId", "d.label", "d.url"))
     got = records.fetched_documents(docs, captured.document_chain(docs))
     return got.select("item_id", F.col("documentId").alias("document_id"), "kind", F.col("outcome.kind").alias("outcome"), F.coalesce(F.col("outcome.reason"), F.col("outcome.status").cast("string")).alias("reason"), "file_name", F.octet_length("body").alias("bytes"), "fetched_bin_id")
@@ -237,7 +237,7 @@ def document_fetches(spark, sf_dir):
 def harvested_seeds(spark, sf_dir):
     """What records name for the frontier: lawyers' numbers, then parties'."""
     pages = captured.record_pages(spark, sf_dir).where("page = 1")
-    r = records.read_records(pages.select("key", "url", "status", "headers", "body")).where("record is not null")
+    r = records.read_records(pages.select("key", "url", "status", "headers", "body"), ["parties"]).where("record is not null")
     return r.select("key", F.posexplode(S.harvested_seeds(F.col("record.parties"))).alias("position", "seed")).select("key", "position", "seed.kind", "seed.value")
 
 
@@ -294,7 +294,7 @@ def html_extract(spark, sf_dir):
 
 def grid_reconciliation(spark, sf_dir):
     """What grids declare against the documents read of them."""
-    r = read_records(spark, sf_dir).where("record is not null")
+    r = read_records(spark, sf_dir, ["documents", "declared_total"]).where("record is not null")
     return r.select("key", F.col("grid.declaredTotal").alias("declared"), F.col("grid.extractedCount").alias("fetched"), F.col("grid.skippedCount").alias("skipped"), F.col("grid.reportedGap").alias("gap"))
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _cut: list[tuple[SparkSession, str]] = []
@@ -44,6 +47,30 @@ def cut(df: DataFrame) -> DataFrame:
     return back
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to as many tasks as the session shuffles to, and to no fewer than run at once.
+
+    For small rows that grow in the next step (into pages) or cost much there: by their bytes alone they would meet in a few tasks.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces whose bodies have at most `most` bytes together, or are one: what Python makes of a body is
+    many times its size."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_pylist()
+        begin = held = 0
+        for i, size in enumerate(sizes):
+            if i > begin and held + size > most:
+                yield batch.slice(begin, i - begin)
+                begin, held = i, 0
+            held += size
+        if begin < len(sizes):
+            yield batch.slice(begin)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by cut() that no later plan reads."""
     path = getattr(df, "shared_path", None)
