@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import backoff, decision, failure_reason, unresolved_reason
@@ -23,12 +23,15 @@ from ..shared import cut, drop
 from ..sources.capped import CappedSource
 from ..sources.documents import write_documents
 from ..stores import CELL, Stores
+from ..streaming.gate import Gate
 from .retry import retry_failed
 from .sweep import Traversal, observe, with_children
 
 CELL_COLUMNS = [c.split()[0] for c in CELL.split(", ")]
 #: What a source's answer may say of a cell (item_id null) or of a row (kind unresolved), beside its items.
 ANSWER = {"kind": "string", "status": "int", "reason": "string", "detail": "string", "retry_after_ms": "bigint"}
+#: Outcomes that settle a row at once, and how often others are tried.
+SETTLED, ROW_TRIES = ("ok", "transient", "sessionExpired"), 3
 
 
 class Clock(Protocol):
@@ -84,35 +87,119 @@ class Tally:
 
 
 def answers_of(source: CappedSource, cells: DataFrame) -> DataFrame:
-    """The source's answer with all columns of ANSWER; rows without a kind are ok."""
-    got = source.discover(cells)
-    got = got.withColumns({c: F.lit(None).cast(t) for c, t in ANSWER.items() if c not in got.columns})
-    return got.withColumn("kind", F.coalesce("kind", F.lit("ok")))
+    """The source's answer with all columns of ANSWER; rows without a kind are ok.
+
+    A source with details(rows) is asked for each row's own page: rows(unit_key, item_id, ..., attempt) come back with kind,
+    status, reason and detail, and are tried again as tolerated() says. Rows that stay unresolved come with their reason; a
+    cell that a row aborts has that row's outcome and no rows.
+    """
+    got = with_answer(source.discover(cells))
+    if not hasattr(source, "details"):
+        return got
+    rows = cut(got.where("item_id is not null and kind = 'ok'").drop(*ANSWER))
+    order = Window.partitionBy("unit_key").orderBy("item_id")  # a cell's rows, at most its cap
+    rest, tries, outcome = rows.withColumn("position", F.row_number().over(order)), [], ["kind", "status", "reason", "detail"]
+    for attempt in range(ROW_TRIES):
+        tried = cut(with_answer(source.details(rest.withColumn("attempt", F.lit(attempt)))).select(*rest.columns, F.lit(attempt).alias("attempt"), *outcome))
+        tries.append(tried)
+        rest = tried.where(~F.col("kind").isin(*SETTLED)).select(*rest.columns)
+        if rest.isEmpty():
+            break
+    good, lost, aborted = tolerated(_union([t.select("unit_key", "position", "item_id", "attempt", *outcome) for t in tries]), ROW_TRIES - 1)
+    found = _union([t.where("kind = 'ok'") for t in tries]).join(good, ["unit_key", "position", "item_id"], "left_semi").select(*rows.columns)
+    none = F.lit(None).cast("string")
+    parts = [found, lost.select("unit_key", "item_id", F.lit("unresolved").alias("kind"), "reason"), aborted.select("unit_key", none.alias("item_id"), "kind", "status"), got.where("item_id is null or kind <> 'ok'")]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p, allowMissingColumns=True)
+    return with_answer(whole)
+
+
+def with_answer(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in ANSWER.items() if c not in rows.columns})
+    return rows.withColumn("kind", F.coalesce("kind", F.lit("ok")))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def _left(ceiling: int | None, used: int) -> int | None:
     return None if ceiling is None else max(0, ceiling - used)
 
 
+def _ms(clock: Clock) -> int:
+    return round(dt.datetime.fromisoformat(clock.now().replace("Z", "+00:00")).timestamp() * 1000)
+
+
+@dataclass
+class _Pacing:
+    """What a run's turns share to keep pace: the gate, if there is one, and the answers that trip it next."""
+
+    clock: Clock
+    gate: Gate | None
+    stores: Stores
+    run_id: str
+    trips: DataFrame | None = None
+
+    def grant(self, rows: DataFrame, key: str) -> DataFrame:
+        """rows(ready_ms), written; with a gate, each has its gate and granted_ms, in run time."""
+        if self.gate is None:
+            return cut(rows)
+        now = _ms(self.clock)
+        got = self.gate.grant(rows.withColumn("at_ms", F.greatest(F.lit(now).cast("long"), F.coalesce("ready_ms", F.lit(now)))), key, self.trips)
+        self.trips = None
+        return got
+
+    def after(self, turn: DataFrame, failed: DataFrame, batch: str, what: str) -> None:
+        """Time passes to the turn's last grant; failed(action, delay_ms) of it close their gates. Without a gate the longest delay is slept."""
+        if self.gate is None:
+            ms = failed.where("action <> 'stop'").agg(F.max("delay_ms")).first()[0]
+            if ms:
+                self.clock.sleep(ms)
+            return
+        last = turn.agg(F.max("granted_ms")).first()[0]
+        if last is not None and last > _ms(self.clock):
+            self.clock.sleep(last - _ms(self.clock))
+        self.trips = cut(failed.where("action = 'requeue'").select("gate", F.col("granted_ms").alias("at_ms"), F.col("delay_ms").alias("cooldown_ms")))
+        kind = F.coalesce("kind", F.lit("ok")).alias("outcome")
+        log = turn.join(failed.select("_key", "kind"), "_key", "left").select(F.col("_key").alias("request"), F.lit(what).alias("what"), "gate", "attempt", "granted_ms", kind, F.lit(self.run_id).alias("run_id"))
+        self.stores.append("requests", log, f"{batch}-{what}")
+
+
 def run(
     source: CappedSource, traversal: Traversal, seeds: DataFrame, stores: Stores, run_id: str, limits: Limits = Limits(), clock: Clock | None = None,
     documents: Callable[[DataFrame], DataFrame] | None = None, fetch: Callable[[DataFrame], DataFrame] | None = None, folder: str | None = None,
-    phase: str = "sweep", max_depth: int = 20, log: Logger | None = None,
+    phase: str = "sweep", max_depth: int = 20, log: Logger | None = None, gate: Gate | None = None,
 ) -> Tally:
     """Ask seeds' cells and the children of those that are full, but for cells that the stores' checkpoints have done.
 
-    The children of cells that an earlier run split are asked too. A cell that fails is asked again as decision() says, in a later turn, with its attempt counted; one that stops is
-    failed. Requests are admitted by depth and key. documents(items) gives (item_id, document_id, ...) of items, fetch its rows with file_name,
-    body and reason (null: success); folder is where they are written. source.reprime(), if it has that, renews a session.
+    The children of cells that an earlier run split are asked too. A cell that fails is asked again as decision() says, in a
+    later turn, with its attempt counted, but one that was told to wait (429) begins anew: only the budget of requests bounds
+    it. One that stops is failed. Requests are admitted by depth and key. The run ends when no item may be stored any more:
+    where items have a ceiling and cells a cap, a turn asks no more cells than it takes to reach it.
+
+    gate: requests of cells and documents pass it, and time passes to their grants; sources find a cell's granted_ms beside its columns.
+    documents(items) gives (item_id, document_id, ...) of items, fetch its rows with file_name, body and reason (null: success), and may
+    say kind, status, detail and retry_after_ms as a source does: a document is tried again as a cell is, a 429 counted, and fetch sees its attempt. folder is where
+    files are written. source.reprime(), if it has that, renews a session.
     """
     clock, spark, tally = clock or SystemClock(), seeds.sparkSession, Tally()
+    pacing = _Pacing(clock, gate, stores, run_id)
     done = cut(stores.checkpoints())
     again = traversal.split(done.where("state = 'subdivided'").select(*CELL_COLUMNS)).select(*CELL_COLUMNS)
-    queue = pending(seeds.select(*CELL_COLUMNS).unionByName(again).dropDuplicates(["unit_key"]), done).withColumn("attempt", F.lit(1))
+    fresh = {"attempt": F.lit(1), "ready_ms": F.lit(None).cast("long")}
+    queue = pending(seeds.select(*CELL_COLUMNS).unionByName(again).dropDuplicates(["unit_key"]), done).withColumns(fresh)
     known = spark.createDataFrame([], "item_id string")
-    while True:
+    while limits.max_items is None or tally.items < limits.max_items:
         room = _left(limits.max_requests, tally.requests)
-        turn = cut(queue if room is None else queue.orderBy("depth", "unit_key").limit(room))
+        if limits.max_items is not None and source.cap:
+            most = -(-(limits.max_items - tally.items) // source.cap)
+            room = most if room is None else min(room, most)
+        turn = pacing.grant((queue if room is None else queue.orderBy("depth", "unit_key").limit(room)).withColumn("_key", F.col("unit_key")), "_key")
         n = turn.count()
         if not n:
             break
@@ -121,11 +208,10 @@ def run(
         batch = f"{run_id}-{at.replace(':', '')}-{tally.batches:06d}"
         tally.batches += 1
         emit(log, "info", "batch.started", run=run_id, cells=n)
-        answer = cut(answers_of(source, turn.select(*CELL_COLUMNS)))
+        told = [*CELL_COLUMNS, "granted_ms"] if gate else CELL_COLUMNS
+        answer = cut(answers_of(source, turn.select(*told)))
         bad = answer.where("item_id is null and kind <> 'ok'").groupBy("unit_key").agg(F.min(F.struct("kind", "status", "reason", "detail", "retry_after_ms")).alias("o")).select("unit_key", "o.*")
-        wait = backoff("exponential", F.col("attempt"), 1000, 2, cap=60_000)
-        said = decision(F.col("kind"), F.col("status"), F.col("attempt"), wait, F.col("retry_after_ms"), limits.transient_cap, limits.defect_cap, limits.session_cap)
-        failed = cut(turn.join(bad, "unit_key").withColumn("d", said).select("*", "d.action", "d.delay_ms"))
+        failed = cut(decided(turn.join(bad, "unit_key"), limits))
         stopped = failed.where("action = 'stop'")
         hits = answer.where("item_id is not null and kind = 'ok'")
         rows = answer.where("item_id is not null and kind = 'unresolved'")
@@ -135,8 +221,16 @@ def run(
         none = F.lit(None)
         seen = seen.unionByName(stopped.select(*CELL_COLUMNS, F.lit(0).cast("long").alias("result_count"), F.lit(False).alias("saturated"), F.lit("failed").alias("state"), none.cast("string").alias("item_set_hash"), F.lit(0).cast("long").alias("unresolved")))
         stamp = {"run_id": F.lit(run_id), "observed_at": F.lit(at)}
+        emitted = failed.where("action <> 'stop'").agg(F.count("*").alias("n"), F.max("delay_ms").alias("ms"), F.bool_or(F.col("action") == "reprime").alias("reprime")).first()
+        if emitted["n"]:
+            tally.retried += emitted["n"]
+            emit(log, "warn", "cells.retried", run=run_id, cells=emitted["n"], delay_ms=emitted["ms"])
+            if emitted["reprime"] and hasattr(source, "reprime"):
+                source.reprime()
+        pacing.after(turn, failed, batch, "cell")
 
-        known, written = _store_items(hits, known, stores, limits, tally, batch, stamp, documents, fetch, folder)
+        before = known
+        known, written = _store_items(hits, known, stores, limits, tally, batch, stamp, documents, fetch, folder, pacing, source)
         text = none.cast("string")
         ledger = rows.select("item_id", text.alias("document_id"), "reason").unionByName(written).withColumns({**stamp, "resolved": F.lit(False)})
         ledger = ledger.unionByName(stopped.select(F.col("unit_key").alias("item_id"), text.alias("document_id"), failure_reason(F.col("kind"), F.col("status"), F.col("reason"), F.col("detail")).alias("reason")).withColumns({**stamp, "resolved": F.lit(False)}))
@@ -146,24 +240,58 @@ def run(
         stores.append("coverage", record.withColumns({"phase": F.lit(phase), "dimensions": dimension}), batch)
         stores.append("checkpoints", record, batch)  # last: a cell without one is asked again
 
-        repeat = failed.where("action <> 'stop'")
-        waits = failed.where("action <> 'stop'").agg(F.count("*").alias("n"), F.max("delay_ms").alias("ms"), F.bool_or(F.col("action") == "reprime").alias("reprime")).first()
-        if waits["n"]:
-            tally.retried += waits["n"]
-            emit(log, "warn", "cells.retried", run=run_id, cells=waits["n"], delay_ms=waits["ms"])
-            if waits["reprime"] and hasattr(source, "reprime"):
-                source.reprime()
-            if waits["ms"]:
-                clock.sleep(waits["ms"])
         beyond = queue.join(turn.select("unit_key"), "unit_key", "left_anti") if room is not None and n == room else queue.where("false")
-        after = children.select(*CELL_COLUMNS).withColumn("attempt", F.lit(1)).unionByName(repeat.select(*CELL_COLUMNS, (F.col("attempt") + 1).alias("attempt"))).unionByName(beyond)
-        queue = cut(after)
-        drop(answer)
+        after = children.select(*CELL_COLUMNS).withColumns(fresh).unionByName(repeated(failed).select(*CELL_COLUMNS, *fresh)).unionByName(beyond)
+        old, queue = queue, cut(after)
+        for table in (old, before, turn, failed, children, record, answer):  # a long run keeps one turn's tables
+            drop(table)
     emit(log, "info", "run.ended", run=run_id, requests=tally.requests, items=tally.items)
     return tally
 
 
-def _store_items(hits, known, stores, limits, tally, batch, stamp, documents, fetch, folder) -> tuple[DataFrame, DataFrame]:
+def decided(failed: DataFrame, limits: Limits) -> DataFrame:
+    """failed(attempt, kind, status, retry_after_ms) with what to do next: action and delay_ms."""
+    wait = backoff("exponential", F.col("attempt"), 1000, 2, cap=60_000)
+    said = decision(F.col("kind"), F.col("status"), F.col("attempt"), wait, F.col("retry_after_ms"), limits.transient_cap, limits.defect_cap, limits.session_cap)
+    return failed.withColumn("_d", said).select("*", "_d.action", "_d.delay_ms").drop("_d")
+
+
+def repeated(failed: DataFrame, anew: bool = True) -> DataFrame:
+    """Those of failed that are asked again, with their attempt and when they are ready. anew: one that was told to wait begins
+    at its first attempt; the gate's cooldown holds it, so it has no delay of its own."""
+    waits = F.col("action") == "requeue"
+    ready = F.when(~waits, F.col("granted_ms") + F.col("delay_ms")) if "granted_ms" in failed.columns else F.lit(None).cast("long")
+    attempt = F.when(waits, 1).otherwise(F.col("attempt") + 1) if anew else F.col("attempt") + 1
+    return failed.where("action <> 'stop'").withColumns({"attempt": attempt.cast("int"), "ready_ms": ready})
+
+
+def _fetched(asked: DataFrame, fetch: Callable[[DataFrame], DataFrame], limits: Limits, pacing: _Pacing, batch: str, source) -> DataFrame:
+    """asked's rows as they settle: what fetch gave at the last try, a reason where it stopped. Each turn asks for those that are left."""
+    key, columns = ["item_id", "document_id"], asked.columns
+    left = asked.dropDuplicates(key).withColumns({"attempt": F.lit(1), "ready_ms": F.lit(None).cast("long")})
+    settled, turns = [], 0
+    while True:
+        turn = pacing.grant(left.withColumn("_key", F.concat_ws("/", *key)), "_key")
+        if turn.isEmpty():
+            break
+        got = fetch(turn.select(*columns, "attempt"))
+        got = got.withColumns({c: F.lit(None).cast(t) for c, t in ANSWER.items() if c not in got.columns})
+        got = got.withColumn("kind", F.when(F.col("reason").isNull(), F.coalesce("kind", F.lit("ok"))).otherwise(F.coalesce("kind", F.lit("permanentError"))))
+        got = cut(got.select(*key, "file_name", "body", "kind", "status", "reason", "detail", "retry_after_ms"))
+        own = [c for c in turn.columns if c not in got.columns]
+        failed = cut(decided(turn.select(*key, *own).join(got.where("kind <> 'ok'").drop("file_name", "body"), key), limits))
+        settled.append(got.where("kind = 'ok'").select(*key, "file_name", "body", F.lit(None).cast("string").alias("reason")))
+        why = F.coalesce("reason", failure_reason(F.col("kind"), F.col("status"), F.col("reason"), F.col("detail")))
+        settled.append(failed.where("action = 'stop'").select(*key, F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("binary").alias("body"), why.alias("reason")))
+        if not failed.where("action = 'reprime'").isEmpty() and hasattr(source, "reprime"):
+            source.reprime()
+        pacing.after(turn, failed, f"{batch}-{turns:03d}", "document")
+        left = cut(repeated(failed, anew=False).select(*columns, "attempt", "ready_ms"))
+        turns += 1
+    return _union(settled) if settled else asked.select(*key, F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("binary").alias("body"), F.lit(None).cast("string").alias("reason"))
+
+
+def _store_items(hits, known, stores, limits, tally, batch, stamp, documents, fetch, folder, pacing, source) -> tuple[DataFrame, DataFrame]:
     """Write items that this run hasn't seen, with their documents' outcomes; (known items, failures of documents)."""
     extra = [c for c in hits.columns if c not in ("unit_key", "item_id", *ANSWER)]
     hits = hits.withColumn("item_id", F.col("item_id").cast("string"))
@@ -178,7 +306,7 @@ def _store_items(hits, known, stores, limits, tally, batch, stamp, documents, fe
         n = asked.count()
         tally.documents += n
         tally.requests += n
-        tried = cut(fetch(asked))
+        tried = cut(_fetched(asked, fetch, limits, pacing, batch, source))
         good = tried.where("reason is null")
         if folder is not None:
             named = write_documents(good.where("file_name is not null").select("item_id", "document_id", "file_name", "body"), folder)
@@ -215,7 +343,7 @@ def tolerated(attempts: DataFrame, cap: int = 2) -> tuple[DataFrame, DataFrame,
     """
     row = ["unit_key", "position", "item_id"]
     tries = attempts.where(F.col("attempt") <= cap)
-    settles = F.col("kind").isin("ok", "transient", "sessionExpired")
+    settles = F.col("kind").isin(*SETTLED)
     what = F.struct("kind", "status", "reason", "detail")
     per = tries.groupBy(*row).agg(F.min_by(what, F.when(settles, F.col("attempt"))).alias("s"), F.max_by(what, "attempt").alias("l"))
     per = per.select(*row, F.coalesce("s", "l").alias("o")).select(*row, "o.*")

@@ -17,10 +17,11 @@ from .plans.frontier import crawl
 from .plans import run as runs
 from .plans.retry import retry_failed
 from .plans.sweep import Traversal, day_cells, sweep
-from .shared import cut, shared_folder
+from .shared import cut, delete, shared_folder
 from .sources import html, records
 from .sources.capped import TableSource, capped
 from .stores import Stores
+from .streaming.gate import Gate
 
 DAY, ORDER_DAY = "CAST(l_shipdate AS DATE)", "CAST(o_orderdate AS DATE)"
 
@@ -252,19 +253,86 @@ def row_tolerance(spark, sf_dir):
     return rows.unionByName(aborted.select("unit_key", none.alias("item_id"), F.lit("aborted").alias("what"), F.concat_ws(":", "kind", "status").alias("reason")))
 
 
-def resume_sweep(spark, sf_dir):
-    """A run that its budget stops once and a second one that goes on: the latest checkpoint of every cell."""
+def order_source(spark, sf_dir, cap):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("item_id"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_orderpriority").alias("facet"), F.lit("x y").alias("name"))
-    source = TableSource(cut(o), 5)
+    source = TableSource(cut(o), cap)
     low, high = source.rows.agg(F.min("day"), F.max("day")).first()
+    return source, low, high, Stores(spark, f"{shared_folder(spark)}/run-{uuid.uuid4().hex}")
+
+
+def no_split(spark):
+    return Traversal(spark.createDataFrame([], "facet string, position int"), spark.createDataFrame([], "probe string, position int"))
+
+
+def resume_sweep(spark, sf_dir):
+    """A run that its budget stops once and a second one that goes on: the latest checkpoint of every cell."""
+    source, low, high, stores = order_source(spark, sf_dir, 5)
     facets = source.rows.select("facet").distinct().withColumn("position", F.lit(0))
     traversal = Traversal(cut(facets), spark.createDataFrame([], "probe string, position int"))
-    stores = Stores(spark, f"{shared_folder(spark)}/run-{uuid.uuid4().hex}")
     seeds = day_cells(spark, str(low), str(high))
     for run_id, most in (("first", 1000), ("second", None)):
         runs.run(source, traversal, seeds, stores, run_id, runs.Limits(max_requests=most), runs.FixedClock())
     items = stores.items().groupBy("unit_key").agg(F.count("*").alias("items"))
-    return stores.checkpoints().join(items, "unit_key", "left").select("unit_key", "facet_value", "depth", "state", "result_count", "item_set_hash", F.coalesce("items", F.lit(0)).cast("long").alias("items"))
+    got = cut(stores.checkpoints().join(items, "unit_key", "left").select("unit_key", "facet_value", "depth", "state", "result_count", "item_set_hash", F.coalesce("items", F.lit(0)).cast("long").alias("items")))
+    delete(spark, stores.folder)
+    return got
+
+
+class Throttled:
+    """Every seventh day answers 429 in the first turns: one, two or three of them."""
+
+    cap = None
+
+    def __init__(self, inner, low):
+        self.inner, self.low, self.turn = inner, low, 0
+
+    def discover(self, cells):
+        self.turn += 1
+        n = F.datediff("date_from", F.lit(self.low))
+        told = cells.withColumn("wait", (n % 7 == 0) & (F.floor(n / 7) % 3 + 1 >= self.turn))
+        bad = told.where("wait").select("unit_key", F.lit(None).cast("string").alias("item_id"), F.lit("transient").alias("kind"), F.lit(429).alias("status"), F.lit(3000).cast("long").alias("retry_after_ms"))
+        return self.inner.discover(told.where("not wait").drop("wait")).unionByName(bad, allowMissingColumns=True)
+
+
+def gated_run(spark, sf_dir):
+    """A run through the gate: when each request was granted, from the run's start, and what came of it."""
+    source, low, high, stores = order_source(spark, sf_dir, None)
+    clock = runs.FixedClock()
+    began = round(clock.at.timestamp() * 1000)
+    runs.run(Throttled(source, low), no_split(spark), day_cells(spark, str(low), str(high)), stores, "gated", runs.Limits(max_requests=None), clock, gate=Gate(500))
+    state = stores.checkpoints().select(F.col("unit_key").alias("request"), "state")
+    got = cut(stores.requests().join(state, "request").select(F.col("request").alias("unit_key"), (F.col("granted_ms") - began).alias("granted_ms"), "attempt", "outcome", "state"))
+    delete(spark, stores.folder)
+    return got
+
+
+class Paged(TableSource):
+    """Rows have pages of their own, which fail by their numbers: for good, twice, or after one other failure in a way that ends their cell."""
+
+    def details(self, rows):
+        m, a = F.col("item_id").cast("long") % 23, F.col("attempt")
+        kind = F.when(m == 1, "hostDefect").when((m == 2) & (a < 2), "permanentError").when(m == 3, F.when(a == 0, "hostDefect").otherwise("transient")).otherwise("ok")
+        return rows.withColumns({"kind": kind, "status": F.lit(503), "reason": F.lit("x"), "detail": F.lit("d")})
+
+
+def tolerant_run(spark, sf_dir):
+    """A run whose rows and documents are tried again: its items with their documents' outcomes, and its ledger."""
+    source, low, high, stores = order_source(spark, sf_dir, None)
+    documents = lambda items: items.where(F.col("item_id").cast("long") % 5 == 0).select("item_id", F.lit("d").alias("document_id"))
+
+    def fetch(asked):
+        k, a = F.col("item_id").cast("long"), F.col("attempt")
+        kind = F.when(k % 25 == 0, "permanentError").when((k % 10 == 0) & (a < 3 + k % 4), "transient").otherwise("ok")
+        good = kind == "ok"
+        return asked.select("item_id", "document_id", F.when(good, F.col("item_id")).alias("file_name"), F.when(good, F.lit(b"%PDF-1")).alias("body"), kind.alias("kind"), F.lit(503).alias("status"), F.when(k % 25 == 0, "gone").alias("reason"), F.lit(None).cast("string").alias("detail"))
+
+    limits = runs.Limits(max_requests=None, max_documents=None, transient_cap=2)
+    runs.run(Paged(source.rows, None), no_split(spark), day_cells(spark, str(low), str(high)), stores, "tolerant", limits, runs.FixedClock(), documents, fetch)
+    items = stores.items().select("item_id", F.lit("item").alias("what"), F.array_join(F.transform("documents", lambda d: F.concat_ws(":", d["document_id"], d["status"], d["bytes"])), ",").alias("said"))
+    ledger = stores.ledger().select("item_id", F.when(F.col("document_id").isNotNull(), "document").when(F.contains("item_id", F.lit("..")), "cell").otherwise("row").alias("what"), F.col("reason").alias("said"))
+    got = cut(items.unionByName(ledger))
+    delete(spark, stores.folder)
+    return got
 
 
 def rate_gate_cooldown(spark, sf_dir):
@@ -345,7 +413,7 @@ QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
-    frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, rate_gate_cooldown, search_bodies, class_catalogue,
+    frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, gated_run, tolerant_run, rate_gate_cooldown, search_bodies, class_catalogue,
 )} | {"sweep_cells": sweep_cells}
 
 #: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
@@ -363,6 +431,21 @@ def _level(cells: str, match: str, depth: int) -> str:
         ON h.unit_key = c.unit_key AND h.rn <= 4 GROUP BY ALL"""
 
 
+def _gated_sql(turns: int = 4) -> str:
+    """Turn by turn: grants 500 ms apart, not before the cooldown's end; a 429 starts one unless another lasts."""
+    out = """
+        WITH RECURSIVE d AS (SELECT unnest(generate_series(min(o_orderdate::DATE), max(o_orderdate::DATE), INTERVAL 1 DAY))::DATE AS day, min(o_orderdate::DATE) AS low FROM orders),
+        c AS (SELECT day || '..' || day AS unit_key, CASE WHEN (day - low) % 7 = 0 THEN (day - low) // 7 % 3 + 1 ELSE 0 END AS k FROM d),
+        s1 AS (SELECT 0::BIGINT AS now, -1000000::BIGINT AS last, -1000000::BIGINT AS until)"""
+    for t in range(1, turns + 1):
+        out += f""",
+        g{t} AS (SELECT unit_key, k, greatest(now, last + 500, until) + 500 * (row_number() OVER (ORDER BY unit_key) - 1) AS granted_ms FROM c, s{t} WHERE k >= {t - 1 if t > 1 else 0}),
+        w{t} AS (SELECT row_number() OVER (ORDER BY granted_ms) AS i, granted_ms FROM g{t} WHERE k >= {t}),
+        u{t}(i, until) AS (SELECT 0::BIGINT, until FROM s{t} UNION ALL SELECT w.i, CASE WHEN w.granted_ms >= u.until THEN w.granted_ms + 3000 ELSE u.until END FROM u{t} u JOIN w{t} w ON w.i = u.i + 1),
+        s{t + 1} AS (SELECT coalesce(max(granted_ms), 0) AS now, coalesce(max(granted_ms), -1000000) AS last, (SELECT arg_max(until, i) FROM u{t}) AS until FROM g{t})"""
+    return out + " " + " UNION ALL ".join(f"SELECT unit_key, granted_ms, 1 AS attempt, CASE WHEN k >= {t} THEN 'transient' ELSE 'ok' END AS outcome, 'complete' AS state FROM g{t}" for t in range(1, turns + 1))
+
+
 SQL = {
     "sweep_cells": f"""
         WITH r AS (SELECT l_orderkey || '-' || lpad(l_linenumber::VARCHAR, 2, '0') AS item_id, {DAY} AS day, l_returnflag AS facet, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey),
@@ -449,6 +532,12 @@ SQL = {
               UNION ALL SELECT unit_key, facet_value, depth, CASE WHEN n >= 5 THEN 'truncated' ELSE 'complete' END, least(n, 5), coalesce(x[1:5], []) FROM e),
         w AS (SELECT i, arg_min(unit_key, depth) AS unit_key FROM (SELECT unit_key, depth, unnest(x) AS i FROM c) GROUP BY i), t AS (SELECT unit_key, count(*) AS items FROM w GROUP BY unit_key)
         SELECT unit_key, facet_value, depth, state, result_count, 'sha1:' || sha1(array_to_string(x, chr(10))) AS item_set_hash, coalesce(items, 0) AS items FROM c LEFT JOIN t USING (unit_key)""",
+    "gated_run": _gated_sql(),
+    "tolerant_run": """
+        WITH o AS (SELECT o_orderkey AS k, o_orderdate::DATE || '..' || o_orderdate::DATE AS u FROM orders), f AS (SELECT DISTINCT u FROM o WHERE k % 23 = 3), r AS (SELECT * FROM o WHERE u NOT IN (SELECT u FROM f))
+        SELECT k::VARCHAR AS item_id, 'item' AS what, CASE WHEN k % 5 <> 0 THEN '' WHEN k % 25 = 0 OR (k % 10 = 0 AND k % 4 > 0) THEN 'd:failed' ELSE 'd:fetched:6' END AS said FROM r WHERE k % 23 <> 1
+        UNION ALL SELECT k::VARCHAR, 'row', 'hostDefect:x:d' FROM r WHERE k % 23 = 1 UNION ALL SELECT u, 'cell', 'transient:503' FROM f
+        UNION ALL SELECT k::VARCHAR, 'document', CASE WHEN k % 25 = 0 THEN 'gone' ELSE 'transient:503' END FROM r WHERE k % 23 <> 1 AND (k % 25 = 0 OR (k % 10 = 0 AND k % 4 > 0))""",
     "rate_gate_cooldown": "WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, coalesce(sum(CASE WHEN event_type = 'error' THEN 60000 ELSE 500 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM events) SELECT event_id, (max(t - s) OVER (PARTITION BY user_id ORDER BY event_id) + s)::BIGINT AS granted FROM e",
     "search_bodies": """
         SELECT c_custkey, p::INTEGER AS position, n AS name, CASE WHEN n = 'j9%3AnomeParteInput' THEN replace(c_name, '#', '%23') WHEN n = 'j9%3AclasseJudicial' AND c_custkey % 2 = 0 THEN 'A%E7%E3o+%26%238211%3B+%E3' ELSE v END AS value

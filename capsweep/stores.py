@@ -20,6 +20,7 @@ SCHEMAS = {
     "items": "item_id string, unit_key string, run_id string, observed_at string, payload string, documents array<struct<document_id:string,status:string,bytes:bigint>>",
     "coverage": f"{CELL}, {OBSERVED}, phase string, dimensions map<string,string>",
     "checkpoints": f"{CELL}, {OBSERVED}",
+    "requests": "request string, what string, gate string, attempt int, granted_ms long, outcome string, run_id string",
     "ledger": "item_id string, document_id string, reason string, observed_at string, resolved boolean, item string, doc string, run_id string",
 }
 
@@ -55,6 +56,10 @@ class Stores:
     def ledger(self) -> DataFrame:
         return self.read("ledger")
 
+    def requests(self) -> DataFrame:
+        """What passed a run's gate, and when: cells by their keys, documents by item and document."""
+        return self.read("requests")
+
     def resolve(self, rows: DataFrame, run_id: str, observed_at: str, batch: str) -> None:
         """Entries that say a document is resolved; earlier entries stay."""
         none = F.lit(None).cast("string")

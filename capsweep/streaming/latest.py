@@ -30,5 +30,5 @@ def latest_cells(records: DataFrame) -> DataFrame:
 
 
 def once(records: DataFrame, at: str = "observed_ts", late: str = "1 day") -> DataFrame:
-    """Repeated observations within the watermark go."""
-    return records.withWatermark(at, late).dropDuplicatesWithinWatermark(["unit_key", "state", "result_count"])
+    """Repeats of one observation within the watermark go; a cell that comes back to an earlier state is observed anew."""
+    return records.withWatermark(at, late).dropDuplicatesWithinWatermark(["unit_key", "state", "result_count", at])
