@@ -5,8 +5,8 @@ share of every length, then single documents in a seeded order of lengths, while
 DP_BUDGET, then as many as fit of each length, the longest first, while it is over twice that, and long ones in
 exchange for short ones where only long ones are left. A bounded-knapsack dynamic programme over the counts that
 remain fits all that is left then; where documents are so few and long that more than a thousandth of the budget stays
-unfilled, the programme runs over all of them, in coarser units if it must. Which documents of a length are taken follows a seeded hash of their ids. Texts stay where they are read. Defined results: null texts have size 0 and take no part in a budget (taken
-0); a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
+unfilled, the programme runs over all of them, in coarser units if it must. Which documents of a length are taken follows a seeded hash of their ids. Texts stay where they are read, but for those of rows alike in id and size of which some are taken. Defined results: null
+texts have size 0 and take no part in a budget, so that their taken is 0; a null source is a source, the last; repeated rows are documents of their own (of rows alike in id and size, any
 may be the one that is taken); empty sources and tables have target 0 and no rows; extra columns are ignored by
 mix() and kept by take(), whatever their names. Texts of any length are counted whole.
 """
@@ -227,8 +227,9 @@ class Plan:
         out = out.unionByName(clear)
         if self.ids.where("more > 0 and more < n").isEmpty():
             return out
-        # of an id's rows, the first as the table is read: ranks within a partition, after those of partitions before
-        part = edge.where("_more > 0 and _more < _n")
+        # of an id's rows, the first as the table is read: ranks within a partition, after those of partitions before; written
+        # with their partitions, as a second reading could deal them otherwise
+        part = materialise(edge.where("_more > 0 and _more < _n"), "alike")
         keys = ["source", "size", "doc_id"]
         counts = part.groupBy(*keys, "p").agg(F.count("*").alias("m"))
         counts = counts.select(*keys, "p", (F.sum("m").over(Window.partitionBy(*keys).orderBy("p")) - F.col("m")).alias("before"))

@@ -321,8 +321,8 @@ def _rest(large: DataFrame, fine: DataFrame, t: Fraction, tile: int) -> DataFram
     return probes.unionByName(others).repartition(*keys).sortWithinPartitions(*keys, "key").mapInArrow(_search_groups(keys, t, True), "u binary, v binary")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with __key, the key of the text's words."""
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the key of the text's words, under a name that docs hasn't."""
     bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
@@ -330,9 +330,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
         for batch in text_slices(batches, at):
             words = [split_words(x or "") for x in batch.column(at).to_pylist()]
             keys = [hashlib.md5(b" ".join(w)).digest() if w else None for w in words]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "__key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -347,6 +347,10 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (
         gone = F.broadcast(gone)
     again = parts.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if again.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    once = docs.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(_keyed(docs.join(again, "doc_id", "left_semi").select(*docs.columns)).join(gone.withColumnRenamed("key", "__key"), ["doc_id", "__key"], "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+        return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    key = "key_of_words"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    once = docs.join(again, "doc_id", "left_anti").join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    more = _keyed(docs.join(again, "doc_id", "left_semi").select(*docs.columns), key).join(gone.withColumnRenamed("key", key), ["doc_id", key], "left_anti")
+    return once.unionByName(more.select(*docs.columns).dropDuplicates(["doc_id", "text"]))
