@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bigrams
+from .substrings import contained
 
 
 def bigram_frequency(names: DataFrame, name: str, ordinal: str) -> DataFrame:
@@ -17,8 +18,13 @@ def bigram_frequency(names: DataFrame, name: str, ordinal: str) -> DataFrame:
 def name_probe_hits(names: DataFrame, name: str) -> DataFrame:
     """(probe, hits): each distinct whole name as a probe, and the rows whose name contains it; names match once, with their counts."""
     counted = names.select(F.lower(name).alias("_name")).where("_name is not null").groupBy("_name").agg(F.count("*").alias("_n"))
-    probes = counted.select(F.col("_name").alias("probe"))
-    return counted.join(probes, F.contains("_name", "probe")).groupBy("probe").agg(F.sum("_n").alias("hits"))
+    return probe_hits(counted, counted.select(F.col("_name").alias("probe")))
+
+
+def probe_hits(counted: DataFrame, probes: DataFrame) -> DataFrame:
+    """(probe, hits) of probes(probe) that any of counted(_name, _n) contains; both distinct, in lower case."""
+    pairs = contained(counted.select(F.col("_name").alias("name")), probes)
+    return pairs.join(counted, F.col("name") == F.col("_name")).groupBy("probe").agg(F.sum("_n").alias("hits"))
 
 
 #: Name parts that are common, in the order they are asked when nothing better is known.

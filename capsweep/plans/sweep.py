@@ -85,15 +85,19 @@ class Traversal:
         return by_day.unionByName(by_facet).unionByName(by_probe)
 
 
-def observe(cells: DataFrame, hits: DataFrame, cap: int | None) -> DataFrame:
+def observe(cells: DataFrame, hits: DataFrame, cap: int | None, keep: list[str] | None = None) -> DataFrame:
     """cells with result_count, saturated, state and item_set_hash; a cell without rows has the hash of nothing.
 
-    A cell's ids meet in one row: at most cap of them, or all that an uncapped source answers a cell with.
+    keep: columns of its rows that a cell's observation holds too, as `rows`. A cell's ids meet in one row: at most cap of them, or all
+    that an uncapped source answers a cell with.
     """
-    stats = hits.groupBy("unit_key").agg(F.count("*").alias("n"), F.collect_list(F.col("item_id").cast("string")).alias("ids"))
+    held = F.collect_list(F.struct(F.col("item_id").cast("string").alias("_id"), *(keep or [])))
+    stats = hits.groupBy("unit_key").agg(held.alias("_rows"))
     limit = F.lit(cap).cast("long")
-    n = F.coalesce("n", F.lit(0))
-    return cells.join(stats, "unit_key", "left").select(*cells.columns, n.alias("result_count"), is_saturated(n, limit).alias("saturated"), cell_state(n, limit).alias("state"), set_hash(F.col("ids")).alias("item_set_hash"))
+    n = F.when(F.col("_rows").isNull(), 0).otherwise(F.size("_rows")).cast("long")
+    rows = [F.transform("_rows", lambda r: F.struct(*[r[k].alias(k) for k in keep])).alias("rows")] if keep else []
+    ids = F.transform("_rows", lambda r: r["_id"])
+    return cells.join(stats, "unit_key", "left").select(*cells.columns, n.alias("result_count"), is_saturated(n, limit).alias("saturated"), cell_state(n, limit).alias("state"), set_hash(ids).alias("item_set_hash"), *rows)
 
 
 def with_children(seen: DataFrame, traversal: Traversal, columns: list[str], max_depth: int) -> tuple[DataFrame, DataFrame]:
@@ -114,17 +118,21 @@ def sweep(source: CappedSource, traversal: Traversal, seeds: DataFrame, max_dept
     columns, level, coverage, found = seeds.columns, seeds, [], []
     if done is not None and set(columns) <= set(done.columns):
         level = level.unionByName(traversal.split(done.where("state = 'subdivided'").select(*columns)).select(*columns)).dropDuplicates(["unit_key"])
+    level = cut(level if done is None else pending(level, done))
     while True:
-        level = cut(level if done is None else pending(level, done))
-        hits = cut(source.discover(level))
-        seen = cut(observe(level, hits, source.cap))
+        hits = source.discover(level)
+        keep = ["item_id", "facet", "name"] if "facet" in hits.columns else ["item_id"]
+        # a level is written once, each cell with its rows, from which the items come
+        observed = cut(observe(level, hits, source.cap, keep))
         drop(level)
-        seen, children = with_children(seen, traversal, columns, max_depth)
+        seen, children = with_children(observed.drop("rows"), traversal, columns, max_depth)
         coverage.append(seen)
-        found.append(hits.select("item_id", "facet", "name") if "facet" in hits.columns else hits.select("item_id"))
+        found.append(observed.select(F.inline("rows")))
         if children.isEmpty():
             break
         level = children.select(*columns)
+        if done is not None:
+            level = cut(pending(level, done))
     return _union(coverage), _union(found).dropDuplicates(["item_id"])
 
 

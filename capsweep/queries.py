@@ -13,6 +13,7 @@ from .functions import codecs
 from .functions import responses as R
 from .functions import scalars as S
 from .operators import coverage, queues
+from .operators.intervals import within
 from .plans.frontier import crawl
 from .plans import run as runs
 from .plans.retry import retry_failed
@@ -127,9 +128,15 @@ def probe_queue(spark, sf_dir):
 
 def substring_probe_hits(spark, sf_dir):
     """Every word of every part's name as a probe, and the parts whose name contains it; a name meets a probe once."""
-    names = table(spark, sf_dir, "part").groupBy(F.lower("p_name").alias("name")).agg(F.count("*").alias("n"))
-    probes = names.select(F.explode(S.tokens(F.col("name"))).alias("probe")).distinct()
-    return names.join(probes, F.contains("name", "probe")).groupBy("probe").agg(F.sum("n").alias("hits"))
+    names = table(spark, sf_dir, "part").groupBy(F.lower("p_name").alias("_name")).agg(F.count("*").alias("_n"))
+    return queues.probe_hits(names, names.select(F.explode(S.tokens(F.col("_name"))).alias("probe")).distinct())
+
+
+def span_hits(spark, sf_dir):
+    """Lines shipped in the days that follow each order: spans of 0 to 364 days against days with their counts."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.unix_date(F.col("o_orderdate").cast("date")).alias("low")).withColumn("high", F.col("low") + (F.col("o_orderkey") % 365).cast("int"))
+    shipped = table(spark, sf_dir, "lineitem").groupBy(F.unix_date(F.col("l_shipdate").cast("date")).alias("day")).agg(F.count("*").alias("n"))
+    return within(o, "low", "high", shipped, "day").groupBy("o_orderkey").agg(F.sum("n").alias("lines"), F.count("*").alias("days"))
 
 
 def name_probe_hits(spark, sf_dir):
@@ -229,12 +236,16 @@ def record_movements(spark, sf_dir):
 
 def document_fetches(spark, sf_dir):
     """Chains of document requests: what each document's fetch comes to, and the file it would be."""
-    r = read_records(spark, sf_dir, ["documents"]).where("record is not null")
-    docs = cut(r.select(F.col("key").alias("item_id"), F.col("record.process_number").alias("process_number"), F.explode("record.documents").alias("d")).select("item_id", "process_number", "d.kind", "d.documentId", "d.label", "d.url"))
-    got = records.fetched_documents(docs, captured.document_chain(docs))
+    docs, got = fetches(read_records(spark, sf_dir, ["documents"]))
     return got.select("item_id", F.col("documentId").alias("document_id"), "kind", F.col("outcome.kind").alias("outcome"), F.coalesce(F.col("outcome.reason"), F.col("outcome.status").cast("string")).alias("reason"), "file_name", F.octet_length("body").alias("bytes"), "fetched_bin_id")
 
 
+def fetches(r):
+    """(documents of records, what their requests' chains come to)."""
+    docs = cut(r.where("record is not null").select(F.col("key").alias("item_id"), F.col("record.process_number").alias("process_number"), F.explode("record.documents").alias("d")).select("item_id", "process_number", "d.kind", "d.documentId", "d.label", "d.url"))
+    return docs, records.fetched_documents(docs, captured.document_chain(docs))
+
+
 def harvested_seeds(spark, sf_dir):
     """What records name for the frontier: lawyers' numbers, then parties'."""
     pages = captured.record_pages(spark, sf_dir).where("page = 1")
@@ -361,9 +372,9 @@ def html_extract(spark, sf_dir):
 
 
 def grid_reconciliation(spark, sf_dir):
-    """What grids declare against the documents read of them."""
-    r = read_records(spark, sf_dir, ["documents", "declared_total"]).where("record is not null")
-    return r.select("key", F.col("grid.declaredTotal").alias("declared"), F.col("grid.extractedCount").alias("fetched"), F.col("grid.skippedCount").alias("skipped"), F.col("grid.reportedGap").alias("gap"))
+    """What grids declare against the documents read of them, and how many of these were fetched."""
+    r = cut(read_records(spark, sf_dir, ["documents", "declared_total"]).select("key", "outcome", "record").where("record is not null"))
+    return records.with_fetched(r, fetches(r)[1]).select("key", F.col("grid.declaredTotal").alias("declared"), F.col("grid.extractedCount").alias("fetched"), F.col("grid.skippedCount").alias("skipped"), F.col("grid.reportedGap").alias("gap"))
 
 
 def asof_attach(spark, sf_dir):
@@ -411,7 +422,7 @@ def retry_outcomes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     seed_day_cells, cell_state_counts, item_set_hash, latest_per_key, run_summary, partition_invariant, pending_anti_join, unresolved_failures,
-    bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
+    bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, span_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
     frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, gated_run, tolerant_run, rate_gate_cooldown, search_bodies, class_catalogue,
 )} | {"sweep_cells": sweep_cells}
@@ -421,6 +432,11 @@ _LINES = "li AS (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate,
 _RECORDS = f"""{_LINES}, l AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_linenumber % 5 <> 0) AS nd, string_agg(CASE WHEN l_linenumber % 2 = 1 THEN 'legacy/' ELSE 'bornDigital/' END || l_orderkey || l_linenumber || '/Doc ' || l_linenumber || ' (' || l_returnflag || ')/' || l_returnflag, ';' ORDER BY l_linenumber) FILTER (l_linenumber % 5 <> 0) AS docs FROM li GROUP BY l_orderkey),
         r0 AS (SELECT o_orderkey AS k, o_orderkey % 11 AS m, coalesce(n, 0)::INTEGER AS n, coalesce(nd, 0) AS nd, coalesce(docs, '') AS docs, o_orderkey % 13 = 0 AND coalesce(n, 0) > 2 AS late, orders.*, customer.* FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey),
         r AS (SELECT *, m NOT IN (1, 2, 3, 4, 5) AND NOT late AS ok FROM r0)"""
+_FETCHES = f"""WITH {_RECORDS},
+        d AS (SELECT k::VARCHAR AS item_id, k::VARCHAR || l_linenumber AS document_id, l_linenumber % 2 = 0 AS born, l_linenumber AS n, (k::VARCHAR || l_linenumber)::BIGINT % 7 AS m, lpad(k::VARCHAR, 7, '0') || '-01.2024.4.05.8300/' || k || l_linenumber AS f
+              FROM r JOIN li ON l_orderkey = k WHERE ok AND l_linenumber % 5 <> 0),
+        x AS (SELECT *, CASE WHEN m = 1 THEN '503' WHEN born AND m = 2 THEN 'viewer without a submit contract' WHEN born AND m = 4 THEN 'not a file by its content' WHEN born THEN NULL
+                     WHEN m = 2 THEN 'notFound' WHEN m = 3 THEN 'no redirect but status 200' WHEN m = 4 THEN 'redirect without location' WHEN m = 5 THEN 'status 429 after the redirect' END AS why FROM d)"""
 _HASH = "'sha1:' || sha1(coalesce(string_agg(item_id, chr(10) ORDER BY item_id), ''))"
 
 
@@ -476,6 +492,7 @@ SQL = {
     "bigram_frequency": "WITH t AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part) SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n, min(p_partkey) AS first_seen FROM (SELECT p_partkey, w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1",
     "probe_queue": "WITH t AS (SELECT string_split(p_name, ' ') AS w FROM part), f AS (SELECT w[i] || ' ' || w[i + 1] AS probe, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t) GROUP BY 1) SELECT probe, 0 AS source_rank, n FROM f UNION ALL SELECT probe, 1, 0 FROM (VALUES ('DA SILVA'), ('DOS SANTOS')) d(probe) WHERE probe NOT IN (SELECT probe FROM f)",
     "substring_probe_hits": "WITH p AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS probe FROM part) SELECT probe, count(*) AS hits FROM p JOIN part ON contains(lower(p_name), probe) GROUP BY probe",
+    "span_hits": f"WITH s AS (SELECT {DAY} AS day, count(*) AS n FROM lineitem GROUP BY 1) SELECT o_orderkey, sum(n)::BIGINT AS lines, count(*) AS days FROM orders JOIN s ON day BETWEEN {ORDER_DAY} AND {ORDER_DAY} + (o_orderkey % 365)::INTEGER GROUP BY 1",
     "capped_pages": "SELECT unit_key, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT strftime(ts, '%Y-%m-%d') || '|' || event_type AS unit_key, event_id FROM events QUALIFY row_number() OVER (PARTITION BY unit_key ORDER BY event_id) <= 30) GROUP BY unit_key",
     "seed_ranking": "SELECT event_id AS ordinal, CASE WHEN value > 50 THEN 0 ELSE 1 END AS state_rank, CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 2147483647 END AS kind_rank FROM events",
     "yield_decay_stop": "WITH s AS (SELECT user_id, row_number() OVER w AS n, sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS 4 PRECEDING) AS h FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT user_id, min(n) AS stop_at FROM s WHERE h = 0 AND n >= 5 GROUP BY user_id",
@@ -505,14 +522,12 @@ SQL = {
                CASE WHEN ok THEN c_name END AS party, CASE WHEN ok AND k % 2 = 0 THEN c_custkey::VARCHAR END AS cpf, CASE WHEN ok AND k % 2 = 1 THEN c_custkey::VARCHAR END AS cnpj, CASE WHEN ok THEN 'AUTOR' END AS role, CASE WHEN ok THEN 'Ativo' END AS status,
                CASE WHEN ok THEN CASE WHEN k % 3 = 0 THEN 'Clerk ' || o_orderstatus || '/PE/' || k || '/' || c_nationkey ELSE '' END END AS lawyers,
                CASE WHEN ok THEN n ELSE NULL END AS n_movements, CASE WHEN ok THEN docs END AS documents FROM r""",
-    "grid_reconciliation": f"WITH {_RECORDS} SELECT k::VARCHAR AS key, (n + k % 2)::INTEGER AS declared, 0 AS fetched, nd::INTEGER AS skipped, (n + k % 2 - nd)::INTEGER AS gap FROM r WHERE ok",
+    "grid_reconciliation": f"""
+        {_FETCHES}, y AS (SELECT item_id, count(*) FILTER (why IS NULL) AS n FROM x GROUP BY 1)
+        SELECT k::VARCHAR AS key, (r.n + k % 2)::INTEGER AS declared, coalesce(y.n, 0)::INTEGER AS fetched, (nd - coalesce(y.n, 0))::INTEGER AS skipped, (r.n + k % 2 - nd)::INTEGER AS gap FROM r LEFT JOIN y ON y.item_id = k::VARCHAR WHERE ok""",
     "record_movements": f"WITH {_LINES} SELECT l_orderkey::VARCHAR AS key, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber))::INTEGER AS sequence, strftime(l_shipdate, '%Y-%m-%d') || 'T13:00:0' || l_linenumber || '.000Z' AS occurred_at, 'Remessa ' || l_returnflag AS description FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 NOT IN (1, 2, 3, 4, 5)",
     "document_fetches": f"""
-        WITH {_RECORDS},
-        d AS (SELECT k::VARCHAR AS item_id, k::VARCHAR || l_linenumber AS document_id, l_linenumber % 2 = 0 AS born, l_linenumber AS n, (k::VARCHAR || l_linenumber)::BIGINT % 7 AS m, lpad(k::VARCHAR, 7, '0') || '-01.2024.4.05.8300/' || k || l_linenumber AS f
-              FROM r JOIN li ON l_orderkey = k WHERE ok AND l_linenumber % 5 <> 0),
-        x AS (SELECT *, CASE WHEN m = 1 THEN '503' WHEN born AND m = 2 THEN 'viewer without a submit contract' WHEN born AND m = 4 THEN 'not a file by its content' WHEN born THEN NULL
-                     WHEN m = 2 THEN 'notFound' WHEN m = 3 THEN 'no redirect but status 200' WHEN m = 4 THEN 'redirect without location' WHEN m = 5 THEN 'status 429 after the redirect' END AS why FROM d)
+        {_FETCHES}
         SELECT item_id, document_id, CASE WHEN born THEN 'bornDigital' ELSE 'legacy' END AS kind, CASE WHEN why IS NULL THEN 'ok' WHEN why = '503' THEN 'transient' WHEN why = 'notFound' THEN 'permanentError' ELSE 'hostDefect' END AS outcome, why AS reason,
                CASE WHEN why IS NULL THEN f || CASE WHEN born THEN '-doc-' || n ELSE '-peticao-' || n END || '.pdf' END AS file_name, CASE WHEN why IS NULL THEN 10 END AS bytes, CASE WHEN born AND m NOT IN (1, 2) THEN document_id END AS fetched_bin_id FROM x""",
     "harvested_seeds": """

@@ -9,6 +9,9 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.intervals import within
+from ..operators.substrings import contained
+
 
 class CappedSource(Protocol):
     cap: int | None
@@ -25,20 +28,21 @@ class TableSource:
     cap: int | None
 
     def discover(self, cells: DataFrame) -> DataFrame:
-        # equi-joins on days instead of a range join, and on facets and probes where cells ask for them
-        days = cells.withColumn("day", F.explode(F.sequence("date_from", "date_to")))
+        # equi-joins: spans of days by their blocks, facets and probes where cells ask for them
+        asked = cells.select("unit_key", "facet_value", F.lower("probe").alias("_probe"), F.unix_date("date_from").alias("_low"), F.unix_date("date_to").alias("_high"))
+        points = self.rows.withColumn("_day", F.unix_date("day"))
         hits = []
         for r in cells.select(F.col("facet_value").isNotNull().alias("facet"), F.col("probe").isNotNull().alias("probe")).distinct().collect():  # at most four
-            asked = days.where((F.col("facet_value").isNotNull() == r["facet"]) & (F.col("probe").isNotNull() == r["probe"]))
-            keys = ["day", *["facet"] * r["facet"], *["_probe"] * r["probe"]]
-            asked = asked.select("unit_key", "day", *[F.col("facet_value").alias("facet")] * r["facet"], *[F.lower("probe").alias("_probe")] * r["probe"])
-            rows = self.rows
+            some = asked.where((F.col("facet_value").isNotNull() == r["facet"]) & (F.col("_probe").isNotNull() == r["probe"]))
+            some = some.select("unit_key", "_low", "_high", *[F.col("facet_value").alias("facet")] * r["facet"], *["_probe"] * r["probe"])
+            rows = points
             if r["probe"]:
                 # a name meets a probe once, not in every cell
-                probes = cells.where("probe is not null").select(F.lower("probe").alias("_probe")).distinct()
-                names = self.rows.select("name").distinct()
-                rows = rows.join(names.join(probes, F.contains(F.lower("name"), "_probe")), "name")
-            hits.append(asked.join(rows, keys).select("unit_key", "item_id", "facet", "name"))
+                names = self.rows.select(F.lower("name").alias("name")).where("name is not null").distinct()
+                probes = some.select(F.col("_probe").alias("probe")).distinct()
+                found = contained(names, probes).select(F.col("name").alias("_name"), F.col("probe").alias("_probe"))
+                rows = rows.join(found, F.lower("name") == F.col("_name")).drop("_name")
+            hits.append(within(some, "_low", "_high", rows, "_day", ["facet"] * r["facet"] + ["_probe"] * r["probe"]).select("unit_key", "item_id", "facet", "name"))
         if not hits:
             return self.rows.where("false").select(F.lit("").alias("unit_key"), "item_id", "facet", "name")
         return capped(reduce(DataFrame.unionByName, hits), F.col("item_id"), self.cap)
@@ -52,8 +56,7 @@ class RangeSource:
     cap: int | None
 
     def discover(self, cells: DataFrame) -> DataFrame:
-        spans = cells.withColumn("region", F.explode(F.sequence("low", "high")))
-        return capped(spans.join(self.rows, "region").select("unit_key", "item_id"), F.col("item_id"), self.cap)
+        return capped(within(cells.select("unit_key", "low", "high"), "low", "high", self.rows, "region").select("unit_key", "item_id"), F.col("item_id"), self.cap)
 
 
 def capped(hits: DataFrame, order: Column, cap: int | None) -> DataFrame:
