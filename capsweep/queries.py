@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import captured, cli
@@ -19,7 +19,7 @@ from .plans import run as runs
 from .plans.retry import retry_failed
 from .plans.sweep import Traversal, day_cells, sweep
 from .shared import cut, delete, shared_folder
-from .sources import html, records
+from .sources import documents, html, records, session
 from .sources.capped import TableSource, capped
 from .stores import Stores
 from .streaming.gate import Gate
@@ -246,6 +246,57 @@ def fetches(r):
     return docs, records.fetched_documents(docs, captured.document_chain(docs))
 
 
+def shared_uri(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, as an address that files' own libraries take too."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+
+
+def stored_documents(spark, sf_dir):
+    """Documents that were fetched, written by the two-phase sink and read back from what it committed."""
+    _, got = fetches(read_records(spark, sf_dir, ["documents"]))
+    spark.dataSource.register(documents.DocumentFiles)
+    folder = shared_uri(spark, "documents")
+    got.where("outcome.kind = 'ok'").select("file_name", "body").write.format("document_files").option("path", folder).mode("append").save()
+    back = cut(documents.document_bodies(spark, folder).select("file_name", "bytes", F.sha1("body").alias("sha1")))
+    delete(spark, folder)
+    return back
+
+
+def refused_responses(spark, sf_dir):
+    """Captured responses read back with conditions that the source itself applies: what was refused, and how long it asks to wait."""
+    folder = shared_uri(spark, "captured")
+    captured.write_captured(captured.record_pages(spark, sf_dir), folder)
+    captured.register(spark, push=True)
+    try:
+        got = spark.read.format("captured_responses").schema("key string, page int, status int, headers map<string,string>").option("path", folder).load()
+        got = cut(got.where("status in (429, 503)").select("key", "page", "status", R.header(F.col("headers"), "retry-after").alias("retry_after")))
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    delete(spark, folder)
+    return got
+
+
+def session_replay(spark, sf_dir):
+    """Customers as sessions that search for their orders in turn: a session lasts three searches, and orders of every 17th number end any."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("session"), "o_orderkey")
+    searches = cut(o.withColumn("no", F.row_number().over(Window.partitionBy("session").orderBy("o_orderkey")) - 1))  # a customer has few orders
+    epoch = F.col("epoch").cast("string")
+    page = captured.joined('<form action="/search;jsessionid=s', F.col("session").cast("string"), "e", epoch, '"><input name="javax.faces.ViewState" value="v', epoch, "\"><input name=\"f:n\"></form><script>s({'f:go':'f:go'})</script>")
+
+    def prime(asked):
+        return asked.select("session", "epoch", captured.headers().alias("headers"), captured.latin(page).alias("body"))
+
+    def send(asked):
+        age = F.substring("state.view_state", 2, 9).cast("int")
+        gone = (F.col("o_orderkey") % 17 == 0) | (age < F.floor(F.col("no") / 3))
+        body = F.when(gone, '<meta name="Ajax-Response" content="redirect"/>login.seam').otherwise("<table></table>")
+        return asked.withColumns({"status": F.lit(200), "headers": captured.headers("text/xml"), "body": captured.latin(body)})
+
+    got = session.replayed(searches, prime, send)
+    return got.select("session", "no", "o_orderkey", "epoch", "view_state", "replayed", F.col("outcome.kind").alias("outcome"))
+
+
 def harvested_seeds(spark, sf_dir):
     """What records name for the frontier: lawyers' numbers, then parties'."""
     pages = captured.record_pages(spark, sf_dir).where("page = 1")
@@ -425,6 +476,7 @@ QUERIES = {f.__name__: f for f in (
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, span_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
     frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, gated_run, tolerant_run, rate_gate_cooldown, search_bodies, class_catalogue,
+    stored_documents, refused_responses, session_replay,
 )} | {"sweep_cells": sweep_cells}
 
 #: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
@@ -554,6 +606,18 @@ SQL = {
         UNION ALL SELECT k::VARCHAR, 'row', 'hostDefect:x:d' FROM r WHERE k % 23 = 1 UNION ALL SELECT u, 'cell', 'transient:503' FROM f
         UNION ALL SELECT k::VARCHAR, 'document', CASE WHEN k % 25 = 0 THEN 'gone' ELSE 'transient:503' END FROM r WHERE k % 23 <> 1 AND (k % 25 = 0 OR (k % 10 = 0 AND k % 4 > 0))""",
     "rate_gate_cooldown": "WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, coalesce(sum(CASE WHEN event_type = 'error' THEN 60000 ELSE 500 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM events) SELECT event_id, (max(t - s) OVER (PARTITION BY user_id ORDER BY event_id) + s)::BIGINT AS granted FROM e",
+    "stored_documents": f"""
+        {_FETCHES}
+        SELECT DISTINCT f || CASE WHEN born THEN '-doc-' || n ELSE '-peticao-' || n END || '.pdf' AS file_name, 10 AS bytes, sha1('%PDF-1.4 x') AS sha1 FROM x WHERE why IS NULL""",
+    "refused_responses": f"""WITH {_RECORDS}
+        SELECT k::VARCHAR AS key, 1 AS page, 503 AS status, '3' AS retry_after FROM r WHERE m = 1
+        UNION ALL SELECT k::VARCHAR, 2, 429, NULL FROM r WHERE late""",
+    "session_replay": """
+        WITH RECURSIVE o AS (SELECT o_custkey AS session, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS no FROM orders),
+        s(session, no, o_orderkey, epoch, replayed) AS (
+            SELECT session, -1::BIGINT, 0::BIGINT, 0, false FROM (SELECT DISTINCT session FROM o)
+            UNION ALL SELECT o.session, o.no, o.o_orderkey, s.epoch + (o.o_orderkey % 17 = 0 OR s.epoch < o.no // 3)::INTEGER, o.o_orderkey % 17 = 0 OR s.epoch < o.no // 3 FROM s JOIN o ON o.session = s.session AND o.no = s.no + 1)
+        SELECT session, no::INTEGER AS no, o_orderkey, epoch, 'v' || epoch AS view_state, replayed, CASE WHEN o_orderkey % 17 = 0 OR epoch < no // 3 THEN 'sessionExpired' ELSE 'ok' END AS outcome FROM s WHERE no >= 0""",
     "search_bodies": """
         SELECT c_custkey, p::INTEGER AS position, n AS name, CASE WHEN n = 'j9%3AnomeParteInput' THEN replace(c_name, '#', '%23') WHEN n = 'j9%3AclasseJudicial' AND c_custkey % 2 = 0 THEN 'A%E7%E3o+%26%238211%3B+%E3' ELSE v END AS value
         FROM customer, (VALUES (0, 'AJAXREQUEST', '_viewRoot'), (1, 'j9%3AnumProcesso', ''), (2, 'j9%3AnomeParteInput', ''), (3, 'j9%3AnomeAdv', ''), (4, 'j9%3AclasseJudicial', ''), (5, 'j9%3AdocumentoParte', ''), (6, 'j9%3AestadoComboOAB', ''),
