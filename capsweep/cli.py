@@ -10,7 +10,6 @@ from dataclasses import dataclass
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .operators import queues
 from .shared import cut
 from .sources.capped import TableSource
 
@@ -140,6 +139,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     from . import runlog
     from .plans import frontier, run, sweep
+    from .plans.harvest import HarvestedTraversal
     from .stores import Stores
 
     spark = spark or SparkSession.builder.appName("capsweep").getOrCreate()
@@ -170,8 +170,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     rows = source.rows
     facets = rows.select("facet").where("facet is not null").distinct().orderBy("facet").limit(a.max_facet_values)
     facets = facets.withColumn("position", F.row_number().over(Window.orderBy("facet")) - 1)
-    probes = queues.ranked_probes(rows.where("name is not null"), "name", "item_id", a.max_name_probes)
-    traversal = sweep.Traversal(cut(facets), cut(probes), a.max_facet_values, a.max_name_probes)
+    traversal = HarvestedTraversal(cut(facets), max_facets=a.max_facet_values, max_probes=a.max_name_probes, stores=stores)
     tally = run.run(source, traversal, sweep.day_cells(spark, str(date_from), str(date_to)), stores, run_id, run.Limits(a.max_items, a.max_requests, a.max_documents, a.documents_per_item), max_depth=max_split_depth(date_from, date_to), log=log)
     printed([f"{tally.requests} requests, {tally.items} items", *report(stores)])
     return 0

@@ -38,13 +38,6 @@ def common_probes(spark) -> DataFrame:
     return spark.createDataFrame([(p, i) for i, p in enumerate(COMMON_PROBES)], "probe string, position int")
 
 
-def ranked_probes(names: DataFrame, name: str, ordinal: str, most: int) -> DataFrame:
-    """(probe, position): the first `most` of what names harvested so far give, by frequency, then of the common ones."""
-    queue = probe_queue(bigram_frequency(names, name, ordinal), common_probes(names.sparkSession)).limit(most)
-    # at most `most` rows meet here
-    return queue.withColumn("position", F.row_number().over(Window.orderBy("source_rank", F.desc("n"), "first_seen", F.col("position"))) - 1).select("probe", "position")
-
-
 def probe_queue(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(probe, source_rank, n, first_seen, position): harvested ones by frequency, then the dictionary's others in order."""
     mine = frequencies.select("probe", F.lit(0).alias("source_rank"), "n", F.col("first_seen"), F.lit(None).cast("int").alias("position"))
@@ -53,21 +46,6 @@ def probe_queue(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
     return mine.unionByName(rest).orderBy("source_rank", F.desc("n"), "first_seen", "position")
 
 
-#: Rows of a queue of probes that every cell is offered.
-QUEUE_ROWS = 100_000
-
-
-def probes_per_cell(cells: DataFrame, queue: DataFrame, used: DataFrame, most: int) -> DataFrame:
-    """The first `most` probes of each cell that it hasn't used. queue: a ranked head."""
-    if most <= 0:
-        return cells.select("unit_key").withColumn("probe", F.lit(None).cast("string")).where("false")
-    if queue.count() > QUEUE_ROWS:
-        raise ValueError("rank the queue and take its head first: each cell is offered all of it")
-    offered = cells.select("unit_key").join(F.broadcast(queue), F.lit(True)).join(used, ["unit_key", "probe"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("unit_key").orderBy("source_rank", F.desc("n"), "first_seen", "position"))
-    return offered.withColumn("r", rank).where(F.col("r") <= most).drop("r")
-
-
 def ranked_seeds(seeds: DataFrame, kinds: list[str]) -> DataFrame:
     """Seeds of truncated cells first, then by kind, unknown kinds last, ties by order. Copies stay."""
     rank = F.nullif(F.array_position(F.array(*map(F.lit, kinds)), F.col("kind")), F.lit(0))

@@ -192,7 +192,7 @@ def run(
     done = cut(stores.checkpoints())
     again = traversal.split(done.where("state = 'subdivided'").select(*CELL_COLUMNS)).select(*CELL_COLUMNS)
     fresh = {"attempt": F.lit(1), "ready_ms": F.lit(None).cast("long")}
-    queue = pending(seeds.select(*CELL_COLUMNS).unionByName(again).dropDuplicates(["unit_key"]), done).withColumns(fresh)
+    queue = cut(pending(seeds.select(*CELL_COLUMNS).unionByName(again).dropDuplicates(["unit_key"]), done).withColumns(fresh))
     known = spark.createDataFrame([], "item_id string")
     while limits.max_items is None or tally.items < limits.max_items:
         room = _left(limits.max_requests, tally.requests)
@@ -217,6 +217,8 @@ def run(
         rows = answer.where("item_id is not null and kind = 'unresolved'")
         lost = rows.groupBy("unit_key").agg(F.count("*").alias("unresolved"))
         seen = observe(turn.join(bad, "unit_key", "left_anti").select(*CELL_COLUMNS), hits, source.cap).join(lost, "unit_key", "left").withColumn("unresolved", F.coalesce("unresolved", F.lit(0)))
+        if "name" in hits.columns:
+            traversal.observed(hits.select("unit_key", "item_id", "name"), batch)
         seen, children = with_children(seen, traversal, CELL_COLUMNS, max_depth)
         none = F.lit(None)
         seen = seen.unionByName(stopped.select(*CELL_COLUMNS, F.lit(0).cast("long").alias("result_count"), F.lit(False).alias("saturated"), F.lit("failed").alias("state"), none.cast("string").alias("item_set_hash"), F.lit(0).cast("long").alias("unresolved")))

@@ -75,14 +75,22 @@ class Traversal:
         next_depth = (F.col("depth") + 1).alias("depth")
         by_facet = cells.where(day & F.col("facet_value").isNull()).drop("facet_value").join(self._facets, F.lit(True))
         by_facet = by_facet.select(F.concat_ws("|", "window_key", "facet").alias("unit_key"), "window_key", F.col("facet").alias("facet_value"), "probe", "date_from", "date_to", next_depth, "parent_key")
-        by_probe = cells.where(day & F.col("facet_value").isNotNull() & F.col("probe").isNull()).drop("probe").join(self._probes, F.lit(True))
+        by_probe = self.offered_probes(cells.where(day & F.col("facet_value").isNotNull() & F.col("probe").isNull()).drop("probe"))
+        by_probe = by_probe.select(F.concat_ws("|", "unit_key", "probe").alias("unit_key"), "window_key", "facet_value", "probe", "date_from", "date_to", next_depth, "parent_key")
+        return by_day.unionByName(by_facet).unionByName(by_probe)
+
+    def offered_probes(self, cells: DataFrame) -> DataFrame:
+        """cells with the probes each is asked with next, a row for each."""
+        by_probe = cells.join(self._probes, F.lit(True))
         if self.used is not None:
             by_probe = by_probe.join(self.used.select("unit_key", "probe"), ["unit_key", "probe"], "left_anti")
             if self.max_probes is not None:
                 rank = F.row_number().over(Window.partitionBy("parent_key").orderBy("position"))
                 by_probe = by_probe.withColumn("_r", rank).where(F.col("_r") <= self.max_probes)
-        by_probe = by_probe.select(F.concat_ws("|", "unit_key", "probe").alias("unit_key"), "window_key", "facet_value", "probe", "date_from", "date_to", next_depth, "parent_key")
-        return by_day.unionByName(by_facet).unionByName(by_probe)
+        return by_probe
+
+    def observed(self, hits: DataFrame, batch: str) -> None:
+        """Told of each level's rows before its cells are split; batches sort in the order of levels."""
 
 
 def observe(cells: DataFrame, hits: DataFrame, cap: int | None, keep: list[str] | None = None) -> DataFrame:
@@ -125,6 +133,8 @@ def sweep(source: CappedSource, traversal: Traversal, seeds: DataFrame, max_dept
         # a level is written once, each cell with its rows, from which the items come
         observed = cut(observe(level, hits, source.cap, keep))
         drop(level)
+        if "name" in keep:
+            traversal.observed(observed.select("unit_key", F.inline("rows")), f"{len(found):06d}")
         seen, children = with_children(observed.drop("rows"), traversal, columns, max_depth)
         coverage.append(seen)
         found.append(observed.select(F.inline("rows")))

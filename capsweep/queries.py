@@ -16,6 +16,7 @@ from .operators import coverage, queues
 from .operators.intervals import within
 from .plans.frontier import crawl
 from .plans import run as runs
+from .plans.harvest import HarvestedTraversal
 from .plans.retry import retry_failed
 from .plans.sweep import Traversal, day_cells, sweep
 from .shared import cut, delete, shared_folder
@@ -51,6 +52,16 @@ def sweep_cells(spark: SparkSession, sf_dir: str, cap: int = 4) -> DataFrame:
     return cells.select("unit_key", "window_key", "facet_value", "probe", "depth", "state", F.col("result_count").cast("long").alias("result_count"), "saturated", "item_set_hash")
 
 
+def harvested_sweep(spark, sf_dir):
+    """The sweep with probes of its own: the eight pairs of words that its days and flags have shown most."""
+    source = ship_source(spark, sf_dir, 4)
+    source.rows = cut(source.rows)
+    low, high = source.rows.agg(F.min("day"), F.max("day")).first()
+    facets = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("facet")).distinct().withColumn("position", F.lit(0))
+    cells, _ = sweep(source, HarvestedTraversal(facets, max_probes=8), day_cells(spark, str(low), str(high)))
+    return cells.select("unit_key", "window_key", "facet_value", "probe", "depth", "state", F.col("result_count").cast("long").alias("result_count"), "item_set_hash")
+
+
 def seed_day_cells(spark, sf_dir):
     low, high = table(spark, sf_dir, "orders").agg(F.min(F.col("o_orderdate").cast("date")), F.max(F.col("o_orderdate").cast("date"))).first()
     return day_cells(spark, str(low), str(high)).select("unit_key", F.date_format("date_from", "yyyy-MM-dd").alias("day"))
@@ -476,7 +487,7 @@ QUERIES = {f.__name__: f for f in (
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, span_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
     frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, gated_run, tolerant_run, rate_gate_cooldown, search_bodies, class_catalogue,
-    stored_documents, refused_responses, session_replay,
+    stored_documents, refused_responses, session_replay, harvested_sweep,
 )} | {"sweep_cells": sweep_cells}
 
 #: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
@@ -526,6 +537,21 @@ SQL = {
         l2 AS ({_level("c2", "r.day = c.day AND r.facet = c.facet_value AND contains(lower(r.name), lower(c.probe))", 2)})
         SELECT unit_key, window_key, facet_value, probe, depth, CASE WHEN result_count < 4 THEN 'complete' WHEN depth < 2 THEN 'subdivided' ELSE 'truncated' END AS state,
                result_count, result_count >= 4 AS saturated, item_set_hash FROM (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2)""",
+    "harvested_sweep": f"""
+        WITH r AS (SELECT l_orderkey || '-' || lpad(l_linenumber::VARCHAR, 2, '0') AS item_id, {DAY} AS day, l_returnflag AS facet, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey),
+        d AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM r),
+        c0 AS (SELECT day || '..' || day AS unit_key, day || '..' || day AS window_key, NULL::VARCHAR AS facet_value, NULL::VARCHAR AS probe, day FROM d),
+        h0 AS (SELECT unit_key, item_id, name FROM c0 JOIN r USING (day) QUALIFY row_number() OVER (PARTITION BY unit_key ORDER BY item_id) <= 4),
+        l0 AS ({_level("c0", "r.day = c.day", 0)}),
+        c1 AS (SELECT c0.window_key || '|' || f.facet AS unit_key, c0.window_key, f.facet AS facet_value, NULL::VARCHAR AS probe, c0.day FROM c0 JOIN l0 USING (unit_key) CROSS JOIN (SELECT DISTINCT l_returnflag AS facet FROM lineitem) f WHERE l0.result_count >= 4),
+        h1 AS (SELECT unit_key, item_id, name FROM c1 JOIN r ON r.day = c1.day AND r.facet = c1.facet_value QUALIFY row_number() OVER (PARTITION BY unit_key ORDER BY item_id) <= 4),
+        l1 AS ({_level("c1", "r.day = c.day AND r.facet = c.facet_value", 1)}),
+        w AS (SELECT lvl, unit_key, item_id, i, t[i] || ' ' || t[i + 1] AS probe FROM (SELECT *, unnest(generate_series(1, len(t) - 1)) AS i FROM (SELECT *, string_split(name, ' ') AS t FROM (SELECT 0 AS lvl, * FROM h0 UNION ALL SELECT 1, * FROM h1)))),
+        q AS (SELECT probe FROM (SELECT probe, count(*) AS n, min(ROW(lvl, unit_key, item_id, i)) AS seen FROM w GROUP BY probe) ORDER BY n DESC, seen LIMIT 8),
+        c2 AS (SELECT c1.unit_key || '|' || q.probe AS unit_key, c1.window_key, c1.facet_value, q.probe, c1.day FROM c1 JOIN l1 USING (unit_key) CROSS JOIN q WHERE l1.result_count >= 4),
+        l2 AS ({_level("c2", "r.day = c.day AND r.facet = c.facet_value AND contains(lower(r.name), lower(c.probe))", 2)})
+        SELECT unit_key, window_key, facet_value, probe, depth, CASE WHEN result_count < 4 THEN 'complete' WHEN depth < 2 THEN 'subdivided' ELSE 'truncated' END AS state,
+               result_count, item_set_hash FROM (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2)""",
     "seed_day_cells": f"SELECT d || '..' || d AS unit_key, d AS day FROM (SELECT strftime(unnest(generate_series(min({ORDER_DAY}), max({ORDER_DAY}), INTERVAL 1 DAY)), '%Y-%m-%d') AS d FROM orders)",
     "cell_state_counts": "SELECT CASE WHEN n < 60 THEN 'complete' ELSE 'truncated' END AS state, n >= 60 AS saturated, count(*) AS cells FROM (SELECT count(*) AS n FROM events GROUP BY CAST(ts AS DATE), event_type) GROUP BY 1, 2",
     "item_set_hash": "SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, 'sha1:' || sha1(string_agg(o_orderkey::VARCHAR, chr(10) ORDER BY o_orderkey::VARCHAR)) AS item_set_hash FROM orders GROUP BY 1",

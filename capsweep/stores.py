@@ -20,6 +20,8 @@ SCHEMAS = {
     "items": "item_id string, unit_key string, run_id string, observed_at string, payload string, documents array<struct<document_id:string,status:string,bytes:bigint>>",
     "coverage": f"{CELL}, {OBSERVED}, phase string, dimensions map<string,string>",
     "checkpoints": f"{CELL}, {OBSERVED}",
+    "probes": "unit_key string, probe string, n long, seen struct<batch:string,unit_key:string,item_id:string,place:int>",
+    "offers": "unit_key string, probe string, position int",
     "requests": "request string, what string, gate string, attempt int, granted_ms long, outcome string, run_id string",
     "ledger": "item_id string, document_id string, reason string, observed_at string, resolved boolean, item string, doc string, run_id string",
 }
