@@ -2,9 +2,9 @@
 
 A candidate is a run of key-like characters with a word such as "key" or "auth" in it or within CONTEXT characters on
 either side, be it part of an identifier. The compressor is primed with a
-dictionary of common identifiers and code; its marginal bytes for the candidate, after the text around it, are compared
-with the candidate's length. Words, identifiers and repeats of the surroundings cost little, random strings cost what
-they hold. Defined results: a null text is an empty one and has no spans; offsets are code points, ends exclusive;
+dictionary of common identifiers, which holds their parts and the frequencies of their letters; its marginal bytes for the candidate, after the text around it
+and after plain sequences alone, are compared with those of random strings of the same length and alphabet in the same places. Words, identifiers and
+repeats of the surroundings cost less than these, random strings as much. Defined results: a null text is an empty one and has no spans; offsets are code points, ends exclusive;
 repeated rows are scanned each for itself; an empty table gives an empty result; extra columns are ignored. Texts and
 candidates of any length are scanned whole; a candidate's surroundings are CONTEXT characters on each side.
 """
@@ -12,7 +12,10 @@ candidates of any length are scanned whole; a candidate's surroundings are CONTE
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,9 +41,12 @@ CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
 #: What an "=" parts in a run, as in name=value; base64's padding stays.
 PIECE = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?")
 CONTEXT = 256
-#: Marginal compressed bytes for each character at and over which a string counts as incompressible.
-NOVELTY = 0.62
-#: The identifier dictionary: words of code and configuration, as zstandard's raw content.
+#: Share of the marginal bytes of like random strings, of DRAWS of them the middle one, over which a string counts as incompressible.
+NOVELTY = 0.8
+DRAWS = 5
+#: What keys are typed from without being secret; it stands before all that is compressed.
+SEQUENCES = "01234567890123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ qwertyuiopasdfghjklzxcvbnm 0000000000000000\n"
+#: The identifier dictionary: words of code and configuration, spelt as identifiers to train zstandard's dictionary from.
 IDENTIFIERS = (
     "function return import from class public private static void string integer boolean const let var def self this new null none true false "
     "if else elif for while try except finally raise throw catch with as in is not and or lambda yield async await print assert "
@@ -64,16 +70,39 @@ def base_spans(text: str, lowered: str | None = None) -> list[tuple[int, int, in
     return sorted(out)
 
 
+def spellings(words: list[str], n: int = 3000) -> list[bytes]:
+    """Identifiers of two to five words: with underscores, in camel case and as words."""
+    draw, out = random.Random(7), []
+    for i in range(n):
+        some = [draw.choice(words) for _ in range(draw.randint(2, 5))]
+        out.append(("_".join(some), some[0] + "".join(w.title() for w in some[1:]), " ".join(some), " ".join(some))[i % 4].encode())
+    return out
+
+
+def like(candidate: str, draw: random.Random) -> str:
+    """A random string of the candidate's length, its alphabet and its signs in their places."""
+    kinds = [k for k in (string.ascii_lowercase, string.ascii_uppercase, string.digits) if any(c in k for c in candidate)]
+    alphabet = "".join(kinds)
+    return "".join(draw.choice(alphabet) if c.isalnum() else c for c in candidate)
+
+
 class Novelty:
     """Marginal bytes of a string after its surroundings, under a compressor primed with a dictionary."""
 
     def __init__(self, dictionary: str = IDENTIFIERS):
-        primed = zstandard.ZstdCompressionDict(dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words = sorted({w.lower() for w in re.findall(r"[A-Za-z]{3,}", dictionary)} - {string.ascii_lowercase})
+        primed = zstandard.train_dictionary(1024, spellings(words), level=19)
         self.compressor = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False, write_checksum=False)
 
-    def marginal(self, around: str, candidate: str) -> int:
-        a, b = around.encode("utf-8", "surrogatepass"), candidate.encode("utf-8", "surrogatepass")
-        return len(self.compressor.compress(a + b)) - len(self.compressor.compress(a))
+    def size(self, text: str) -> int:
+        return len(self.compressor.compress((SEQUENCES + text).encode("utf-8", "surrogatepass")))
+
+    def novel(self, around: str, candidate: str) -> bool:
+        """Whether the candidate compresses hardly better than like random strings, be it after its surroundings or after SEQUENCES alone."""
+        places = [(p, self.size(p)) for p in (around, "\n")]
+        draw = random.Random(zlib.crc32(candidate.encode("utf-8", "surrogatepass")))
+        others = [like(candidate, draw) for _ in range(DRAWS)]
+        return all(self.size(p + candidate) - n > NOVELTY * sorted(self.size(p + x) - n for x in others)[DRAWS // 2] for p, n in places)
 
     def spans(self, text: str, taken: list[tuple[int, int, int]], lowered: str | None = None) -> list[tuple[int, int, int]]:
         """Candidates with a cue in or around them that overlap no known form and don't compress."""
@@ -85,7 +114,7 @@ class Novelty:
 
         def novel(start: int, end: int) -> bool:
             around = text[max(0, start - CONTEXT) : start] + "\n" + text[end : end + CONTEXT] + "\n"
-            return self.marginal(around, text[start:end]) >= NOVELTY * (end - start)
+            return self.novel(around, text[start:end])
 
         for c in CANDIDATE.finditer(text):
             start, end = c.span()

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import statistics
 import zlib
 from urllib.parse import urljoin
 
@@ -346,6 +348,36 @@ def test_cues_on_both_sides_and_in_identifiers(form, secret):
     assert [(secrets.KINDS[k], t[a:b]) for a, k, b in secrets.scan(t)[1]] == [("novel", secret)]
 
 
+@pytest.mark.parametrize("text", [
+    "auth: internationalization", "session id user_profile_settings_page_controller", "order key 1234567890123456", "api key 4111111111111111", "key electroencephalographically",
+    "auth getAuthenticationProviderConfiguration", "client_id application-server-production-01", "secret antidisestablishmentarianism",
+])
+def test_words_beside_a_cue_are_not_novel(text):
+    assert secrets.scan(text) == ([], [])
+
+
+def test_random_strings_are_novel_and_identifiers_not():
+    draw = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = "harbour meadow lantern copper willow thunder basket orchard pebble saddle timber velvet".split()
+    rest = "The orchard lies behind the old harbour, and the meadow reaches down to the water. "
+    told = lambda c: bool(secrets.scan(f"{rest}Its session key {c} was kept. {rest}")[1])
+    secret = [told("".join(draw.choice(letters) for _ in range(draw.randint(16, 40)))) for _ in range(200)]
+    plain = [told("_".join(draw.sample(words, 3))) for _ in range(100)] + [told(draw.choice(words) + "".join(w.title() for w in draw.sample(words, 2))) for _ in range(100)]
+    assert sum(secret) >= 180 and sum(plain) <= 20
+    assert secrets.scan(rest) == ([], [])
+
+
+def costly(around, candidate):
+    """By compressing whole strings, place by place, without what Novelty shares between them."""
+    press = secrets.Novelty().compressor.compress
+    size = lambda t: len(press((secrets.SEQUENCES + t).encode()))
+    draw = random.Random(zlib.crc32(candidate.encode()))
+    others = [secrets.like(candidate, draw) for _ in range(secrets.DRAWS)]
+    middle = lambda p: statistics.median(size(p + x) - size(p) for x in others)
+    return all(size(p + candidate) - size(p) > secrets.NOVELTY * middle(p) for p in (around, "\n"))
+
+
 def brute_spans(text):
     """Base and novel spans, found place by place, without the scanner's shortcuts."""
     word = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -371,7 +403,7 @@ def brute_spans(text):
             def novel(a, b):
                 around = text[max(0, a - secrets.CONTEXT) : a] + "\n" + text[b : b + secrets.CONTEXT] + "\n"
                 free = not any(x < b and a < y for x, _, y in base)
-                return free and secrets.Novelty().marginal(around, text[a:b]) >= secrets.NOVELTY * (b - a)
+                return free and costly(around, text[a:b])
 
             whole = text[at:end]
             parts = [(at + m.start(), at + m.end()) for m in re.finditer(r"[^=]+(?:={1,2}$)?", whole) if len(m[0].rstrip("=")) >= secrets.LEAST] if "=" in whole.rstrip("=") else []
