@@ -257,6 +257,22 @@ def fetches(r):
     return docs, records.fetched_documents(docs, captured.document_chain(docs))
 
 
+def item_fields(spark, sf_dir):
+    """Orders as items whose payloads hold what they may: fields of them by path, after the store has written and read them."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey")
+    party = F.struct(F.col("c_name").alias("name"), F.when(k % 2 == 0, F.col("c_nationkey")).alias("nation"))
+    bag = F.to_json(F.struct(F.struct(F.col("o_orderstatus").alias("label"), F.when(k % 3 == 0, k.cast("string")).alias("code")).alias("class"), F.array(party).alias("parties")))
+    payload = F.when(k % 5 == 0, F.lit("no JSON")).when(k % 5 == 1, F.concat(F.lit('{"class":['), k.cast("string"), F.lit("]}"))).otherwise(bag)
+    stores = Stores(spark, f"{shared_folder(spark)}/run-{uuid.uuid4().hex}")
+    none = F.array().cast("array<struct<document_id:string,status:string,bytes:bigint>>")
+    stores.append("items", o.select(k.cast("string").alias("item_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("unit_key"), F.lit("r").alias("run_id"), F.lit("t").alias("observed_at"), payload.alias("payload"), none.alias("documents")), "first")
+    got = stores.fields({"label": ("$.class.label", "string"), "code": ("$.class.code", "long"), "first": ("$.class[0]", "long"), "party": ("$.parties[0].name", "string"), "nation": ("$.parties[0].nation", "int")})
+    got = cut(got)
+    delete(spark, stores.folder)
+    return got
+
+
 def shared_uri(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, as an address that files' own libraries take too."""
     folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -487,7 +503,7 @@ QUERIES = {f.__name__: f for f in (
     bigram_frequency, probe_queue, substring_probe_hits, name_probe_hits, span_hits, capped_pages, seed_ranking, yield_decay_stop, running_budget, retry_decisions, backoff_schedule,
     rate_gate_schedule, dry_run_forecast, label_code, outcome_classification, html_extract, grid_reconciliation, asof_attach, log_redaction, slug_path, latin1_form,
     frontier_crawl, retry_outcomes, facet_invariant, search_results, detail_records, record_movements, document_fetches, harvested_seeds, row_tolerance, resume_sweep, gated_run, tolerant_run, rate_gate_cooldown, search_bodies, class_catalogue,
-    stored_documents, refused_responses, session_replay, harvested_sweep,
+    stored_documents, refused_responses, session_replay, harvested_sweep, item_fields,
 )} | {"sweep_cells": sweep_cells}
 
 #: Orders with what their pages say: m the page's case, ok whether all was read, n lines, nd documents.
@@ -638,6 +654,10 @@ SQL = {
     "refused_responses": f"""WITH {_RECORDS}
         SELECT k::VARCHAR AS key, 1 AS page, 503 AS status, '3' AS retry_after FROM r WHERE m = 1
         UNION ALL SELECT k::VARCHAR, 2, 429, NULL FROM r WHERE late""",
+    "item_fields": """
+        SELECT o_orderkey::VARCHAR AS item_id, strftime(o_orderdate, '%Y-%m-%d') AS unit_key, CASE WHEN m > 1 THEN o_orderstatus END AS label, CASE WHEN m > 1 AND o_orderkey % 3 = 0 THEN o_orderkey END AS code,
+               CASE WHEN m = 1 THEN o_orderkey END AS first, CASE WHEN m > 1 THEN c_name END AS party, CASE WHEN m > 1 AND o_orderkey % 2 = 0 THEN c_nationkey END AS nation
+        FROM (SELECT *, o_orderkey % 5 AS m FROM orders JOIN customer ON o_custkey = c_custkey)""",
     "session_replay": """
         WITH RECURSIVE o AS (SELECT o_custkey AS session, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS no FROM orders),
         s(session, no, o_orderkey, epoch, replayed) AS (

@@ -51,6 +51,17 @@ class Stores:
         """Each item once, as it was first written."""
         return coverage.first_seen(self.read("items"), "item_id", "ordinal")
 
+    def fields(self, paths: dict[str, tuple[str, str]]) -> DataFrame:
+        """Items with fields of their payloads: name -> (path, type), as ("$.parties[0].name", "string"). A payload may hold anything; a path that
+        it lacks, or whose value isn't of the type, is null, and so is every field of a payload that is no JSON."""
+        parsed = F.try_parse_json("payload")
+        got = [F.try_variant_get(F.col("_bag"), path, kind).alias(name) for name, (path, kind) in paths.items()]
+        return self.items().withColumn("_bag", parsed).select("item_id", "unit_key", *got)
+
+    def payload_schema(self) -> str | None:
+        """What all payloads hold together, as one type; null without items."""
+        return self.items().agg(F.schema_of_variant_agg(F.try_parse_json("payload"))).first()[0]
+
     def coverage(self) -> DataFrame:
         """The log of all runs."""
         return self.read("coverage")

@@ -94,3 +94,15 @@ def test_a_resumed_run_asks_what_was_offered(spark, tmp_path):
     assert live == sorted((r.probe, r.n) for r in HarvestedTraversal(facets(spark), max_probes=4, stores=whole)._counts.collect())
     parts.append("probes", parts.read("probes"), f"z-{uuid.uuid4().hex}")  # what a crash had a run write twice
     assert live == sorted((r.probe, r.n) for r in HarvestedTraversal(facets(spark), max_probes=4, stores=parts)._counts.collect())
+
+
+def test_payloads_hold_anything(spark, tmp_path):
+    stores = Stores(spark, str(tmp_path / "s"))
+    assert stores.payload_schema() in (None, "VOID") and stores.fields({"a": ("$.a", "int")}).count() == 0
+    bags = ['{"a":1,"b":{"c":["x","y"]}}', '{"a":"no number"}', "[3]", "broken {", None, '{"b":{"c":[]}}', '{"a":null}']
+    none = F.lit(None).cast("array<struct<document_id:string,status:string,bytes:bigint>>")
+    df = spark.createDataFrame([(str(i), b) for i, b in enumerate(bags)], "item_id string, payload string")
+    stores.append("items", df.withColumns({"unit_key": F.lit("u"), "run_id": F.lit("r"), "observed_at": F.lit("t"), "documents": none}), "0")
+    got = {r.item_id: (r.a, r.c, r.first) for r in stores.fields({"a": ("$.a", "int"), "c": ("$.b.c[1]", "string"), "first": ("$[0]", "int")}).collect()}
+    assert got == {"0": (1, "y", None), "2": (None, None, 3)} | {k: (None, None, None) for k in "13456"}
+    assert "c" in spark.createDataFrame(bags[:1], "string").agg(F.schema_of_variant_agg(F.parse_json("value"))).first()[0] and stores.payload_schema()
