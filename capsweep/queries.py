@@ -296,7 +296,7 @@ def refused_responses(spark, sf_dir):
     captured.write_captured(captured.record_pages(spark, sf_dir), folder)
     captured.register(spark, push=True)
     try:
-        got = spark.read.format("captured_responses").schema("key string, page int, status int, headers map<string,string>").option("path", folder).load()
+        got = spark.read.format("captured_responses").schema("key string, page int, status int, headers map<string,string>").option("path", folder).option("push", "true").load()
         got = cut(got.where("status in (429, 503)").select("key", "page", "status", R.header(F.col("headers"), "retry-after").alias("retry_after")))
     finally:
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
