@@ -348,7 +348,7 @@ def tolerated(attempts: DataFrame, cap: int = 2) -> tuple[DataFrame, DataFrame,
     settles = F.col("kind").isin(*SETTLED)
     what = F.struct("kind", "status", "reason", "detail")
     per = tries.groupBy(*row).agg(F.min_by(what, F.when(settles, F.col("attempt"))).alias("s"), F.max_by(what, "attempt").alias("l"))
-    per = per.select(*row, F.coalesce("s", "l").alias("o")).select(*row, "o.*")
+    per = cut(per.select(*row, F.coalesce("s", "l").alias("o")).select(*row, "o.*"))  # all three results ask it
     aborted = per.where("kind in ('transient', 'sessionExpired')").groupBy("unit_key").agg(F.min(F.struct("position", "kind", "status")).alias("a")).select("unit_key", "a.kind", "a.status")
     rest = per.join(aborted.select("unit_key"), "unit_key", "left_anti")
     why = unresolved_reason(F.col("kind"), failure_reason(F.col("kind"), F.col("status"), F.col("reason"), F.col("detail")))
