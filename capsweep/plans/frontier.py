@@ -49,7 +49,7 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
 
     unit_from_seed makes cells (the sweep's columns, and seed_no) of numbered seeds; full cells are halved by days.
     The crawl ends after `window` seeds in a row without a new item; seeds of the last batch beyond that point don't
-    count. The request budget admits the cells of a batch level by level, in seed order. Failures, which the source
+    count. Without a budget, seeds of a batch that ask for the same cell are answered together, and the request counts for each. The request budget admits the cells of a batch level by level, in seed order. Failures, which the source
     marks with a `reason`, go to the ledger and the crawl goes on. No seeds: nothing is asked.
     """
     spark = seeds.sparkSession
@@ -60,13 +60,18 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
     low, batch = 0, window if max_requests is not None else BATCH * window
     while low < total and (max_requests is None or asked < max_requests) and dry < window:
         level = unit_from_seed(queue.where(F.col("seed_no").between(low + 1, low + batch)))
+        if max_requests is None:
+            # seeds that ask the same are answered once: the first finds what there is
+            level = level.groupBy(*[c for c in level.columns if c != "seed_no"]).agg(F.min("seed_no").alias("seed_no"), F.array_sort(F.collect_list("seed_no")).alias("seeds"))  # at most a batch's
+        else:
+            level = level.withColumn("seeds", F.array("seed_no"))
         level = level.withColumn("unit_key", F.concat_ws("#", "seed_no", "unit_key"))
         started, found, failed = 0, [], []
         while True:
             if max_requests is not None:
                 level = level.orderBy("seed_no", "unit_key").limit(max_requests - asked)
             level = cut(level)
-            n = level.count()
+            n = level.agg(F.sum(F.size("seeds"))).first()[0]
             if not n:
                 break
             asked += n
@@ -75,13 +80,14 @@ def crawl(source: CappedSource, seeds: DataFrame, kinds: list[str], unit_from_se
             bad = F.col("reason").isNotNull() if "reason" in hits.columns else F.lit(False)
             keep = ["unit_key", F.col("item_id").cast("string").alias("item_id"), (F.col("reason") if "reason" in hits.columns else F.lit(None).cast("string")).alias("reason")]
             hits = cut(hits.withColumn("_bad", bad).select(*keep, "_bad"))
-            failed.append(hits.where("_bad").select(F.col("unit_key").alias("item_id"), F.lit(None).cast("string").alias("document_id"), "reason"))
+            lost = hits.where("_bad").join(level.select("unit_key", F.explode("seeds").alias("_seed")), "unit_key")
+            failed.append(lost.select(F.concat_ws("#", "_seed", F.expr("substring(unit_key, instr(unit_key, '#') + 1)")).alias("item_id"), F.lit(None).cast("string").alias("document_id"), "reason"))
             hits = hits.where("not _bad")
             found.append(hits.select("item_id", F.substring_index("unit_key", "#", 1).cast("long").alias("seed_no")))
             if source.cap is None:
                 break
             full = hits.groupBy("unit_key").agg(F.count("*").alias("n")).where(F.col("n") >= source.cap).select("unit_key")
-            halves = bisected(level.where(F.col("depth") < max_depth).join(full, "unit_key", "left_semi"), ["seed_no"])
+            halves = bisected(level.where(F.col("depth") < max_depth).join(full, "unit_key", "left_semi"), ["seed_no", "seeds"])
             level = halves.withColumn("unit_key", F.concat_ws("#", "seed_no", "unit_key"))
         got = found[0]
         for f in found[1:]:
