@@ -1,8 +1,10 @@
 import hashlib
+import json
 import random
 import re
 import statistics
 import zlib
+from pathlib import Path
 from urllib.parse import urljoin
 
 import numpy as np
@@ -57,6 +59,32 @@ def test_word_encoder_forgets_and_stays_right(monkeypatch):
         assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_a_stem_goes_to_the_library_once_whatever_ends_its_words():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, text):
+            self.asked.append(text)
+            return self.model.tokenize(text)
+
+    e = token_output.WordEncoder(token_output.vocabulary_path())
+    e.model = counted = Counted(e.model)
+    for texts in (["a verbose, verbose. verbose"], ["x verbose!? verbose;\nverbose", "verbose) ſtrªnge€!! ŉ... x\u0301!? 1,2. ÿ; Ā: 'll' s's ..., \xff!"]):
+        assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "".join(counted.asked).count("Ġverbose") == 1
+
+
+@pytest.mark.parametrize("change", [{"ignore_merges": True}, {"end_of_word_suffix": "</w>"}])
+def test_words_that_a_model_may_not_see_together_are_the_library(change, tmp_path):
+    form = json.loads(Path(token_output.vocabulary_path()).read_text())
+    form["model"] |= change
+    (tmp_path / "other.json").write_text(json.dumps(form))
+    e = token_output.WordEncoder(str(tmp_path / "other.json"))
+    texts = ["one two, three.\nfour five! six", "two three, one"]
+    assert [x.tolist() for x in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_tokens(spark, docs):
     t = token_output.WordEncoder(token_output.vocabulary_path()).tokenizer
     want, at = [], 0
